@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import formats as fmt
 from ..functions import html
+from ..functions.once import once
 
 
 def earlier_error(records: DataFrame) -> Column:
@@ -35,17 +36,13 @@ def articles(records: DataFrame, lang: str = fmt.ARTICLE_LANGUAGE) -> DataFrame:
     """
     earlier = earlier_error(records)
     # The language is tested on the raw page, before the costlier replacements.
-    visible = (
+    english = (
         records.withColumn("error", earlier)
         .filter((html.language(F.col("content")) == lang) | F.col("error").isNotNull())
-        .withColumn("visible", html.without_hidden(F.col("content")))
-    )
-    text = html.body_text(F.col("visible"))
-    return visible.select(
-        "uri", "ts",
-        html.title(F.col("visible")).alias("title"),
-        text.alias("text"),
-        F.coalesce(
-            "error", F.when(text.isNull(), "Error processing record: Could not parse")
-        ).alias("error"),
+        .select("uri", "ts", "error", "content")
     )
+    visible = once(english, content=html.without_hidden(F.col("content")))
+    page = F.col("content")
+    parsed = once(visible, title=html.title(page), text=html.body_text(page))
+    unparsed = F.when(F.col("text").isNull(), "Error processing record: Could not parse")
+    return parsed.select("uri", "ts", "title", "text", F.coalesce("error", unparsed).alias("error"))

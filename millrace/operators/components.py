@@ -9,7 +9,7 @@ the number of rounds grows with the logarithm of the diameter.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -50,7 +50,7 @@ def components(
     """``node, root`` for every linked node except the roots themselves.
 
     ``links`` has two columns of one comparable type. The root is the smallest
-    node of its component. Each half round is written to the shared scratch
+    node of its component. Each step is written to the shared scratch
     folder, overwriting the one before last: this cuts the lineage, outlives
     lost executors, and keeps the disk use at two copies of the links.
     """
@@ -62,30 +62,27 @@ def components(
         .withColumn("moved", F.lit(False)),
         f"{place}/0",
     )
-    step = 0
-    for _ in range(max_rounds):
-        moves = 0
-        for relink in (_relinked_high, _relinked_low):
-            step += 1
-            relinked = relink(current, rows > rows_per_task, rows_per_task)
-            current, moved, rows = _stored(relinked, f"{place}/{step % 2}")
-            moves += moved
-        if moves == 0:
+    still = 0
+    for step in range(2 * max_rounds):
+        relink = (_relinked_high, _relinked_low)[step % 2]
+        relinked = relink(current, rows > rows_per_task, rows_per_task)
+        current, moved, rows = _stored(relinked, f"{place}/{(step + 1) % 2}")
+        # Settled once neither kind of step finds anything to move.
+        still = 0 if moved else still + 1
+        if still == 2:
             return current.select(F.col("hi").alias("node"), F.col("lo").alias("root"))
     raise RuntimeError(f"components did not settle within {max_rounds} rounds")
 
 
 def _stored(links: DataFrame, path: str) -> tuple[DataFrame, int, int]:
-    """Distinct links written and read back, with the counts of moves and of rows."""
+    """Distinct links written and read back, with the counts of moves and of rows.
+
+    The counts come from the written table, so a task that ran twice cannot
+    falsify them; Parquet reads only the flag for it.
+    """
     spark = links.sparkSession
-    moves, size = Observation(), Observation()
-    (
-        links.observe(moves, F.count_if("moved").alias("moved"))
-        .select("hi", "lo")
-        .distinct()
-        .observe(size, F.count("*").alias("rows"))
-        .write.mode("overwrite")
-        .parquet(path)
-    )
-    stored = spark.read.schema(links.select("hi", "lo").schema).parquet(path)
-    return stored, moves.get["moved"], size.get["rows"]
+    distinct = links.groupBy("hi", "lo").agg(F.max("moved").alias("moved"))
+    distinct.write.mode("overwrite").parquet(path)
+    stored = spark.read.schema(distinct.schema).parquet(path)
+    moved, rows = stored.agg(F.count_if("moved"), F.count("*")).first()
+    return stored.select("hi", "lo"), moved, rows

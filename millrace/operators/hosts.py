@@ -32,10 +32,10 @@ def host_distribution(rows: DataFrame, strict: bool = False) -> DataFrame:
         host = F.coalesce(host, F.raise_error(reason).cast("string"))
     return (
         rows.filter(uri.isNotNull())
-        .select(host.alias("host"))
-        .filter(F.col("host").isNotNull())
-        .groupBy("host")
+        .groupBy(host.alias("host"))
         .count()
+        # After the counting, lest the filter evaluates the host a second time.
+        .filter(F.col("host").isNotNull())
         .orderBy(F.desc("count"), "host")
     )
 

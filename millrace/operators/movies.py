@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import formats as fmt
 from ..functions import html
+from ..functions.once import once
 from ..functions.text import first_token, movie_slug, percent_digits, readable_time, trim_space
 from .articles import earlier_error
 
@@ -66,14 +67,13 @@ def extract_scores(records: DataFrame) -> DataFrame:
         may_meter,
         F.struct(critic_meter.alias("critic"), audience_meter.alias("audience")),
     )
-    meter = F.when(meter["critic"].isNotNull() & meter["audience"].isNotNull(), meter)
 
     critic_count, audience_count = _counts(page)
     first_half = F.when(page.contains(fmt.HALF_CLASS), _half(page, 1))
     halves = F.when(
-        first_half.isNotNull(),
+        F.col("half").isNotNull(),
         F.struct(
-            first_half.alias("critic"),
+            F.col("half").alias("critic"),
             F.coalesce(_half(page, 2), F.lit(fmt.NO_SCORE)).alias("audience"),
             _whole_number(critic_count).alias("critic_num"),
             _whole_number(audience_count).alias("audience_num"),
@@ -85,15 +85,16 @@ def extract_scores(records: DataFrame) -> DataFrame:
         html.attribute(page, fmt.BOARD_ELEMENT, fmt.BOARD_AUDIENCE).alias("audience"),
     )
 
-    taken = records.select(
-        "uri", "ts", page.alias("content"), earlier_error(records).alias("earlier"),
-        meter.alias("meter"),
-    ).withColumn("halves", F.when(F.col("meter").isNull(), halves))
-    taken = taken.withColumn(
-        "board", F.when(F.col("meter").isNull() & F.col("halves").isNull(), board)
-    )
+    taken = records.select("uri", "ts", "content", earlier_error(records).alias("earlier"))
+    taken = once(taken, meter=meter, half=first_half)
+    m = F.col("meter")
+    taken = taken.withColumn("meter", F.when(m["critic"].isNotNull() & m["audience"].isNotNull(), m))
+    taken = once(taken, halves=F.when(F.col("meter").isNull(), halves))
+    taken = once(
+        taken, board=F.when(F.col("meter").isNull() & F.col("halves").isNull(), board)
+    ).drop("content")
 
-    m, h, b = F.col("meter"), F.col("halves"), F.col("board")
+    h, b = F.col("halves"), F.col("board")
     no_count = h["critic_num"].isNull() | h["audience_num"].isNull()
     no_board = b["critic"].isNull() | b["audience"].isNull()
     reason = (

@@ -155,7 +155,11 @@ def archive_listing(
 ) -> DataFrame:
     """``path, length`` of the archives below a path; contents are not read."""
     if stream:
-        reader = spark.readStream.format("binaryFile").option("maxFilesPerTrigger", files_per_step)
+        reader = (
+            spark.readStream.format("binaryFile")
+            .schema("path string, modificationTime timestamp, length bigint, content binary")
+            .option("maxFilesPerTrigger", files_per_step)
+        )
     else:
         reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     return reader.load(path).select("path", "length")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.once import once
 from ..functions.text import range_end, trim_space
 from ..schemas import CAPTURE
 
@@ -15,14 +16,15 @@ def parse_locations(lines: DataFrame, strict: bool = False) -> DataFrame:
     Other lines get an ``error``, or stop the job when ``strict``.
     """
     line = trim_space(F.col("value"))
-    fields = F.split(line, " ")
+    fields = F.col("fields")
     count = F.size(fields)
     start = F.when(count == 1, F.lit(0)).otherwise(F.get(fields, F.lit(1)).try_cast("bigint"))
     length = F.get(fields, F.lit(2)).try_cast("bigint")
     bad = (count > 3) | start.isNull() | ((count == 3) & length.isNull())
-    malformed = F.concat(F.lit("malformed location line: "), line)
+    malformed = F.concat(F.lit("malformed location line: "), F.array_join(fields, " "))
     error = F.when(bad, F.raise_error(malformed) if strict else malformed)
-    return lines.filter(line != "").select(
+    split = once(lines, fields=F.split(line, " "))
+    return split.filter(F.get(fields, F.lit(0)) != "").select(
         F.when(~bad, F.get(fields, F.lit(0))).alias("key"),
         F.when(~bad, start).alias("start"),
         F.when(~bad & (count == 3), range_end(start, length)).alias("end"),
@@ -39,7 +41,7 @@ def parse_captures(lines: DataFrame) -> DataFrame:
     entry = F.from_json(
         F.regexp_extract("value", r"^.* (\{.*)$", 1), CAPTURE, {"mode": "PERMISSIVE"}
     )
-    parsed = lines.withColumn("entry", entry)
+    parsed = once(lines, entry=entry)
     start = F.col("entry.offset").try_cast("bigint")
     end = range_end(start, F.col("entry.length").try_cast("bigint"))
     bad = F.col("entry.filename").isNull() | start.isNull() | end.isNull()

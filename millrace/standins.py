@@ -23,6 +23,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows dealt out to all cores, where the files have fewer splits than that.
+
+    For jobs that spend far more on a row than a shuffle of it costs. A table of
+    ordinary size has more splits than there are cores and is left as it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as records; their time is unknown, hence the epoch."""
     return table(spark, sf_dir, "pages").select(
@@ -180,7 +190,7 @@ def movie_uris(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def score_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One score page per event; the event type decides the layout."""
-    events = table(spark, sf_dir, "events")
+    events = spread(table(spark, sf_dir, "events"))
     critic = _text(F.floor(F.col("value") / 5))
     k = F.get_json_object("props", "$.k")
     audience = F.concat(k, F.lit("0"))
@@ -263,7 +273,12 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     to one big group; other items spend from neighbouring places of their order,
     which gives one short chain per order.
     """
-    items = table(spark, sf_dir, "lineitem")
+    items = spread(
+        table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+            "l_extendedprice", "l_returnflag",
+        )
+    )
     returned = F.col("l_returnflag") == "R"
     place = F.concat(F.lit("ord-"), _text("l_orderkey"), F.lit("-"))
     part = F.concat(F.lit("part-"), _text("l_partkey"))

@@ -1,0 +1,26 @@
+"""All registered queries against their SQL counterparts, at the smallest scale."""
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+import check
+
+
+@pytest.fixture(scope="module")
+def tables(sf_dir):
+    con = duckdb.connect()
+    for t in check.TABLES:
+        con.execute(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
+    return con
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query_equals_sql(spark, sf_dir, tables, name):
+    line = check.compare(spark, tables, name, sf_dir, entry.oracle_sql()[name])
+    assert "FAILED" not in line, line
+
+
+def test_entry(spark):
+    assert entry.entry(spark).columns == ["host", "count"]
+    assert entry.entry(spark).count() > 0
