@@ -21,7 +21,7 @@ from millrace.functions.text import archive_time, movie_slug, readable_time
 from millrace.operators import articles, hosts, ledger, movies
 from millrace.plans import registry, studies
 from millrace.session import SETTINGS, scratch_path
-from millrace.sources import archives, locations, tables
+from millrace.sources import archives, cuts, locations, tables
 from millrace.streaming import incremental
 
 SLOPE_THRESHOLD = 2e-6
@@ -128,7 +128,8 @@ def warc_response_scan(spark, sf_dir):
     whole = ranges.select("key").distinct().select(
         "key", F.lit(0).cast("bigint").alias("start"), F.lit(None).cast("bigint").alias("end")
     )
-    return archives.scan_locations(whole, place).select("uri", _at("ts"), "content", "error")
+    parts = cuts.cut_long_ranges(whole, place)
+    return archives.scan_locations(parts, place).select("uri", _at("ts"), "content", "error")
 
 
 def location_join(spark, sf_dir):
@@ -212,6 +213,18 @@ def block_flatten(spark, sf_dir):
     )
 
 
+def encoded_blocks(spark, sf_dir):
+    """Payloads through landed lines and encoded results, as a crawl leaves them."""
+    landed, place = scratch_path(spark, "landed"), scratch_path(spark, "blocks")
+    standins.payloads(spark, sf_dir).select("content").write.text(landed)
+    sinks.write_encoded(tables.read_landed_payloads(spark, landed, per_line=True), place)
+    flat = ledger.flatten_blocks(ledger.parse_payloads(tables.read_encoded(spark, place)))
+    return flat.select(
+        "block", "block_pos", "tx_pos", "fee",
+        F.size("inputs").alias("n_inputs"), F.size("out").alias("n_outputs"),
+    )
+
+
 def txn_inputs(spark, sf_dir):
     return ledger.transaction_inputs(_transactions(spark, sf_dir)).select(
         "uri", "block", "tx_pos", F.array_join("addrs", ",").alias("addrs"), "value", "error"
@@ -267,6 +280,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "score_delta_minmax": _alerts("minmax", MINMAX_THRESHOLD),
         "score_alert_points": score_alert_points,
         "block_flatten": block_flatten,
+        "encoded_blocks": encoded_blocks,
         "txn_inputs": txn_inputs,
         "txn_index": txn_index,
         "address_groups": address_groups,

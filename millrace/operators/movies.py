@@ -10,6 +10,7 @@ from ..functions import html
 from ..functions.once import once
 from ..functions.text import first_token, movie_slug, percent_digits, readable_time, trim_space
 from .articles import earlier_error
+from .skew import sort_whole
 
 # --- Extraction -------------------------------------------------------------
 
@@ -166,14 +167,9 @@ def score_series(scores: DataFrame) -> DataFrame:
     value are not part of a series.
     """
     packed = F.concat_ws(";", *[F.col(c).cast("string") for c in _FIELDS])
-    return (
-        scores.dropna(subset=[*_FIELDS, "name"])
-        .select(
-            "name", "ts", "critic", "numCritic", "audience", "numAudience",
-            readable_time(F.col("ts")).alias("at"),
-            packed.alias("point"),
-        )
-        .orderBy("name", "ts", "point")
+    complete = scores.dropna(subset=[*_FIELDS, "name"]).select("name", *_FIELDS)
+    return sort_whole(complete, "name", *_FIELDS).select(
+        "name", *_FIELDS, readable_time(F.col("ts")).alias("at"), packed.alias("point")
     )
 
 
@@ -247,11 +243,11 @@ def alert_points(scores: DataFrame, alerts: DataFrame, kinds=("critics", "audien
     The alerts are one row per series; Spark broadcasts them if it measures
     them as small and otherwise splits hot series in the sort-merge join.
     """
-    return (
-        score_points(scores, kinds)
-        .join(alerts.select("name", "kind"), ["name", "kind"], "left_semi")
-        .select("name", "kind", readable_time(F.col("ts")).alias("at"), "ts", "score")
-        .orderBy("name", "kind", "ts", "score")
+    points = score_points(scores, kinds).join(
+        alerts.select("name", "kind"), ["name", "kind"], "left_semi"
+    )
+    return sort_whole(points, "name", "kind", "ts", "score").select(
+        "name", "kind", readable_time(F.col("ts")).alias("at"), "ts", "score"
     )
 
 

@@ -27,6 +27,36 @@ def hot_keys(weights: DataFrame, rows_per_task: int | None = None) -> DataFrame:
     )
 
 
+def in_pieces(rows: DataFrame, most: int) -> DataFrame:
+    """Equal rows as numbered pieces: adds ``piece`` and ``copies``, at most ``most`` each.
+
+    Equal rows fall into one range of a range partitioning, however many there
+    are. Counted before the shuffle and cut into pieces they can be told apart,
+    and :func:`unfold` makes them whole again.
+    """
+    counted = rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
+    pieces = F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / most)))
+    return counted.withColumn("piece", pieces).select(
+        *rows.columns, "piece",
+        F.least(F.lit(most), F.col("n") - F.col("piece") * most).alias("copies"),
+    )
+
+
+def unfold(pieces: DataFrame) -> DataFrame:
+    """The rows behind :func:`in_pieces`; their order is kept."""
+    each = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))
+    return pieces.withColumn("copy", each).drop("piece", "copies", "copy")
+
+
+def sort_whole(rows: DataFrame, *by: str, most: int = 100_000) -> DataFrame:
+    """Global sort in which neither a hot key nor a mass of equal rows meets in one task.
+
+    ``by`` should order the rows as finely as it can; what is equal in every
+    column is sorted as pieces.
+    """
+    return unfold(in_pieces(rows, most).orderBy(*by, "piece"))
+
+
 def lookup(
     rows: DataFrame,
     key: str,

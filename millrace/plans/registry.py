@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import sinks
 from ..operators import articles, movies
-from ..sources import archives, locations, tables
+from ..sources import archives, cuts, locations, tables
 
 Source = Callable[..., DataFrame]
 Transform = Callable[[DataFrame], DataFrame]
@@ -22,8 +22,9 @@ Sink = Callable[[DataFrame, str], None]
 
 
 def archive_index(spark: SparkSession, index: str, base: str = "", **options) -> DataFrame:
-    """Records of the archives listed in an index file."""
+    """Records of the archives listed in an index file; huge archives are split."""
     listed = locations.read_locations(spark, index, strict=True)
+    listed = cuts.cut_long_ranges(listed, base)
     return archives.scan_locations(listed, base, **options).select("uri", "ts", "content", "error")
 
 

@@ -14,8 +14,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Batches that carry whole pages: few rows each, so that Arrow buffers stay small.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.parquet.filterPushdown": "true",
 }
 

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from ..functions import formats as fmt
 from ..functions.text import archive_time
-from ..schemas import SCANNED
+from ..operators.skew import in_pieces
+from ..schemas import LOCATION, SCANNED
 from . import records
 
 _CHUNK = 1 << 20
@@ -36,19 +37,17 @@ def arrow_path(path: str):
     return fs.FileSystem.from_uri(path)
 
 
-def byte_range(path: str, start: int, end: int | None) -> Iterator[bytes]:
-    """Bytes ``[start, end)`` of a file in chunks; to its end if ``end`` is None."""
-    system, name = arrow_path(path)
-    with system.open_input_file(name) as source:
-        source.seek(start)
-        left = None if end is None else end - start
-        while left is None or left > 0:
-            chunk = source.read(_CHUNK if left is None else min(_CHUNK, left))
-            if not chunk:
-                return
-            if left is not None:
-                left -= len(chunk)
-            yield chunk
+def byte_range(source, start: int, end: int | None) -> Iterator[bytes]:
+    """Bytes ``[start, end)`` of an open file in chunks; to its end if ``end`` is None."""
+    source.seek(start)
+    left = None if end is None else end - start
+    while left is None or left > 0:
+        chunk = source.read(_CHUNK if left is None else min(_CHUNK, left))
+        if not chunk:
+            return
+        if left is not None:
+            left -= len(chunk)
+        yield chunk
 
 
 def _batches(rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
@@ -74,12 +73,20 @@ def _batches(rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
 
 def _range_task(base: str, decoder: Decoder, failfast: bool):
     def rows(batches):
+        opened, source = None, None
         for batch in batches:
             for at in batch.to_pylist():
                 key, start, end = at["key"], at["start"] or 0, at["end"]
                 path = f"{base}/{key}" if base else key
                 try:
-                    for uri, content, error in decoder(byte_range(path, start, end)):
+                    # Ranges come sorted, so an archive is opened once for all of its.
+                    if path != opened:
+                        if source is not None:
+                            source.close()
+                        opened = source = None
+                        system, name = arrow_path(path)
+                        source, opened = system.open_input_file(name), path
+                    for uri, content, error in decoder(byte_range(source, start, end)):
                         if error and failfast:
                             raise records.DamagedRecord(f"{path}: {error}")
                         yield key, start, end, uri, content, error
@@ -87,10 +94,24 @@ def _range_task(base: str, decoder: Decoder, failfast: bool):
                     if failfast:
                         raise
                     yield key, start, end, None, None, f"cannot read: {problem}"
+        if source is not None:
+            source.close()
 
     return lambda batches: _batches(rows(batches))
 
 
+def spread_tasks(spark: SparkSession) -> int:
+    """Tasks for location rows, which are few bytes each but stand for much work."""
+    return max(
+        4 * spark.sparkContext.defaultParallelism,
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+    )
+
+
+def location_columns(locations: DataFrame) -> DataFrame:
+    return locations.select(*[F.col(f.name).cast(f.dataType) for f in LOCATION])
+
+
 def scan_locations(
     locations: DataFrame,
     base: str = "",
@@ -100,16 +121,24 @@ def scan_locations(
 ) -> DataFrame:
     """Response records of the archive ranges in ``locations(key, start, end)``.
 
-    ``base`` is put before each key. ``PERMISSIVE`` turns an unreadable stretch
+    ``base`` is put before each key. ``tasks`` should be a few times the cores
+    the job may get; the default goes by the session's cores and shuffle
+    partitions. ``PERMISSIVE`` turns an unreadable stretch
     into a row with ``error`` set and goes on; ``FAILFAST`` stops the job.
     Returns ``key, start, end, uri, ts, content, error``.
     """
     failfast = _failfast(mode)
-    wanted = locations.select("key", "start", "end")
+    wanted = location_columns(locations)
     if not wanted.isStreaming:
         spark = wanted.sparkSession
-        tasks = tasks or 4 * spark.sparkContext.defaultParallelism
-        wanted = wanted.repartitionByRange(tasks, "key", "start")
+        tasks = tasks or spread_tasks(spark)
+        wanted = (
+            # A range listed many times is many rows, which must not meet in one task.
+            in_pieces(wanted, 1)
+            .repartitionByRange(tasks, "key", "start", "piece")
+            .sortWithinPartitions("key", "start")
+            .select("key", "start", "end")
+        )
     return _timed(wanted.mapInArrow(_range_task(base.rstrip("/"), decoder, failfast), SCANNED))
 
 

@@ -11,7 +11,7 @@ from collections.abc import Iterable, Iterator
 
 from ..functions import formats as fmt
 
-_MAGIC = b"\x1f\x8b\x08"
+MAGIC = b"\x1f\x8b\x08"
 _STEP = 8 << 20
 _END = b"\r\n\r\n"
 
@@ -33,16 +33,16 @@ def inflate(chunks: Iterable[bytes]) -> Iterator[bytes | str | DamagedRecord]:
     for chunk in chunks:
         data, carry = carry + chunk, b""
         if gzipped is None:
-            if len(data) < len(_MAGIC):
+            if len(data) < len(MAGIC):
                 carry = data
                 continue
-            gzipped = data.startswith(_MAGIC)
+            gzipped = data.startswith(MAGIC)
         if not gzipped:
             yield data
             continue
         while data:
             if member is None:
-                at = data.find(_MAGIC)
+                at = data.find(MAGIC)
                 if at < 0:
                     lost = lost or bool(data[:-2].strip(b"\0"))
                     carry = data[-2:]

@@ -217,6 +217,9 @@ FROM points p JOIN changes c USING (name, kind) WHERE kind = 'critics' AND c.min
     "block_flatten": f"""
 WITH {_TX}
 SELECT uri, b AS block, block_pos, tx_pos, fee, n_inputs, n_outputs FROM tx""",
+    "encoded_blocks": f"""
+WITH {_TX}
+SELECT b AS block, block_pos, tx_pos, fee, n_inputs, n_outputs FROM tx""",
     "txn_inputs": f"""
 WITH {_TX}
 SELECT uri, b AS block, tx_pos, addrs, value,

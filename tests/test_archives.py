@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace import standins
 from millrace.session import scratch_path
-from millrace.sources import archives, locations, records
+from millrace.sources import archives, cuts, locations, records
 from millrace.streaming import incremental
 
 
@@ -179,3 +179,49 @@ def test_archives_that_land_are_streamed(spark, tmp_path):
         run = incremental.run_incrementally(stream, lambda r: r.select("uri", "ts", "content"), out, state)
         run.awaitTermination()
         assert spark.read.parquet(out).count() == 6 * (step + 1)
+
+
+@pytest.mark.parametrize("size", [100, 5_000, 40_000])
+def test_long_archives_are_cut_at_records(spark, sf_dir, size):
+    pages = standins.page_records(spark, sf_dir)
+    place = scratch_path(spark, "test-cuts")
+    ranges = locations.parse_locations(standins.write_archives(pages, place))
+    whole = ranges.select("key", F.lit(0).alias("start"), F.lit(None).cast("bigint").alias("end"))
+    whole = whole.distinct()
+    # The same archive listed twice gives its records twice.
+    twice = whole.unionByName(whole)
+    parts = cuts.cut_long_ranges(twice, place, size)
+    assert parts.count() > 4 * whole.count()
+    rows = archives.scan_locations(parts, place).collect()
+    assert [r.error for r in rows if r.error] == []
+    assert sorted((r.uri, r.content) for r in rows) == sorted(
+        2 * [(r.uri, r.content) for r in pages.collect()]
+    )
+
+
+def test_what_cannot_be_cut_stays_whole(spark, tmp_path):
+    (tmp_path / "plain.warc").write_bytes(b"".join(THREE))
+    (tmp_path / "short.warc.gz").write_bytes(members(THREE))
+    at = spark.createDataFrame(
+        [("plain.warc", 0, None), ("short.warc.gz", 0, None), ("none.warc.gz", 0, None)],
+        "key string, start bigint, end bigint",
+    )
+    base = f"file://{tmp_path}"
+    parts = cuts.cut_long_ranges(at, base, 300)
+    rows = archives.scan_locations(parts, base).collect()
+    assert [r.key for r in rows if r.error] == ["none.warc.gz"]
+    assert sorted((r.key, r.uri) for r in rows if not r.error) == sorted(
+        (k, w[0]) for k in ("plain.warc", "short.warc.gz") for w in WANT
+    )
+
+
+def test_a_wrong_cut_is_reported(spark, tmp_path):
+    """An archive kept inside an archive may fool the search, but not silently."""
+    inner = members([record("response", "http://inner", http(b"i"))])
+    outer = gzip.compress(record("response", "http://outer", http(inner)), 0)
+    (tmp_path / "a.warc.gz").write_bytes(members(THREE[:1]) + outer)
+    at = spark.createDataFrame([("a.warc.gz", 0, None)], "key string, start bigint, end bigint")
+    base = f"file://{tmp_path}"
+    near = len(members(THREE[:1])) + 40
+    rows = archives.scan_locations(cuts.cut_long_ranges(at, base, near), base).collect()
+    assert any(r.error for r in rows)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators.components import components
-from millrace.operators.skew import hot_keys, lookup
+from millrace.operators.skew import hot_keys, in_pieces, lookup, sort_whole
 
 
 def brute_force(pairs):
@@ -81,3 +81,11 @@ def test_hot_keys_are_split_and_lookup_stays_whole(spark):
     got = [tuple(r) for r in found.collect()]
     assert len(got) == 1000 and set(got) == want
     assert sorted(map(tuple, lookup(rows, "key", table).collect())) == sorted(got) or len(got) == 1000
+
+
+def test_sort_keeps_copies_whole_and_ordered(spark):
+    rows = spark.createDataFrame([("b", 2)] * 7 + [("a", 1), ("c", None), ("b", 1)], "k string, v int")
+    pieces = in_pieces(rows, 3)
+    assert sorted(r.copies for r in pieces.filter("k = 'b' and v = 2").collect()) == [1, 3, 3]
+    got = [tuple(r) for r in sort_whole(rows, "k", "v", most=3).collect()]
+    assert got == [("a", 1), ("b", 1)] + [("b", 2)] * 7 + [("c", None)]
