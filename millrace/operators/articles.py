@@ -21,7 +21,7 @@ def copy(records: DataFrame) -> DataFrame:
 
 
 def with_language(records: DataFrame) -> DataFrame:
-    return records.withColumn("lang", html.language(F.col("content")))
+    return once(records, lang=html.language(F.col("content")))
 
 
 def in_language(records: DataFrame, lang: str = fmt.ARTICLE_LANGUAGE) -> DataFrame:
@@ -37,8 +37,8 @@ def articles(records: DataFrame, lang: str = fmt.ARTICLE_LANGUAGE) -> DataFrame:
     earlier = earlier_error(records)
     # The language is tested on the raw page, before the costlier replacements.
     english = (
-        records.withColumn("error", earlier)
-        .filter((html.language(F.col("content")) == lang) | F.col("error").isNotNull())
+        with_language(records.withColumn("error", earlier))
+        .filter((F.col("lang") == lang) | F.col("error").isNotNull())
         .select("uri", "ts", "error", "content")
     )
     visible = once(english, content=html.without_hidden(F.col("content")))

@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.once import once
 from ..functions.text import host_of
 
 
+def _no_host():
+    return F.concat(F.lit("Could not extract domain from "), F.col("uri"))
+
+
 def with_host(rows: DataFrame) -> DataFrame:
     """Rows with ``host`` and, where a URI has none, ``error``."""
-    host = host_of(F.col("uri"))
-    flaw = F.when(
-        F.col("uri").isNotNull() & host.isNull(),
-        F.concat(F.lit("Could not extract domain from "), F.col("uri")),
-    )
-    return rows.withColumn("host", host).withColumn("error", flaw)
+    hosted = once(rows, host=host_of(F.col("uri")))
+    missing = F.col("uri").isNotNull() & F.col("host").isNull()
+    return hosted.withColumn("error", F.when(missing, _no_host()))
 
 
 def host_distribution(rows: DataFrame, strict: bool = False) -> DataFrame:
@@ -28,17 +30,17 @@ def host_distribution(rows: DataFrame, strict: bool = False) -> DataFrame:
     uri = F.col("uri")
     host = host_of(uri)
     if strict:
-        reason = F.concat(F.lit("Could not extract domain from "), uri)
-        host = F.coalesce(host, F.raise_error(reason).cast("string"))
+        host = F.coalesce(host, F.raise_error(_no_host()).cast("string"))
     return (
-        rows.filter(uri.isNotNull())
-        .groupBy(host.alias("host"))
-        .count()
-        # After the counting, lest the filter evaluates the host a second time.
+        once(rows.filter(uri.isNotNull()).select("uri"), host=host)
         .filter(F.col("host").isNotNull())
+        .groupBy("host")
+        .count()
         .orderBy(F.desc("count"), "host")
     )
 
 
 def report_lines(distribution: DataFrame) -> DataFrame:
-    return distribution.select(F.concat_ws(": ", "host", F.col("count").cast("string")).alias("line"))
+    return distribution.select(
+        F.concat_ws(": ", "host", F.col("count").cast("string")).alias("line")
+    )

@@ -10,7 +10,7 @@ from ..functions import html
 from ..functions.once import once
 from ..functions.text import first_token, movie_slug, percent_digits, readable_time, trim_space
 from .articles import earlier_error
-from .skew import sort_whole
+from .skew import hot_keys, lookup, sort_whole
 
 # --- Extraction -------------------------------------------------------------
 
@@ -240,11 +240,16 @@ def score_alerts(
 def alert_points(scores: DataFrame, alerts: DataFrame, kinds=("critics", "audience")) -> DataFrame:
     """The dated points behind the alerts, in order; again as rows.
 
-    The alerts are one row per series; Spark broadcasts them if it measures
-    them as small and otherwise splits hot series in the sort-merge join.
+    An alert tells how many points its series has, so the join spreads a series
+    that is too long for one task.
     """
-    points = score_points(scores, kinds).join(
-        alerts.select("name", "kind"), ["name", "kind"], "left_semi"
+    series = F.struct("name", "kind")
+    chosen = alerts.select(series.alias("series"), "points")
+    hot = hot_keys(chosen.select(F.col("series").alias("key"), F.col("points").alias("n")))
+    points = (
+        lookup(score_points(scores, kinds).withColumn("series", series), "series", chosen, hot)
+        .filter(F.col("points").isNotNull())
+        .select("name", "kind", "ts", "score")
     )
     return sort_whole(points, "name", "kind", "ts", "score").select(
         "name", "kind", readable_time(F.col("ts")).alias("at"), "ts", "score"
