@@ -23,7 +23,7 @@ def _relinked_high(links: DataFrame, salted: bool, rows_per_task: int) -> DataFr
     if salted:
         weights = links.groupBy(F.col("lo").alias("key")).agg(F.count("*").alias("n"))
         hot = hot_keys(weights, rows_per_task)
-    return lookup(links, "lo", least.withColumnRenamed("hi", "lo"), hot).select(
+    return lookup(links, "lo", least.withColumnRenamed("hi", "lo"), hot, "hi").select(
         "hi", F.coalesce("least", "lo").alias("lo"), F.col("least").isNotNull().alias("moved")
     )
 
@@ -34,7 +34,7 @@ def _relinked_low(links: DataFrame, salted: bool, rows_per_task: int) -> DataFra
     hot = None
     if salted:
         hot = hot_keys(least.select(F.col("hi").alias("key"), "n"), rows_per_task)
-    found = lookup(links, "hi", least.drop("n"), hot)
+    found = lookup(links, "hi", least.drop("n"), hot, "lo")
     moved = F.col("lo") != F.col("least")
     pair = F.struct(F.col("hi").alias("hi"), F.col("least").alias("lo"))
     step = F.struct(F.col("lo").alias("hi"), F.col("least").alias("lo"))

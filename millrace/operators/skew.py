@@ -27,6 +27,20 @@ def hot_keys(weights: DataFrame, rows_per_task: int | None = None) -> DataFrame:
     )
 
 
+def heavy_keys(
+    table: DataFrame, key: str, n: str, rows_per_task: int | None = None
+) -> DataFrame | None:
+    """Hot keys of a stored table that counts rows per key; None if no key is hot.
+
+    One look at the largest count spares the usual case, a table without hot
+    keys, all of the salting.
+    """
+    heaviest = table.agg(F.max(n)).first()[0] or 0
+    if heaviest <= (rows_per_task or ROWS_PER_TASK):
+        return None
+    return hot_keys(table.select(F.col(key).alias("key"), F.col(n).alias("n")), rows_per_task)
+
+
 def in_pieces(rows: DataFrame, most: int) -> DataFrame:
     """Equal rows as numbered pieces: adds ``piece`` and ``copies``, at most ``most`` each.
 
@@ -62,22 +76,27 @@ def lookup(
     key: str,
     table: DataFrame,
     hot: DataFrame | None = None,
+    spread_by: str | None = None,
     seed: int = 17,
 ) -> DataFrame:
     """Left join of ``rows`` with ``table`` on ``key``, unique in ``table``.
 
-    With ``hot`` given, rows of a hot key are spread at random over its salts and
-    the one table row is repeated per salt. Every salt finds the same match, so
-    the result does not depend on the draw. ``rows`` should come from files, so
-    that a repeated task draws alike.
+    With ``hot`` given, rows of a hot key are spread over its salts and the one
+    table row is repeated per salt. Every salt finds the same match, so the
+    result does not depend on who goes where. Rows go by the hash of
+    ``spread_by``, a column that differs among the rows of a key; or at random,
+    where there may be equal rows. In that case ``rows`` should come from files,
+    so that a repeated task draws alike.
     """
     if hot is None:
         return rows.join(table, key, "left")
     hot = F.broadcast(hot.withColumnRenamed("key", key))
     salts = F.coalesce(F.col("salts"), F.lit(1))
-    spread = rows.join(hot, key, "left").withColumn(
-        "salt", F.when(salts > 1, F.floor(F.rand(seed) * salts).cast("int")).otherwise(0)
-    )
+    if spread_by:
+        salt = F.pmod(F.xxhash64(spread_by), salts).cast("int")
+    else:
+        salt = F.floor(F.rand(seed) * salts).cast("int")
+    spread = rows.join(hot, key, "left").withColumn("salt", salt)
     copies = table.join(hot, key, "left").withColumn(
         "salt", F.explode(F.sequence(F.lit(0), salts - 1))
     )

@@ -26,6 +26,8 @@ def local_session(cores: int | str = 8, app: str = "millrace", **settings: str)
         "spark.sql.shuffle.partitions": str(cores if str(cores).isdigit() else 8),
         "spark.driver.memory": "16g",
         "spark.ui.enabled": "false",
+        # Call sites of every column cost more than small queries do.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **settings,
     }
     for key, value in chosen.items():

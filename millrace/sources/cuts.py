@@ -17,12 +17,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.skew import in_pieces
+from ..session import scratch_path
 from .archives import arrow_path, location_columns, spread_tasks
 from .records import MAGIC
 
 SIZE = 1 << 30
 _WINDOW = 1 << 20
-_RANGE = "key string, start bigint, end bigint"
+_MEASURED = "key string, start bigint, end bigint, piece bigint, stop bigint"
 
 
 def _sizes(base: str):
@@ -92,17 +93,20 @@ def cut_long_ranges(locations: DataFrame, base: str = "", size: int = SIZE) -> D
     spark = locations.sparkSession
     ranges = in_pieces(location_columns(locations), 1).drop("copies")
     ranges = ranges.repartitionByRange(spread_tasks(spark), "key", "start", "piece")
-    measured = ranges.mapInArrow(_sizes(base), f"{_RANGE}, piece bigint, stop bigint")
+    # Stored, so that the file system is asked once; a few bytes per range.
+    place = scratch_path(spark, "ranges")
+    ranges.mapInArrow(_sizes(base), _MEASURED).write.parquet(place)
+    measured = spark.read.schema(_MEASURED).parquet(place)
     is_long = F.coalesce(F.col("stop") - F.col("start") > size, F.lit(False))
+    if measured.filter(is_long).isEmpty():
+        return measured.select("key", "start", "end")
     whole = measured.filter(~is_long).select("key", "start", "end")
 
     # A range has at most length / size cut points, each a row of a few bytes.
     near = F.explode(F.sequence(F.col("start") + size, F.col("stop") - 1, F.lit(size)))
     points = measured.filter(is_long).withColumn("near", near)
     points = points.repartitionByRange(spread_tasks(spark), "key", "near", "piece")
-    cuts = points.mapInArrow(
-        _cut_task(base), f"{_RANGE}, piece bigint, stop bigint, near bigint, cut bigint"
-    )
+    cuts = points.mapInArrow(_cut_task(base), f"{_MEASURED}, near bigint, cut bigint")
     one = ["key", "start", "end", "piece"]
     # The range's own start is a cut too; a record longer than ``size`` gives the
     # same cut for several points.

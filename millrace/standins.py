@@ -127,7 +127,11 @@ def location_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def capture_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Capture-index lines; those of returned items lack the JSON part."""
-    items = table(spark, sf_dir, "lineitem")
+    items = spread(
+        table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_partkey", "l_quantity", "l_returnflag"
+        )
+    )
     entry = F.to_json(
         F.struct(
             F.concat(F.lit(SITE), _text("l_partkey")).alias("url"),
