@@ -6,9 +6,10 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from millrace import sinks
-from millrace.operators import quarantine
+from millrace import session, sinks
+from millrace.operators import movies, quarantine
 from millrace.plans import registry, studies
 from millrace.sources import locations, tables
 
@@ -146,3 +147,62 @@ def test_score_study(spark, tmp_path):
     (tmp_path / "r.txt").write_text("\n".join(map(encoded, rows)) + "\n")
     got = studies.score_study(spark, str(tmp_path / "r.txt"), 10.0, "minmax").collect()
     assert [(r.name, r.kind, r.minmax) for r in got] == [("a", "critics", 20.0)]
+
+
+def test_stored_scores_feed_the_alerts(spark, tmp_path):
+    scores = spark.createDataFrame(
+        [(86400 * d, "a", 10 * d, 1, 50, 2) for d in range(3)],
+        "ts long, name string, critic long, numCritic long, audience long, numAudience long",
+    )
+    scores.write.parquet(str(tmp_path / "s"))
+    stored = tables.read_scores(spark, str(tmp_path / "s"))
+    assert [r.kind for r in movies.score_alerts(stored, 19.0, "minmax").collect()] == ["critics"]
+
+
+class Numbered(DataSource):
+    """An outside system reached through Spark's own source interface."""
+
+    @classmethod
+    def name(cls):
+        return "numbered"
+
+    def schema(self):
+        return "uri string, ts timestamp, content string"
+
+    def reader(self, schema):
+        return NumberedReader()
+
+
+class NumberedReader(DataSourceReader):
+    def partitions(self):
+        return [InputPartition(i) for i in range(3)]
+
+    def read(self, partition):
+        yield f"http://n/{partition.value}", None, "text"
+
+
+def test_source_behind_the_data_source_interface(spark):
+    spark.dataSource.register(Numbered)
+    source = lambda spark, which: spark.read.format(which).load()
+    registry.register(registry.SOURCES, "outside", source)
+    try:
+        rows = registry.compose(spark, "outside", "copy", "numbered").collect()
+    finally:
+        del registry.SOURCES["outside"]
+    assert sorted(r.uri for r in rows) == ["http://n/0", "http://n/1", "http://n/2"]
+
+
+def test_scratch_folder(spark):
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        spark.conf.set("spark.checkpoint.dir", "/shared/place/")
+        assert session.scratch_root(spark) == "file:///shared/place"
+        spark.conf.set("spark.checkpoint.dir", "hdfs://n/place")
+        assert session.scratch_path(spark, "x").startswith("hdfs://n/place/millrace/x-")
+        spark.conf.unset("spark.checkpoint.dir")
+        root = session.scratch_root(spark)
+        assert root.startswith("file:///") and session.scratch_root(spark) == root
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")
+        if before:
+            spark.conf.set("spark.checkpoint.dir", before)
