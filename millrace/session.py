@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -37,20 +36,25 @@ def local_session(cores: int | str = 8, app: str = "millrace", **settings: str)
     return spark
 
 
+# Fallback folders of local sessions, by application.
+_local_roots: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Where the setting is absent a local session gets a fresh temporary folder
-    (and remembers it); on a cluster that would lose data, so it is an error.
+    Where the setting is absent a local session gets a fresh temporary folder;
+    on a cluster that would lose data, so it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return _qualified(spark, root.rstrip("/"))
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    root = "file://" + tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if context.applicationId not in _local_roots:
+        _local_roots[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="run-")
+    return _local_roots[context.applicationId]
 
 
 def _qualified(spark: SparkSession, path: str) -> str:

@@ -3,6 +3,7 @@
 import base64
 import gzip
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -159,29 +160,27 @@ def test_stored_scores_feed_the_alerts(spark, tmp_path):
     assert [r.kind for r in movies.score_alerts(stored, 19.0, "minmax").collect()] == ["critics"]
 
 
-class Numbered(DataSource):
+def test_source_behind_the_data_source_interface(spark):
     """An outside system reached through Spark's own source interface."""
 
-    @classmethod
-    def name(cls):
-        return "numbered"
-
-    def schema(self):
-        return "uri string, ts timestamp, content string"
-
-    def reader(self, schema):
-        return NumberedReader()
+    class Reader(DataSourceReader):
+        def partitions(self):
+            return [InputPartition(i) for i in range(3)]
 
+        def read(self, partition):
+            yield f"http://n/{partition.value}", None, "text"
 
-class NumberedReader(DataSourceReader):
-    def partitions(self):
-        return [InputPartition(i) for i in range(3)]
+    class Numbered(DataSource):
+        @classmethod
+        def name(cls):
+            return "numbered"
 
-    def read(self, partition):
-        yield f"http://n/{partition.value}", None, "text"
+        def schema(self):
+            return "uri string, ts timestamp, content string"
 
+        def reader(self, schema):
+            return Reader()
 
-def test_source_behind_the_data_source_interface(spark):
     spark.dataSource.register(Numbered)
     source = lambda spark, which: spark.read.format(which).load()
     registry.register(registry.SOURCES, "outside", source)
@@ -193,16 +192,13 @@ def test_source_behind_the_data_source_interface(spark):
 
 
 def test_scratch_folder(spark):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        spark.conf.set("spark.checkpoint.dir", "/shared/place/")
-        assert session.scratch_root(spark) == "file:///shared/place"
-        spark.conf.set("spark.checkpoint.dir", "hdfs://n/place")
-        assert session.scratch_path(spark, "x").startswith("hdfs://n/place/millrace/x-")
-        spark.conf.unset("spark.checkpoint.dir")
-        root = session.scratch_root(spark)
-        assert root.startswith("file:///") and session.scratch_root(spark) == root
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
-        if before:
-            spark.conf.set("spark.checkpoint.dir", before)
+    def told(root, master="local[2]"):
+        context = SimpleNamespace(master=master, applicationId="test", _jsc=spark.sparkContext._jsc)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda *_: root), sparkContext=context)
+
+    assert session.scratch_root(told("/shared/place/")) == "file:///shared/place"
+    assert session.scratch_path(told("hdfs://n/a"), "x").startswith("hdfs://n/a/millrace/x-")
+    root = session.scratch_root(told(None))
+    assert root.startswith("file:///") and session.scratch_root(told(None)) == root
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.scratch_root(told(None, "spark://host:7077"))
