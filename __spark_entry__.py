@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import sinks, standins
-from millrace.functions.text import archive_time, movie_slug, readable_time
+from millrace.functions.text import archive_time, movie_slug
 from millrace.operators import articles, hosts, ledger, movies
 from millrace.plans import registry, studies
 from millrace.session import SETTINGS, scratch_path

@@ -10,6 +10,7 @@ ROWS_PER_TASK = 4_000_000
 # At most this many keys are treated as hot. It bounds the broadcast list; a key
 # beyond it has less than 1/10,000 of all rows and takes the ordinary way.
 HOT_KEYS = 10_000
+_SPAN = 100_000
 
 
 def hot_keys(weights: DataFrame, rows_per_task: int | None = None) -> DataFrame:
@@ -49,8 +50,12 @@ def in_pieces(rows: DataFrame, most: int) -> DataFrame:
     and :func:`unfold` makes them whole again.
     """
     counted = rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
-    pieces = F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / most)))
-    return counted.withColumn("piece", pieces).select(
+    last = F.floor((F.col("n") - 1) / most)
+    # In two steps, so that no array is longer than a span.
+    block = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(last / _SPAN)))
+    begin = F.col("block") * _SPAN
+    piece = F.explode(F.sequence(begin, F.least(begin + (_SPAN - 1), last)))
+    return counted.withColumn("block", block).withColumn("piece", piece).select(
         *rows.columns, "piece",
         F.least(F.lit(most), F.col("n") - F.col("piece") * most).alias("copies"),
     )

@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .. import sinks
 from ..operators import articles, movies
@@ -79,8 +78,3 @@ def run(
     """A whole crawl job: read, transform, append the results."""
     rows = compose(spark, source, transform, source_input, **options)
     _named("sink", SINKS, sink)(rows, output)
-
-
-def uris(rows: DataFrame) -> DataFrame:
-    """Rows that are results, not errors."""
-    return rows.filter(F.col("uri").isNotNull())

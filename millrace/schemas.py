@@ -2,12 +2,10 @@
 
 from pyspark.sql.types import (
     ArrayType,
-    DoubleType,
     LongType,
     StringType,
     StructField,
     StructType,
-    TimestampType,
 )
 
 
@@ -15,9 +13,6 @@ def _struct(*fields):
     return StructType([StructField(name, kind, True) for name, kind in fields])
 
 
-# The universal row.
-RECORD = _struct(("uri", StringType()), ("ts", TimestampType()), ("content", StringType()))
-
 # A byte range [start, end) of an archive; no end means up to the end of the file.
 LOCATION = _struct(("key", StringType()), ("start", LongType()), ("end", LongType()))
 
@@ -75,19 +70,3 @@ TRANSACTION = _struct(
 )
 BLOCK = _struct(("block_index", LongType()), ("tx", ArrayType(TRANSACTION)))
 PAYLOAD = StructType([StructField("blocks", ArrayType(BLOCK), True)])
-
-EDGE = _struct(
-    ("block", LongType()),
-    ("idx", LongType()),
-    ("group_addr", StringType()),
-    ("out_addr", StringType()),
-    ("amount", LongType()),
-    ("fee", LongType()),
-)
-
-ALERT = _struct(
-    ("name", StringType()),
-    ("kind", StringType()),
-    ("minmax", DoubleType()),
-    ("slope", DoubleType()),
-)

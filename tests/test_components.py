@@ -89,3 +89,10 @@ def test_sort_keeps_copies_whole_and_ordered(spark):
     assert sorted(r.copies for r in pieces.filter("k = 'b' and v = 2").collect()) == [1, 3, 3]
     got = [tuple(r) for r in sort_whole(rows, "k", "v", most=3).collect()]
     assert got == [("a", 1), ("b", 1)] + [("b", 2)] * 7 + [("c", None)]
+
+
+def test_pieces_of_many_copies(spark):
+    rows = spark.range(250_000).select(F.lit("x").alias("k"))
+    pieces = in_pieces(rows, 1)
+    got = pieces.agg(F.count("*"), F.countDistinct("piece"), F.sum("copies"), F.max("piece")).first()
+    assert tuple(got) == (250_000, 250_000, 250_000, 249_999)
