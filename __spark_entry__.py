@@ -287,9 +287,27 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "group_sizes": group_sizes,
         "txn_edges": txn_edges,
     }
+    jobs.update(_llm_part("QUERIES"))
     return {name: _with_settings(job) for name, job in jobs.items()}
 
 
+def _llm_part(name: str) -> dict:
+    """Queries or SQL of the training-data operators and their pipeline, if both are there."""
+    here = os.path.dirname(os.path.abspath(__file__))
+    parts = os.path.join(here, "millrace", "llm", "queries.py"), os.path.join(here, "corpus_pipeline.py")
+    if not all(map(os.path.exists, parts)):
+        return {}
+    import corpus_pipeline
+    from millrace.llm import queries as llm
+
+    found = dict(getattr(llm, name))
+    if name == "QUERIES":
+        found["pipeline"] = corpus_pipeline.run
+    elif corpus_pipeline.ORACLE_SQL:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
+
+
 def _with_settings(job):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         return job(_prepared(spark), sf_dir)
@@ -301,4 +319,4 @@ def oracle_sql() -> dict[str, str]:
     """The same results in SQL for DuckDB."""
     from oracles import ORACLES
 
-    return ORACLES
+    return ORACLES | _llm_part("ORACLES")
