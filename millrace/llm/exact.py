@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import id_and_text, placed, stored
 
 LEAST, MOST = 512, 8192
-# So many clashing chunks at most are broadcast, 320 MB if all are as long as can be.
+# So many clashing hashes or chunks at most are broadcast; 320 MB if all chunks are as long as can be.
 FEW = 10_000
 
 
@@ -44,12 +44,21 @@ def chunk_store(docs: DataFrame, least: int = LEAST, most: int = MOST) -> DataFr
     return each.select(F.xxhash64("chunk").alias("hash"), "chunk").distinct()
 
 
-def clashes(store: DataFrame) -> DataFrame:
-    """``hash, chunk, nth`` of the chunks that share their hash with another."""
-    twice = store.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash")
-    found = store.join(twice, "hash")
+def clashes(store: DataFrame) -> DataFrame | None:
+    """``hash, chunk, nth`` of the chunks that share their hash with another; None if none do.
+
+    Hashes alone are counted first, so chunks move again only if some clash.
+    """
+    twice = stored(
+        store.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"), "twice"
+    )
+    few = twice.limit(FEW + 1).count()
+    if not few:
+        return None
+    found = store.join(F.broadcast(twice) if few <= FEW else twice, "hash")
     order = Window.partitionBy("hash").orderBy("chunk")
-    return found.select("hash", "chunk", (F.row_number().over(order) - 1).alias("nth"))
+    named = found.select("hash", "chunk", (F.row_number().over(order) - 1).alias("nth"))
+    return stored(named, "clashes")
 
 
 def recipes(docs: DataFrame, least: int = LEAST, most: int = MOST, bits: int = 64) -> DataFrame:
@@ -74,11 +83,8 @@ def recipes(docs: DataFrame, least: int = LEAST, most: int = MOST, bits: int = 6
     store = chunk_store(docs, least, most)
     if bits < 64:
         store = store.withColumn("hash", hashed(F.col("chunk")))
-    clashing = stored(clashes(store), "clashes")
-    few = clashing.limit(FEW + 1).count()
-    if not few:
-        return plain
-    return stored(_told_apart(rows, F.broadcast(clashing) if few <= FEW else clashing, hashed), "recipes")
+    clashing = clashes(store)
+    return stored(_told_apart(rows, clashing, hashed), "recipes") if clashing else plain
 
 
 def _told_apart(rows: DataFrame, clashing: DataFrame, hashed) -> DataFrame:
@@ -87,6 +93,8 @@ def _told_apart(rows: DataFrame, clashing: DataFrame, hashed) -> DataFrame:
         "doc_id", F.sha2("text", 256).alias("text_sha256"), "part", "row",
         F.posexplode_outer("chunks").alias("pos", "chunk"),
     )
+    if clashing.limit(FEW + 1).count() <= FEW:
+        clashing = F.broadcast(clashing)
     named = each.withColumn("hash", hashed(F.col("chunk"))).join(clashing, ["hash", "chunk"], "left")
     item = F.struct("pos", "hash", F.coalesce("nth", F.lit(0)).cast("bigint").alias("nth"))
     whole = named.groupBy("row").agg(
@@ -116,7 +124,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     """``doc_id, keep_id, group_size, kept, text_sha256`` for every row."""
     found = recipes(docs)
     shared = F.col("group_size").isNotNull()
-    return found.join(groups(found), "recipe", "left").select(
+    # Stored, so that the join's two sides come from shuffles and a hot recipe is split.
+    return found.join(stored(groups(found), "groups"), "recipe", "left").select(
         "doc_id",
         F.when(shared, F.col("keep_id")).otherwise(F.col("doc_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("bigint").alias("group_size"),

@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from . import exact, simhash
+from pyspark.sql import functions as F
+
+from . import exact, packing, simhash, tokenfile
 from .common import table
 
 
+def op2_packing(spark, sf_dir):
+    pieces = packing.tokenized_pieces(table(spark, sf_dir, "documents"))
+    digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.packed(digests)
+
+
 def op5_exact_dedup(spark, sf_dir):
     return exact.deduplicated(table(spark, sf_dir, "documents"))
 
@@ -14,7 +22,19 @@ def op8_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_exact_dedup, op8_simhash)}
+def op7_token_files(spark, sf_dir):
+    files = tokenfile.write_tokens(table(spark, sf_dir, "documents"))
+    return tokenfile.read_tokens(spark, files).select(
+        "doc_id",
+        "start",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
+QUERIES = {
+    f.__name__: f for f in (op2_packing, op5_exact_dedup, op7_token_files, op8_simhash)
+}
 
 ORACLES = {
     "op5_exact_dedup": """
