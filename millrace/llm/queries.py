@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact, packing, simhash, tokenfile
+from . import exact, packing, rules, sharding, simhash, tokenfile
 from .common import table
 
 
@@ -14,6 +14,10 @@ def op2_packing(spark, sf_dir):
     return packing.packed(digests)
 
 
+def op4_sharding(spark, sf_dir):
+    return sharding.sharded(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark, sf_dir):
     return exact.deduplicated(table(spark, sf_dir, "documents"))
 
@@ -22,6 +26,10 @@ def op8_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_quality_rules(spark, sf_dir):
+    return rules.judged(table(spark, sf_dir, "documents")).drop("quality")
+
+
 def op7_token_files(spark, sf_dir):
     files = tokenfile.write_tokens(table(spark, sf_dir, "documents"))
     return tokenfile.read_tokens(spark, files).select(
@@ -33,7 +41,11 @@ def op7_token_files(spark, sf_dir):
 
 
 QUERIES = {
-    f.__name__: f for f in (op2_packing, op5_exact_dedup, op7_token_files, op8_simhash)
+    f.__name__: f
+    for f in (
+        op2_packing, op4_sharding, op5_exact_dedup, op6_quality_rules, op7_token_files,
+        op8_simhash,
+    )
 }
 
 ORACLES = {

@@ -283,6 +283,7 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     found = classes.join(answers, "fingerprint", "left").select(
         "fingerprint", F.coalesce("component_id", "least_id").alias("component_id")
     )
-    return each.join(found, "fingerprint").select(
+    # Stored, so that both sides of the join come from shuffles and a hot fingerprint is split.
+    return each.join(stored(found, "found"), "fingerprint").select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
     )
