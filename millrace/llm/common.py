@@ -66,3 +66,21 @@ def without(rows: DataFrame, dropped: DataFrame) -> DataFrame:
 def fold(of: int) -> Column:
     """The fold of a row: crc32 of its id as text, modulo ``of``."""
     return F.crc32(F.col("doc_id").cast("string")) % of
+
+
+def label_sample(labels: DataFrame, label: str, of: int, held_out: int, most: int) -> DataFrame:
+    """``doc_id, label`` of about ``most`` labelled rows outside the held-out fold.
+
+    Rows are chosen by a hash of their id, so every run chooses the same; of
+    several labels of one id the largest counts, missing ones none. The result
+    is small enough to broadcast.
+    """
+    usable = labels.filter(
+        F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (fold(of) != held_out)
+    )
+    rows = usable.groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
+    count = rows.count()
+    if count > most:
+        span = 1 << 30
+        rows = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(span)) < span * most // count)
+    return rows

@@ -4,16 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact, packing, rules, sharding, simhash, tokenfile
+from . import (
+    edits, exact, gam, packing, pieces, rules, sharding, simhash, tokenfile, toxicity,
+)
 from .common import table
 
 
+def op1_edit_counts(spark, sf_dir):
+    changed = edits.drawn_edits(table(spark, sf_dir, "documents"))
+    done = edits.edited(edits.built(changed))
+    return done.select(
+        "doc_id", "n_tokens", "edited_tokens", F.size("segment_chars").alias("n_segments"),
+        "n_encoded", F.crc32(F.col("text").cast("binary")).alias("text_crc32"),
+    )
+
+
 def op2_packing(spark, sf_dir):
     pieces = packing.tokenized_pieces(table(spark, sf_dir, "documents"))
     digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return packing.packed(digests)
 
 
+def op3_toxicity(spark, sf_dir):
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_sharding(spark, sf_dir):
     return sharding.sharded(table(spark, sf_dir, "documents"))
 
@@ -40,11 +55,25 @@ def op7_token_files(spark, sf_dir):
     )
 
 
+def op9_sampled_pieces(spark, sf_dir):
+    back = pieces.decoded(pieces.sampled(table(spark, sf_dir, "documents")))
+    return back.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_pieces"),
+        F.crc32("ids").alias("ids_crc32"), "text_crc32",
+        F.crc32(F.col("decoded").cast("binary")).alias("decoded_crc32"),
+    )
+
+
+def op10_quality_classifier(spark, sf_dir):
+    return gam.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        op2_packing, op4_sharding, op5_exact_dedup, op6_quality_rules, op7_token_files,
-        op8_simhash,
+        op1_edit_counts, op2_packing, op3_toxicity, op4_sharding, op5_exact_dedup,
+        op6_quality_rules, op7_token_files, op8_simhash, op9_sampled_pieces,
+        op10_quality_classifier,
     )
 }
 
