@@ -44,9 +44,8 @@ def tokenized_pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = (t.as_py() for t in batch.column("text"))
             which, starts, lengths, totals, pieces, size = [], [], [], [], [], 0
-            for i, ids in enumerate(encoder(path).encode(texts)):
+            for i, ids in enumerate(encoder(path).encode(batch.column("text"))):
                 ids += close
                 at = 0
                 for length in cuts(len(ids) // 4, capacity):

@@ -105,8 +105,8 @@ def write_tokens(docs: DataFrame, place: str | None = None, tokenizer: str | Non
             if not batch.num_rows:
                 continue
             writer = writer or _Writer(place, f"{part:06d}-{uuid.uuid4().hex}.pfor")
-            texts = (t.as_py() for t in batch.column("text"))
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder(path).encode(texts), strict=True):
+            every = encoder(path).encode(batch.column("text"))
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), every, strict=True):
                 writer.add(doc_id, ids + close)
         if writer:
             name, ids, count, size = writer.close()

@@ -1,28 +1,38 @@
 """Fast use of a public byte-level BPE tokenizer inside tasks.
 
 A byte-level BPE encodes each pre-token on its own, and a pre-token never goes
-on past a space or a line break, except in a run of white space. So a text
-falls apart at spaces and line breaks, and the ids of a word are looked up
-before they are computed. What the tokenizers library says of the whole text is
-what the parts give; texts with longer runs of white space go to it whole.
+on past a space or a line break, except in a run of white space. So texts
+are cut at spaces and line breaks; the distinct words of a batch are looked up in what the
+worker remembers, the rest is encoded by the tokenizers library, and the ids of the texts are
+put together from them. The result is what the library gives for the whole text; texts with
+longer runs of white space go to it whole.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 BYTE_BPE = "byte_bpe_50k.json"
 # Two generations of remembered words; the older one goes when the younger is full.
 REMEMBERED = 300_000
-# Characters of text whose unknown words are encoded together.
-TOGETHER = 100_000
+# Characters whose words are looked up together, and the most of one text at a time.
+TOGETHER = 4_000_000
 # A space or line break inside a longer run of white space starts no pre-token.
-_RUN = re.compile(r"\s[ \n](?:\s|\Z)|[ \n]\s\Z|\n\s\s")
+_RUN = re.compile(r"\s[ \n](?:\s|\Z)|[ \n]\s\Z|\n\s\s|\0")
+# Any two of these together, other white space, or the mark used for cutting.
+_DOUBT = (
+    r"[ \n][ \n]|[\x00\t\v\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
+# A place where a text may always be cut.
+_SAFE = re.compile(r"(?<=\S) (?=\S)")
 
 
 def tokenizer_path(name: str = BYTE_BPE) -> str:
@@ -42,101 +52,113 @@ class WordEncoder:
         self._whole = Tokenizer.from_file(path)
         self._whole.encode_special_tokens = True  # their names in a text are text
         self._remembered = remembered
-        # Words after a space, words that begin a line; each young and old.
-        self._young: list[dict[str, bytes]] = [{}, {}]
-        self._old: list[dict[str, bytes]] = [{}, {}]
         self._break = self.whole("\n")
         self._marks = {c: self.whole(c) for c in ".,"}
+        self._young: dict[str, bytes] = {"": b"", "\n": self._break}
+        self._old: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         """What the library gives for the text as it is."""
         found = self._whole.encode(text, add_special_tokens=False).ids
         return np.array(found, "<u4").tobytes()
 
-    def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+    def encode(self, texts: pa.Array | list[str | None]) -> Iterator[bytes]:
         """Ids of each text, in order; a missing text has none."""
-        batch, size = [], 0
-        for text in texts:
-            batch.append(text or "")
-            size += len(batch[-1])
-            if size > TOGETHER:
-                yield from self._encode(batch)
-                batch, size = [], 0
-        yield from self._encode(batch)
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        later, first = self._young[0].get, self._young[1].get
-        found: list = []
-        gaps = []
-        for text in texts:
-            if _RUN.search(text):
-                found.append(self.whole(text))
-                continue
-            lines = []
-            for line in text.split("\n"):
-                words = line.split(" ")
-                ids = list(map(later, words))
-                ids[0] = first(words[0]) if words[0] else b""
-                if None in ids:
-                    gaps.append((words, ids))
-                lines.append(ids)
-            found.append(lines)
-        if gaps:
-            self._fill(gaps)
-        return [
-            x if isinstance(x, bytes) else self._break.join(map(b"".join, x)) for x in found
-        ]
-
-    def _fill(self, gaps: list[tuple[list[str], list]]) -> None:
-        needed: tuple[set[str], set[str]] = (set(), set())
-        holes = [(words, ids, [i for i, x in enumerate(ids) if x is None]) for words, ids in gaps]
-        for words, _, at in holes:
-            for i in at:
-                needed[i == 0].add(words[i])
-        known = [self._look_up(needed[k], k) for k in (0, 1)]
-        for words, ids, at in holes:
-            for i in at:
-                ids[i] = known[i == 0][words[i]]
-
-    def _look_up(self, words: set[str], begins: int) -> dict[str, bytes]:
-        """``words`` and perhaps more; remembers what is new."""
-        young, old = self._young[begins], self._old[begins]
-        new = []
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        column = column.fill_null("")
+        sizes = np.cumsum(pc.utf8_length(column).to_numpy(zero_copy_only=False).astype(np.int64))
+        begin = 0
+        while begin < len(column):
+            done = sizes[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(sizes, done + TOGETHER, "right")))
+            if sizes[begin] - done > TOGETHER:
+                yield self._long(column[begin].as_py())
+                end = begin + 1
+            else:
+                yield from self._encode(column.slice(begin, end - begin))
+            begin = end
+
+    def _long(self, text: str) -> bytes:
+        """A very long text in parts, cut where a pre-token surely begins."""
+        parts, begin = [], 0
+        while begin < len(text):
+            cut = _SAFE.search(text, begin + TOGETHER // 2)
+            end = cut.start() if cut else len(text)
+            parts.extend(self._encode(pa.array([text[begin:end]])))
+            begin = end
+        return b"".join(parts)
+
+    def _encode(self, column: pa.Array) -> list[bytes]:
+        # Texts whose white space is single spaces and line breaks need no closer look.
+        doubtful = pc.match_substring_regex(column, _DOUBT)
+        apart = {}
+        for i in np.flatnonzero(doubtful.to_numpy(zero_copy_only=False)).tolist():
+            if _RUN.search(text := column[i].as_py()):
+                apart[i] = self.whole(text)
+        if apart:
+            keep = np.ones(len(column), bool)
+            keep[list(apart)] = False
+            column = pc.if_else(pa.array(keep), column, "")
+        marked = pc.replace_substring(column, " ", "\0 ")
+        lists = pc.split_pattern(pc.replace_substring(marked, "\n", "\0\n\0"), "\0")
+        every = lists.flatten().dictionary_encode()
+        which = every.indices.to_numpy()
+        known = self._look_up(every.dictionary.to_pylist())
+        lengths = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        flat = np.frombuffer(b"".join(known), "<u4")
+        times = lengths[which]
+        after = np.cumsum(times)
+        shift = (np.cumsum(lengths) - lengths)[which] - (after - times)
+        ids = flat[np.repeat(shift, times) + np.arange(after[-1] if len(after) else 0)]
+        counts = np.cumsum(pc.list_value_length(lists).to_numpy())
+        ends = np.concatenate([[0], after])[counts].tolist()
+        found, begin = [], 0
+        for i, end in enumerate(ends):
+            found.append(apart[i] if i in apart else ids[begin:end].tobytes())
+            begin = end
+        return found
+
+    def _look_up(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words, each with the space before it; remembers what is new."""
+        found = list(map(self._young.get, words))
+        if None in found:
+            missing = [w for w, ids in zip(words, found, strict=True) if ids is None]
+            self._remember(missing)
+            found = list(map(self._young.__getitem__, words))
+            if len(self._young) > self._remembered:
+                self._young, self._old = {"": b"", "\n": self._break}, self._young
+        return found
+
+    def _remember(self, words: list[str]) -> None:
+        young, old = self._young, self._old
+        ended, bare = [], {}
         for w in words:
             if (ids := old.get(w)) is not None:
                 young[w] = ids
-            else:
-                new.append(w)
-        # A full stop or comma after a letter is a pre-token of its own.
-        ended, bare = [], set()
-        for w in new:
-            if w[-1:] in self._marks and "A" <= w[-2:-1] <= "ÿ" and w[-2].isalpha():
+            # A full stop or comma after a letter is a pre-token of its own.
+            elif w[-1] in ".," and "A" <= w[-2:-1] <= "ÿ" and w[-2].isalpha():
                 ended.append(w)
-                bare.add(w[:-1])
+                bare[w[:-1]] = None
             else:
-                bare.add(w)
-        self._learn([w for w in bare if w not in young], "" if begins else " ", young)
+                bare[w] = None
+        self._learn([w for w in bare if w not in young], young)
         for w in ended:
             young[w] = young[w[:-1]] + self._marks[w[-1]]
-        if len(young) > self._remembered:
-            self._young[begins], self._old[begins] = {}, young
-        return young
 
-    def _learn(self, words: list[str], lead: str, into: dict[str, bytes]) -> None:
+    def _learn(self, words: list[str], into: dict[str, bytes]) -> None:
         """Encode many words as lines of one text and cut the ids at the line breaks."""
         plain = []
         for w in words:
-            if w and w == w.strip():
+            bare = w[1:] if w[0] == " " else w
+            if bare.split() == [bare]:
                 plain.append(w)
             else:
-                into[w] = self.whole(lead + w)
+                into[w] = self.whole(w)
         line_break = int.from_bytes(self._break, "little")
         for at in range(0, len(plain), 500):
             part = plain[at : at + 500]
-            text = "\n".join([lead + w for w in part])
-            ids = np.array(
-                self._whole.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4"
-            )
+            found = self._whole.encode_batch_fast(["\n".join(part)], add_special_tokens=False)
+            ids = np.array(found[0].ids, "<u4")
             ends = np.append(np.flatnonzero(ids == line_break), len(ids)) * 4
             raw, begin = ids.tobytes(), 0
             for w, end in zip(part, ends.tolist(), strict=True):
