@@ -132,3 +132,30 @@ def deduplicated(docs: DataFrame) -> DataFrame:
         F.when(shared, F.col("row") == F.col("keep_row")).otherwise(F.lit(True)).alias("kept"),
         "text_sha256",
     )
+
+
+def kept(docs: DataFrame) -> DataFrame:
+    """One row of each text, all columns as they are."""
+    verdicts = stored(deduplicated(docs), "verdicts")
+    staying = verdicts.filter("kept").select(F.col("doc_id").alias("kept_id"), "text_sha256")
+    same_id = F.col("doc_id").eqNullSafe(F.col("kept_id"))
+    repeated = verdicts.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
+    repeated = stored(repeated.select(F.col("doc_id").alias("repeated_id")), "repeated")
+    if repeated.isEmpty():
+        return docs.join(staying.select("kept_id"), same_id, "left_semi")
+    # Where several rows have one id, the id alone does not say which of them stays.
+    is_repeated = F.col("doc_id").eqNullSafe(F.col("repeated_id"))
+    single = docs.join(repeated, is_repeated, "left_anti")
+    unclear = docs.join(repeated, is_repeated, "left_semi")
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    of_text = same_id & (digest == F.col("text_sha256"))
+    names = docs.columns
+    whole = F.struct(*[F.col(f"`{c}`") for c in names]).alias("kept_row")
+    once = (
+        unclear.join(staying, of_text, "left_semi")
+        .select(whole, F.col("doc_id").alias("id"), digest.alias("digest"))
+        .dropDuplicates(["id", "digest"])
+    )
+    return single.join(staying.select("kept_id"), same_id, "left_semi").union(
+        once.select(*[F.col(f"kept_row.`{c}`") for c in names])
+    )

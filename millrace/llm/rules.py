@@ -89,6 +89,8 @@ def votes_of(patterns: np.ndarray, n_rules: int) -> np.ndarray:
 
 def posterior(patterns: np.ndarray, weights: np.ndarray, n_rules: int, rounds: int = 200) -> np.ndarray:
     """Probability that texts of each pattern are good."""
+    if not len(patterns):
+        return np.zeros(0)
     votes = votes_of(patterns, n_rules)
     spoken = np.maximum(1, (votes != ABSTAIN).sum(axis=1))
     good = 0.1 + 0.8 * (votes == KEEP).sum(axis=1) / spoken

@@ -287,3 +287,10 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     return each.join(stored(found, "found"), "fingerprint").select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def kept(docs: DataFrame) -> DataFrame:
+    """The rows that bear the smallest id of their component, all columns as they are."""
+    found = near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    staying = stored(found.select(F.col("doc_id").alias("kept_id")).distinct(), "staying")
+    return docs.join(staying, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")

@@ -33,7 +33,7 @@ THRESHOLD = 0.5
 VOCABULARY = 4096
 BEGINNINGS = (4, 5, 6)
 # Texts that must have a feature, and how clearly it must go with a label.
-LEAST_TEXTS, LEAST_Z = 4, 4.0
+LEAST_TEXTS, LEAST_Z = 3, 2.2
 RIDGE, COUNTERFACTUAL, ROUNDS = 5e-5, 1.0, 400
 # Names that may stand for each other; a parameter of fitting.
 IDENTITIES = (
