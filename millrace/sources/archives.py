@@ -37,6 +37,20 @@ def arrow_path(path: str):
     return fs.FileSystem.from_uri(path)
 
 
+def opened(base: str, key: str):
+    """An archive opened for reading.
+
+    ``base`` is a location with its file system, the key a plain path below it, in which no
+    character has a meaning of its own. Without a base the key is the whole location.
+    """
+    if not base:
+        system, name = arrow_path(key)
+    else:
+        system, root = arrow_path(base)
+        name = f"{root.rstrip('/')}/{key}"
+    return system.open_input_file(name)
+
+
 def byte_range(source, start: int, end: int | None) -> Iterator[bytes]:
     """Bytes ``[start, end)`` of an open file in chunks; to its end if ``end`` is None."""
     source.seek(start)
@@ -73,24 +87,28 @@ def _batches(rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
 
 def _range_task(base: str, decoder: Decoder, failfast: bool):
     def rows(batches):
-        opened, source = None, None
+        held, source, size = None, None, 0
         for batch in batches:
             for at in batch.to_pylist():
                 key, start, end = at["key"], at["start"] or 0, at["end"]
                 path = f"{base}/{key}" if base else key
                 try:
+                    if start < 0 or (end is not None and end <= start):
+                        raise ValueError(f"no such range [{start}, {end})")
                     # Ranges come sorted, so an archive is opened once for all of its.
-                    if path != opened:
+                    if path != held:
                         if source is not None:
                             source.close()
-                        opened = source = None
-                        system, name = arrow_path(path)
-                        source, opened = system.open_input_file(name), path
+                        held = source = None
+                        source, held = opened(base, key), path
+                        size = source.size()
+                    if start > size:
+                        raise ValueError(f"starts after the archive's end at {size}")
                     for uri, content, error in decoder(byte_range(source, start, end)):
                         if error and failfast:
                             raise records.DamagedRecord(f"{path}: {error}")
                         yield key, start, end, uri, content, error
-                except OSError as problem:
+                except (OSError, ValueError) as problem:
                     if failfast:
                         raise
                     yield key, start, end, None, None, f"cannot read: {problem}"

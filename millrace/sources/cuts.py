@@ -3,9 +3,11 @@
 Archives are gzipped record by record, which lets a reader start at any member.
 Where members start is not written down, so a job looks for the first one at or
 after every cut point: the gzip signature, followed by bytes that unpack to the
-head of an archive record. Each range between two cuts must then end exactly
-where a member ends; if a cut were wrong (an archive stored inside an archive),
-the scan of the range before it reports an error rather than losing rows.
+head of an archive record. That may be a record of an archive stored inside the archive, so
+every cut is proven: a second job reads on from each cut to the first later one at which
+a member of its own begins, and only the cuts on the way from the range's start
+are used. Then the parts hold exactly the members that one reader of the whole range sees,
+whatever the size of the parts. Long archives are read twice for it.
 """
 
 from __future__ import annotations
@@ -18,8 +20,8 @@ from pyspark.sql import functions as F
 
 from ..operators.skew import in_pieces
 from ..session import scratch_path
-from .archives import arrow_path, location_columns, spread_tasks
-from .records import MAGIC
+from .archives import byte_range, location_columns, opened, spread_tasks
+from .records import MAGIC, first_member_at
 
 SIZE = 1 << 30
 _WINDOW = 1 << 20
@@ -34,8 +36,11 @@ def _sizes(base: str):
             stops = []
             for key, end in zip(batch.column("key").to_pylist(), batch.column("end").to_pylist()):
                 if end is None:
-                    system, name = arrow_path(f"{base}/{key}" if base else key)
-                    end = system.get_file_info(name).size
+                    try:
+                        with opened(base, key) as source:
+                            end = source.size()
+                    except (OSError, ValueError):
+                        end = None  # the scan reports it
                 stops.append(end)
             yield batch.append_column("stop", pa.array(stops, pa.int64()))
 
@@ -71,18 +76,41 @@ def _cut_task(base: str):
         for batch in batches:
             cuts = []
             for row in batch.to_pylist():
-                system, name = arrow_path(f"{base}/{row['key']}" if base else row["key"])
-                with system.open_input_file(name) as source:
-                    source.seek(row["start"])
-                    packed = source.read(len(MAGIC)) == MAGIC
-                    cuts.append(
-                        member_start(source, row["near"], row["stop"]) if packed else None
-                    )
+                found = None
+                try:
+                    with opened(base, row["key"]) as source:
+                        source.seek(row["start"])
+                        if source.read(len(MAGIC)) == MAGIC:
+                            found = member_start(source, row["near"], row["stop"])
+                except (OSError, ValueError):
+                    pass  # not cut; the scan reports it
+                cuts.append(found)
             yield batch.append_column("cut", pa.array(cuts, pa.int64()))
 
     return cut
 
 
+def _proof_task(base: str):
+    """Adds ``reached``: the later cut at which a reader that starts at ``cut`` begins a member."""
+
+    def prove(batches):
+        for batch in batches:
+            reached = []
+            for row in batch.to_pylist():
+                try:
+                    with opened(base, row["key"]) as source:
+                        later = {c - row["cut"] for c in row["cuts"] if c > row["cut"]}
+                        found = later and first_member_at(
+                            byte_range(source, row["cut"], row["stop"]), later
+                        )
+                except (OSError, ValueError):
+                    found = None
+                reached.append(row["cut"] + found if found else None)
+            yield batch.append_column("reached", pa.array(reached, pa.int64()))
+
+    return prove
+
+
 def cut_long_ranges(locations: DataFrame, base: str = "", size: int = SIZE) -> DataFrame:
     """Ranges ``key, start, end`` with those longer than about ``size`` cut into several.
 
@@ -111,12 +139,40 @@ def cut_long_ranges(locations: DataFrame, base: str = "", size: int = SIZE) -> D
     # The range's own start is a cut too; a record longer than ``size`` gives the
     # same cut for several points.
     starts = (
-        cuts.select(*one, F.explode(F.array("start", "cut")).alias("cut"))
+        cuts.select(*one, "stop", F.explode(F.array("start", "cut")).alias("cut"))
         .filter(F.col("cut").isNotNull())
         .distinct()
     )
-    following = F.lead("cut").over(Window.partitionBy(*one).orderBy("cut"))
-    parts = starts.select(
-        "key", F.col("cut").alias("start"), F.coalesce(following, F.col("end")).alias("end")
+    # Cuts of a range are few: its length by ``size``.
+    every = F.sort_array(F.collect_list("cut").over(Window.partitionBy(*one)))
+    candidates = starts.select(*one, "stop", "cut", every.alias("cuts"))
+    candidates = candidates.repartitionByRange(spread_tasks(spark), "key", "cut", "piece")
+    proven = candidates.mapInArrow(
+        _proof_task(base), f"{_MEASURED}, cut bigint, cuts array<bigint>, reached bigint"
+    )
+    steps = proven.groupBy(*one).agg(
+        F.sort_array(F.collect_list(F.struct("cut", "reached"))).alias("steps")
+    )
+    # From the start along what was reached; other cuts are inside a record.
+    first = F.struct(
+        F.col("start").alias("at"), F.expr("cast(array() as array<bigint>)").alias("kept")
+    )
+    walked = F.aggregate(
+        "steps",
+        first,
+        lambda seen, step: F.when(
+            step["cut"] == seen["at"],
+            F.struct(
+                step["reached"].alias("at"),
+                F.concat(seen["kept"], F.array(step["cut"])).alias("kept"),
+            ),
+        ).otherwise(seen),
+    )["kept"]
+    used = steps.select("key", "end", walked.alias("kept")).select(
+        "key", "end", "kept", F.posexplode("kept").alias("n", "cut")
+    )
+    parts = used.select(
+        "key", F.col("cut").alias("start"),
+        F.coalesce(F.get("kept", F.col("n") + 1), F.col("end")).alias("end"),
     )
     return whole.unionByName(parts)

@@ -20,7 +20,9 @@ def parse_locations(lines: DataFrame, strict: bool = False) -> DataFrame:
     count = F.size(fields)
     start = F.when(count == 1, F.lit(0)).otherwise(F.get(fields, F.lit(1)).try_cast("bigint"))
     length = F.get(fields, F.lit(2)).try_cast("bigint")
-    bad = (count > 3) | start.isNull() | ((count == 3) & length.isNull())
+    bad = (count > 3) | start.isNull() | (start < 0) | (
+        (count == 3) & F.coalesce(length < 0, F.lit(True))
+    )
     malformed = F.concat(F.lit("malformed location line: "), F.array_join(fields, " "))
     error = F.when(bad, F.raise_error(malformed) if strict else malformed)
     split = once(lines, fields=F.split(line, " "))
@@ -43,8 +45,9 @@ def parse_captures(lines: DataFrame) -> DataFrame:
     )
     parsed = once(lines, entry=entry)
     start = F.col("entry.offset").try_cast("bigint")
-    end = range_end(start, F.col("entry.length").try_cast("bigint"))
-    bad = F.col("entry.filename").isNull() | start.isNull() | end.isNull()
+    length = F.col("entry.length").try_cast("bigint")
+    end = range_end(start, length)
+    bad = F.col("entry.filename").isNull() | ~F.coalesce((start >= 0) & (length >= 0), F.lit(False))
     return parsed.select(
         F.col("entry.filename").alias("key"),
         start.alias("start"),

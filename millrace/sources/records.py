@@ -7,7 +7,7 @@ whole; memory is bounded by the largest single record.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 from ..functions import formats as fmt
 
@@ -23,15 +23,20 @@ class DamagedRecord(ValueError):
     """A stretch of an archive that cannot be read."""
 
 
-def inflate(chunks: Iterable[bytes]) -> Iterator[bytes | str | DamagedRecord]:
+def inflate(
+    chunks: Iterable[bytes], begins: Callable[[int], None] | None = None
+) -> Iterator[bytes | str | DamagedRecord]:
     """Plain bytes of an archive that is gzipped member by member, or not at all.
 
     ``MEMBER_END`` marks where a gzip member ends. A damaged member is reported
-    in place; reading goes on at the next one.
+    in place; reading goes on at the next one. ``begins`` is told the offset of every member
+    that follows the one before without bytes in between.
     """
     carry, gzipped, member, lost = b"", None, None, False
+    passed = 0
     for chunk in chunks:
         data, carry = carry + chunk, b""
+        passed += len(chunk)  # what is left of the chunks so far ends here
         if gzipped is None:
             if len(data) < len(MAGIC):
                 carry = data
@@ -50,7 +55,9 @@ def inflate(chunks: Iterable[bytes]) -> Iterator[bytes | str | DamagedRecord]:
                 lost = lost or bool(data[:at].strip(b"\0"))
                 if lost:
                     yield DamagedRecord("bytes between archive members")
-                    lost = False
+                elif begins:
+                    begins(passed - len(data) + at)
+                lost = False
                 data, member = data[at:], zlib.decompressobj(31)
             try:
                 yield member.decompress(data, _STEP)
@@ -69,6 +76,20 @@ def inflate(chunks: Iterable[bytes]) -> Iterator[bytes | str | DamagedRecord]:
         yield DamagedRecord("archive ends inside a member")
 
 
+def first_member_at(chunks: Iterable[bytes], offsets: set[int]) -> int | None:
+    """The first of the offsets where reading these chunks in a row begins a member."""
+    found: list[int] = []
+
+    def begins(at: int) -> None:
+        if at in offsets:
+            found.append(at)
+
+    for _ in inflate(chunks, begins):
+        if found:
+            break
+    return found[0] if found else None
+
+
 def _headers(block: bytes) -> dict[str, str]:
     found = {}
     for line in block.decode("utf-8", "replace").split("\r\n")[1:]:
@@ -117,21 +138,25 @@ def payload(uri: str, block: bytes) -> bytes:
 
 
 def responses(chunks: Iterable[bytes]) -> Iterator[tuple[str | None, str | None, str | None]]:
-    """``(uri, content, error)`` of each response record; other types are skipped unread."""
+    """``(uri, content, error)`` of each response record; the bodies of others are not kept."""
     buffer = bytearray()
+    unwanted = 0  # bytes of a passed-over body still to come
     head: dict[str, str] | None = None
     skipping = False
     for piece in inflate(chunks):
         if isinstance(piece, (str, DamagedRecord)):
             if isinstance(piece, DamagedRecord):
                 yield None, None, str(piece)
-            elif not skipping and (head is not None or buffer.strip(b"\r\n\0")):
+            elif not skipping and (unwanted or head is not None or buffer.strip(b"\r\n\0")):
                 yield None, None, "archive member ends inside a record"
             buffer.clear()
-            head, skipping = None, False
+            head, skipping, unwanted = None, False, 0
             continue
         if skipping:
             continue
+        if unwanted:
+            gone = min(unwanted, len(piece))
+            unwanted, piece = unwanted - gone, piece[gone:]
         buffer += piece
         while True:
             if head is None:
@@ -150,13 +175,17 @@ def responses(chunks: Iterable[bytes]) -> Iterator[tuple[str | None, str | None,
                     break
                 del buffer[: end + len(_END)]
             size = int(head["content-length"])
+            wanted = head.get("warc-type") == fmt.RESPONSE
             if len(buffer) < size:
+                if not wanted:
+                    unwanted, head = size - len(buffer), None
+                    buffer.clear()
                 break
-            if head.get("warc-type") == fmt.RESPONSE:
+            if wanted:
                 uri = head.get(fmt.TARGET_URI.lower())
                 # Bytes that are not valid UTF-8 are dropped.
                 yield uri, payload(uri, bytes(buffer[:size])).decode("utf-8", "ignore"), None
             del buffer[:size]
             head = None
-    if not skipping and (head is not None or buffer.strip(b"\r\n\0")):
+    if not skipping and (unwanted or head is not None or buffer.strip(b"\r\n\0")):
         yield None, None, "archive ends inside a record"

@@ -215,13 +215,52 @@ def test_what_cannot_be_cut_stays_whole(spark, tmp_path):
     )
 
 
-def test_a_wrong_cut_is_reported(spark, tmp_path):
-    """An archive kept inside an archive may fool the search, but not silently."""
-    inner = members([record("response", "http://inner", http(b"i"))])
+@pytest.mark.parametrize("size", [100, 150, 333, 1_000])
+def test_an_archive_in_an_archive_is_not_cut(spark, tmp_path, size):
+    """A stored archive shows its own records' signatures, but no reader of the outer one begins there."""
+    inner = members([record("response", f"http://inner/{i}", http(b"i" * 50)) for i in range(8)])
     outer = gzip.compress(record("response", "http://outer", http(inner)), 0)
-    (tmp_path / "a.warc.gz").write_bytes(members(THREE[:1]) + outer)
+    (tmp_path / "a.warc.gz").write_bytes(members(THREE) + outer + members(THREE) * 3)
     at = spark.createDataFrame([("a.warc.gz", 0, None)], "key string, start bigint, end bigint")
     base = f"file://{tmp_path}"
-    near = len(members(THREE[:1])) + 40
-    rows = archives.scan_locations(cuts.cut_long_ranges(at, base, near), base).collect()
-    assert any(r.error for r in rows)
+    want = [(r.uri, r.content, r.error) for r in archives.scan_locations(at, base).collect()]
+    assert len(want) == 9 and not any(w[2] for w in want)
+    parts = cuts.cut_long_ranges(at, base, size)
+    assert parts.count() > 1
+    got = [(r.uri, r.content, r.error) for r in archives.scan_locations(parts, base).collect()]
+    assert sorted(got) == sorted(want)
+
+
+def test_damage_is_seen_alike_with_and_without_cuts(spark, tmp_path):
+    bad = bytearray(gzip.compress(record("response", "http://bad.com", http(b"x" * 500))))
+    bad[20:40] = b"\xff" * 20
+    (tmp_path / "a.warc.gz").write_bytes(members(THREE) + bytes(bad) + members(THREE) + b"junk" + members(THREE))
+    at = spark.createDataFrame([("a.warc.gz", 0, None)], "key string, start bigint, end bigint")
+    base = f"file://{tmp_path}"
+    rows = lambda ranges: sorted(map(str, [(r.uri, r.content, r.error) for r in archives.scan_locations(ranges, base).collect()]))
+    want = rows(at)
+    for size in (60, 170, 400):
+        assert rows(cuts.cut_long_ranges(at, base, size)) == want
+
+
+def test_bad_ranges_and_keys_are_error_rows(spark, tmp_path):
+    (tmp_path / "a b#c%20.warc.gz").write_bytes(members(THREE))
+    at = spark.createDataFrame(
+        [("a b#c%20.warc.gz", 0, None), ("a b#c%20.warc.gz", 50, 40), ("a b#c%20.warc.gz", -3, 5),
+         ("a b#c%20.warc.gz", 10_000, None), ("no such key", 0, None), ("\0", 0, None)],
+        "key string, start bigint, end bigint",
+    )
+    base = f"file://{tmp_path}"
+    for ranges in (at, cuts.cut_long_ranges(at, base, 100)):
+        rows = archives.scan_locations(ranges, base).collect()
+        assert sorted(r.uri for r in rows if not r.error) == sorted(w[0] for w in WANT)
+        assert len([r for r in rows if r.error]) == 5
+
+
+def test_bodies_of_other_records_are_not_kept():
+    big = record("metadata", "http://m", b"m" * 3_000_000)
+    data = members([big, *THREE])
+    assert list(records.responses(chunks(data, 500))) == WANT
+    cut_off = gzip.compress(big[:1_000_000]) + members(THREE)
+    got = list(records.responses(chunks(cut_off, 500)))
+    assert got[0][2] == "archive member ends inside a record" and got[1:] == WANT
