@@ -1,7 +1,9 @@
 """Column expressions over raw HTML. All run in the JVM; no parser library.
 
 Patterns avoid look-around and back-references wherever the result is checked
-against another SQL engine, and use ``[ \\t\\n\\r]`` for white space.
+against another SQL engine, and use ``[ \\t\\n\\r]`` for white space. An element, comment or
+tag that is not closed runs to the end of the page, as in parsers; so every match uses
+up what it has looked at, and no page takes more than linear time.
 """
 
 from __future__ import annotations
@@ -13,19 +15,35 @@ from pyspark.sql import functions as F
 
 from .text import none_if_empty
 
-_HIDDEN = r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->"
-_CHROME = r"(?is)<nav[^>]*>.*?</nav>|<footer[^>]*>.*?</footer>"
+_REST = r"(?:[ \t\n\r/][^>]*)?(?:>|\z)"  # of a tag, after its whole name
+
+
+def whole_element(tag: str) -> str:
+    """Pattern of an element with all that is in it."""
+    return rf"<{tag}{_REST}.*?(?:</{tag}{_REST}|\z)"
+
+
+_HIDDEN = rf"(?is){whole_element('script')}|{whole_element('style')}|<!--.*?(?:-->|\z)"
+_CHROME = rf"(?is){whole_element('nav')}|{whole_element('footer')}"
+_TAG = r"<[a-zA-Z/!?][^>]*(?:>|\z)"
 _SPACE = r"[ \t\n\r]+"
-_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+# Named entities, the ampersand last, so that nothing is decoded twice.
+_ENTITIES = (
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " "),
+    ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"), ("&laquo;", "«"),
+    ("&raquo;", "»"), ("&ndash;", "–"), ("&mdash;", "—"), ("&hellip;", "…"), ("&bull;", "•"),
+    ("&copy;", "©"), ("&euro;", "€"), ("&amp;", "&"),
+)
 
 
 def language(html: Column) -> Column:
     """Two-letter language of the ``<html>`` tag, else of a ``<meta>`` tag."""
-    tag = F.regexp_extract(html, r"""(?i)<html[^>]*[ \t\n\r]lang=["']?([a-z]{2})""", 1)
+    tag = F.regexp_extract(html, r"""(?i)<html[^<>]*[ \t\n\r]lang=["']?([a-z]{2})""", 1)
     meta = F.regexp_extract(
         html,
-        r"""(?i)<meta[^>]*(?:http-equiv=["']?content-language|name=["']?lang)["']?"""
-        r"""[^>]*content=["']?([a-z]{2})""",
+        # The counts keep a tag that never ends from being tried at every length.
+        r"""(?i)<meta[^<>]{0,500}(?:http-equiv=["']?content-language|name=["']?lang)["']?"""
+        r"""[^<>]{0,500}content=["']?([a-z]{2})""",
         1,
     )
     return F.lower(F.coalesce(none_if_empty(tag), none_if_empty(meta)))
@@ -33,17 +51,38 @@ def language(html: Column) -> Column:
 
 def plain(markup: Column) -> Column:
     """Tags to blanks, entities decoded, white space collapsed."""
-    return _tidy(F.regexp_replace(markup, r"<[^>]*>", " "))
+    return _tidy(F.regexp_replace(markup, _TAG, " "))
+
+
+def _numbered(text: Column) -> Column:
+    """Numeric references to characters; what is none stays as it is."""
+
+    def one(piece: Column, nth: Column) -> Column:
+        number = F.regexp_extract(piece, r"^([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});", 1)
+        value = F.when(
+            F.lower(number).startswith("x"), F.conv(F.substring(number, 2, 7), 16, 10)
+        ).otherwise(number).try_cast("int")
+        sound = value.between(1, 0x10FFFF) & ~value.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(F.when(sound, value).otherwise(32)), 8, "0")), "UTF-32")
+        rest = F.substr(piece, F.length(number) + 2)
+        return F.when(nth == 0, piece).when(sound, F.concat(char, rest)).otherwise(
+            F.concat(F.lit("&#"), piece)
+        )
+
+    decoded = F.array_join(F.transform(F.split(text, "&#"), one), "")
+    return F.when(F.contains(text, F.lit("&#")), decoded).otherwise(text)
 
 
 def _tidy(text: Column) -> Column:
+    text = _numbered(text)
     for entity, char in _ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))
     return F.trim(F.regexp_replace(text, _SPACE, " "))
 
 
 def _inside(html: Column, tag: str) -> Column:
-    return none_if_empty(F.regexp_extract(html, rf"(?is)<{tag}[^>]*>(.*?)</{tag}>", 1))
+    pattern = rf"(?is)<{tag}{_REST}(.*?)(?:</{tag}{_REST}|\z)"
+    return none_if_empty(F.regexp_extract(html, pattern, 1))
 
 
 def without_hidden(html: Column) -> Column:
@@ -79,20 +118,22 @@ def element(html: Column, tag: str, opening: str, nth: int = 1) -> Column:
     """
     rest = F.get(F.split(html, opening, nth + 1), F.lit(nth))
     pieces = F.split(rest, rf"(?i)(?=<{tag}[ \t\n\r>]|</{tag}[ \t\n\r>])")
-    start = F.struct(F.lit(1).alias("depth"), F.lit("").alias("inner"))
+    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("inner"))
 
     def step(seen: Column, piece: Column) -> Column:
         head = F.lower(F.substring(piece, 1, len(tag) + 2))
         change = F.when(head == f"</{tag}", -1).when(head.startswith(f"<{tag}"), 1).otherwise(0)
         depth = F.when(seen["depth"] <= 0, 0).otherwise(seen["depth"] + change)
-        inner = F.when(depth > 0, F.concat(seen["inner"], piece)).otherwise(seen["inner"])
+        # Pieces inside are counted and joined once.
+        inner = seen["inner"] + F.when(depth > 0, 1).otherwise(0)
         return F.struct(depth.alias("depth"), inner.alias("inner"))
 
-    return F.aggregate(pieces, start, step)["inner"]
+    inner = F.aggregate(pieces, start, step)["inner"]
+    return F.array_join(F.slice(pieces, 1, inner), "")
 
 
 def element_text(html: Column, tag: str, opening: str, nth: int = 1) -> Column:
-    return F.regexp_replace(element(html, tag, opening, nth), r"<[^>]*>", "")
+    return F.regexp_replace(element(html, tag, opening, nth), _TAG, "")
 
 
 def attribute(html: Column, tag: str, name: str) -> Column:

@@ -7,20 +7,27 @@ _EPOCH = "'1970-01-01 00:00:00'"
 _STAMP = "'2021-03-01 01:23:54'"
 
 
+_REST = "(?:[ \\t\\n\\r/][^>]*)?(?:>|\\z)"
+
+
+def _whole(tag: str) -> str:
+    return f"<{tag}{_REST}.*?(?:</{tag}{_REST}|\\z)"
+
+
 def _tidy(markup: str) -> str:
-    out = f"regexp_replace({markup}, '<[^>]*>', ' ', 'g')"
+    out = f"regexp_replace({markup}, '<[a-zA-Z/!?][^>]*(?:>|\\z)', ' ', 'g')"
     for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
         out = f"replace({out}, '{entity}', '{char}')"
     return f"trim(regexp_replace({out}, '{_SP}+', ' ', 'g'))"
 
 
 def _inside(page: str, tag: str) -> str:
-    return f"nullif(regexp_extract({page}, '(?is)<{tag}[^>]*>(.*?)</{tag}>', 1), '')"
+    return f"nullif(regexp_extract({page}, '(?is)<{tag}{_REST}(.*?)(?:</{tag}{_REST}|\\z)', 1), '')"
 
 
-_LANG = f"lower(nullif(regexp_extract(html, '(?i)<html[^>]*{_SP}lang=[\"'']?([a-z]{{2}})', 1), ''))"
-_HIDDEN = "(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->"
-_CHROME = "(?is)<nav[^>]*>.*?</nav>|<footer[^>]*>.*?</footer>"
+_LANG = f"lower(nullif(regexp_extract(html, '(?i)<html[^<>]*{_SP}lang=[\"'']?([a-z]{{2}})', 1), ''))"
+_HIDDEN = f"(?is){_whole('script')}|{_whole('style')}|<!--.*?(?:-->|\\z)"
+_CHROME = f"(?is){_whole('nav')}|{_whole('footer')}"
 _MAIN = f"coalesce({_inside('visible', 'article')}, {_inside('visible', 'body')})"
 
 

@@ -1,5 +1,7 @@
 """URLs, names, articles and score pages, on hand-written rows."""
 
+import time
+
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
@@ -200,3 +202,34 @@ def test_series_and_changes(spark):
     for bad in ({"delta": "other"}, {"kinds": []}, {"kinds": ["nobody"]}):
         with pytest.raises(ValueError):
             movies.score_alerts(rows, 1.0, **bad)
+
+
+def _article(spark, page):
+    rows = spark.createDataFrame([("u", None, page)], "uri string, ts timestamp, content string")
+    return articles.articles(rows).first()
+
+
+@pytest.mark.parametrize(
+    "part",
+    ["<!-- x <script>", "<script ", "<nav><footer>", "<article>", "<", "<meta ", "<html ", "<meta name=lang ",
+     "<title>", "<style"],
+)
+def test_pages_of_unclosed_tags_take_linear_time(spark, part):
+    page = '<html lang="en"><body>' + part * (1_000_000 // len(part))
+    _article(spark, "<html lang='en'><body>warm")
+    began = time.perf_counter()
+    _article(spark, page)
+    assert time.perf_counter() - began < 5
+
+
+def test_names_of_tags_are_whole(spark):
+    page = ("<html lang='en'><body><article-card>teaser</article-card>"
+            "<article><nav-bar></nav-bar>KEEP THIS<nav>menu</nav>end</article></body>")
+    assert _article(spark, page).text == "KEEP THIS end"
+
+
+def test_entities(spark):
+    page = ("<html lang='en'><body>It&rsquo;s&nbsp;10&#8239;pm &#x1F600; &#65;&#66; &amp;lt; &#0; &#xZZ; &#55296; a < b"
+            " &mdash; x</body>")
+    want = "It’s 10 pm \U0001f600 AB &lt; &#0; &#xZZ; &#55296; a < b — x"
+    assert _article(spark, page).text == want
