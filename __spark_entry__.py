@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -26,6 +27,7 @@ from millrace.streaming import incremental
 
 SLOPE_THRESHOLD = 2e-6
 MINMAX_THRESHOLD = 200.0
+PIPELINE_THRESHOLD = 60.0
 
 
 def _prepared(spark: SparkSession) -> SparkSession:
@@ -105,7 +107,8 @@ def _landed_csv(spark, sf_dir):
 
 
 def csv_record_scan(spark, sf_dir):
-    records = tables.read_csv_records(spark, _landed_csv(spark, sf_dir))
+    # Pages have line breaks in them.
+    records = tables.read_csv_records(spark, _landed_csv(spark, sf_dir), multiline=True)
     return records.select("uri", _at("ts"), F.get_json_object("content", "$.html").alias("html"))
 
 
@@ -135,8 +138,17 @@ def warc_response_scan(spark, sf_dir):
 def location_join(spark, sf_dir):
     place, ranges = _landed_archives(spark, sf_dir)
     listing = archives.archive_listing(spark, place)
-    paired = archives.pair_with_listing(ranges, listing, place).filter(F.col("error").isNull())
-    return archives.scan_locations(paired, place).select("uri", "content", "error")
+    nowhere = standins.table(spark, sf_dir, "pages").filter("page_id % 10 = 0").select(
+        F.concat(F.lit("missing/"), "page_id").alias("key"), F.lit(0).alias("start"),
+        F.lit(9).alias("end"), F.lit(None).cast("string").alias("error"),
+    )
+    paired = archives.pair_with_listing(ranges.union(nowhere), listing, place)
+    scanned = archives.scan_locations(paired.filter(F.col("error").isNull()), place)
+    nothing = F.lit(None).cast("string")
+    misfits = paired.filter(F.col("error").isNotNull()).select(
+        nothing.alias("uri"), nothing.alias("content"), "error"
+    )
+    return scanned.select("uri", "content", "error").union(misfits)
 
 
 def archive_articles(spark, sf_dir):
@@ -149,10 +161,23 @@ def archive_articles(spark, sf_dir):
 
 def registry_compose(spark, sf_dir):
     place = scratch_path(spark, "results")
-    registry.run(spark, "csv-file", "copy", _landed_csv(spark, sf_dir), place)
+    landed = _landed_csv(spark, sf_dir)
+    registry.run(spark, "csv-file", "copy", landed, place, multiline=True)
     return studies.host_study(spark, place)
 
 
+def incremental_archives(spark, sf_dir):
+    """Archives as they land, two per step."""
+    place = scratch_path(spark, "landing")
+    standins.write_archives(standins.page_records(spark, sf_dir).repartition(6), place)
+    stream = incremental.stream_archives(spark, f"{place}/*", files_per_step=2)
+    query = incremental.run_incrementally(
+        stream, articles.copy, f"{place}-out", f"{place}-checkpoint"
+    )
+    query.awaitTermination()
+    return spark.read.parquet(f"{place}-out").select("uri", _at("ts"), "content", "error")
+
+
 def incremental_extract(spark, sf_dir):
     source = f"{sf_dir}/pages.parquet*"  # a pattern, so that one file will do as well as a folder
     stream = incremental.stream_table(spark, source, spark.read.parquet(source).schema)
@@ -183,6 +208,24 @@ def score_series(spark, sf_dir):
     return movies.score_series(standins.score_snapshots(spark, sf_dir)).select("name", "at", "point")
 
 
+def score_unpack(spark, sf_dir):
+    series = movies.score_series(standins.score_snapshots(spark, sf_dir)).select("name", "point")
+    return movies.unpack_points(series)
+
+
+def score_pipeline(spark, sf_dir):
+    """Archives, capture index, scores, shards, table, alerts."""
+    place, results = scratch_path(spark, "score-archives"), scratch_path(spark, "score-results")
+    lines = standins.write_archives(standins.score_pages(spark, sf_dir).select("uri", "content"), place)
+    standins.capture_index(lines).write.text(f"{place}-captures")
+    registry.run(spark, "cdx-index", "rottentomatoes", f"{place}-captures", results, base=place)
+    shards = tables.read_results(spark, f"{results}/part-[0-9]*", studies.SCORE_COLUMNS)
+    name = f"scores_{uuid.uuid4().hex}"
+    sinks.append_scores(movies.clean_scores(shards), name)
+    found = movies.score_alerts(spark.table(name), PIPELINE_THRESHOLD, "minmax")
+    return found.select("name", "kind", "points", "minmax")
+
+
 def _alerts(delta, threshold):
     def query(spark, sf_dir):
         found = movies.score_alerts(standins.score_snapshots(spark, sf_dir), threshold, delta)
@@ -249,6 +292,24 @@ def txn_edges(spark, sf_dir):
     return studies.ledger_study(standins.payloads(spark, sf_dir))[0]
 
 
+def edge_files(spark, sf_dir):
+    """Edges and groups as text files, read back and joined."""
+    edges, groups, _ = studies.ledger_study(standins.payloads(spark, sf_dir))
+    place = scratch_path(spark, "edges")
+    sinks.write_edges(edges, f"{place}/edges")
+    sinks.write_groups(groups, f"{place}/groups")
+    kinds = "block bigint, idx bigint, group_addr string, out_addr string, amount bigint, fee bigint"
+    written = spark.read.schema(kinds).csv(f"{place}/edges", sep=" ")
+    names = spark.read.schema("addr string, group_addr string").csv(f"{place}/groups", sep=" ")
+    known = names.select("group_addr").distinct()
+    return written.join(known, "group_addr", "left_semi")
+
+
+def ledger_quarantine(spark, sf_dir):
+    every = standins.payloads(spark, sf_dir).union(standins.broken_payloads(spark, sf_dir))
+    return studies.ledger_rows(every)[1].select("uri", "block", "error")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: host distribution of the crawled pages."""
     return host_distribution(_prepared(spark), "/root/testdata/sf0.001")
@@ -273,12 +334,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "archive_articles": archive_articles,
         "registry_compose": registry_compose,
         "incremental_extract": incremental_extract,
+        "incremental_archives": incremental_archives,
         "score_extract": score_extract,
         "score_clean": score_clean,
         "score_series": score_series,
         "score_delta_slope": _alerts("slope", SLOPE_THRESHOLD),
         "score_delta_minmax": _alerts("minmax", MINMAX_THRESHOLD),
         "score_alert_points": score_alert_points,
+        "score_unpack": score_unpack,
+        "score_pipeline": score_pipeline,
         "block_flatten": block_flatten,
         "encoded_blocks": encoded_blocks,
         "txn_inputs": txn_inputs,
@@ -286,6 +350,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "address_groups": address_groups,
         "group_sizes": group_sizes,
         "txn_edges": txn_edges,
+        "edge_files": edge_files,
+        "ledger_quarantine": ledger_quarantine,
     }
     jobs.update(_llm_part("QUERIES"))
     return {name: _with_settings(job) for name, job in jobs.items()}

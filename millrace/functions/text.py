@@ -40,9 +40,11 @@ def readable_time(epoch_seconds: Column) -> Column:
 
 
 def record_time(raw: Column) -> Column:
-    """Time of a record whose source writes either epoch seconds or a date text."""
+    """Time of a record whose source writes epoch seconds, a date of digits, or a date text."""
+    day = F.when(raw.rlike(r"^[12][0-9]{3}[01][0-9][0-3][0-9]$"), F.try_to_timestamp(raw, F.lit("yyyyMMdd")))
+    moment = F.when(raw.rlike(r"^[12][0-9]{13}$"), F.try_to_timestamp(raw, F.lit("yyyyMMddHHmmss")))
     seconds = F.timestamp_seconds(raw.try_cast("double"))
-    return F.coalesce(seconds, raw.try_cast("timestamp"))
+    return F.coalesce(day, moment, seconds, raw.try_cast("timestamp"))
 
 
 def percent_digits(score: Column) -> Column:

@@ -16,8 +16,9 @@ def earlier_error(records: DataFrame) -> Column:
 
 
 def copy(records: DataFrame) -> DataFrame:
-    kept = ["uri", "ts", "content"]
-    return records.select(*kept, "error") if "error" in records.columns else records.select(*kept)
+    """The record as it is; the time as the source wrote it and an error stay if there are any."""
+    more = [c for c in ("ts_raw", "error") if c in records.columns]
+    return records.select("uri", "ts", "content", *more)
 
 
 def with_language(records: DataFrame) -> DataFrame:

@@ -9,8 +9,9 @@ from ..functions import formats as fmt
 from ..functions import html
 from ..functions.once import once
 from ..functions.text import first_token, movie_slug, percent_digits, readable_time, trim_space
+from ..session import scratch_path
 from .articles import earlier_error
-from .skew import hot_keys, lookup, sort_whole
+from .skew import heavy_keys, lookup, sort_whole
 
 # --- Extraction -------------------------------------------------------------
 
@@ -173,6 +174,20 @@ def score_series(scores: DataFrame) -> DataFrame:
     )
 
 
+def unpack_points(rows: DataFrame) -> DataFrame:
+    """``name, ts, critic, numCritic, audience, numAudience, error`` of packed points.
+
+    ``point`` has five numbers with semicolons between them, as stored series have.
+    """
+    fields = F.split("point", ";")
+    sound = F.coalesce(F.col("point").rlike(r"^-?[0-9]{1,18}(;-?[0-9]{1,18}){4}$"), F.lit(False))
+    return rows.select(
+        "name",
+        *[F.when(sound, F.get(fields, F.lit(i)).try_cast("bigint")).alias(c) for i, c in enumerate(_FIELDS)],
+        F.when(~sound, "not a packed point").alias("error"),
+    )
+
+
 def score_points(scores: DataFrame, kinds=("critics", "audience")) -> DataFrame:
     """``name, kind, ts, score``: both kinds in one pass over the snapshots."""
     chosen = _kinds(kinds)
@@ -245,7 +260,11 @@ def alert_points(scores: DataFrame, alerts: DataFrame, kinds=("critics", "audien
     """
     series = F.struct("name", "kind")
     chosen = alerts.select(series.alias("series"), "points")
-    hot = hot_keys(chosen.select(F.col("series").alias("key"), F.col("points").alias("n")))
+    # Stored, as the lookup and the look for long series both read them.
+    place = scratch_path(scores.sparkSession, "alerts")
+    chosen.write.parquet(place)
+    chosen = scores.sparkSession.read.schema(chosen.schema).parquet(place)
+    hot = heavy_keys(chosen, "series", "points")
     points = (
         lookup(score_points(scores, kinds).withColumn("series", series), "series", chosen, hot)
         .filter(F.col("points").isNotNull())

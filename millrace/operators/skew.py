@@ -7,24 +7,19 @@ from pyspark.sql import functions as F
 
 # A key with more rows than this is spread over several tasks.
 ROWS_PER_TASK = 4_000_000
-# At most this many keys are treated as hot. It bounds the broadcast list; a key
-# beyond it has less than 1/10,000 of all rows and takes the ordinary way.
-HOT_KEYS = 10_000
 _SPAN = 100_000
 
 
 def hot_keys(weights: DataFrame, rows_per_task: int | None = None) -> DataFrame:
     """``key, salts`` of the keys with more rows than a task should take.
 
-    ``weights`` holds ``key, n``, one row per key. The heaviest come first, so
-    the list never exceeds ``HOT_KEYS`` rows, however many keys there are.
+    ``weights`` holds ``key, n``, one row per key. All keys above the limit are
+    listed: rows / limit of them at most, 250,000 in a million million rows, so the list may be
+    broadcast.
     """
     limit = rows_per_task or ROWS_PER_TASK
-    return (
-        weights.filter(F.col("n") > limit)
-        .orderBy(F.desc("n"))
-        .limit(HOT_KEYS)
-        .select("key", F.ceil(F.col("n") / limit).cast("int").alias("salts"))
+    return weights.filter(F.col("n") > limit).select(
+        "key", F.ceil(F.col("n") / limit).cast("int").alias("salts")
     )
 
 
@@ -46,8 +41,7 @@ def in_pieces(rows: DataFrame, most: int) -> DataFrame:
     """Equal rows as numbered pieces: adds ``piece`` and ``copies``, at most ``most`` each.
 
     Equal rows fall into one range of a range partitioning, however many there
-    are. Counted before the shuffle and cut into pieces they can be told apart,
-    and :func:`unfold` makes them whole again.
+    are. Counted before the shuffle and cut into pieces they can be told apart.
     """
     counted = rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
     last = F.floor((F.col("n") - 1) / most)
@@ -61,19 +55,14 @@ def in_pieces(rows: DataFrame, most: int) -> DataFrame:
     )
 
 
-def unfold(pieces: DataFrame) -> DataFrame:
-    """The rows behind :func:`in_pieces`; their order is kept."""
-    each = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))
-    return pieces.withColumn("copy", each).drop("piece", "copies", "copy")
-
-
-def sort_whole(rows: DataFrame, *by: str, most: int = 100_000) -> DataFrame:
+def sort_whole(rows: DataFrame, *by: str) -> DataFrame:
     """Global sort in which neither a hot key nor a mass of equal rows meets in one task.
 
-    ``by`` should order the rows as finely as it can; what is equal in every
-    column is sorted as pieces.
+    A row number as the last sort key tells equal rows apart, so the ranges of the one
+    shuffle may part them.
     """
-    return unfold(in_pieces(rows, most).orderBy(*by, "piece"))
+    numbered = rows.withColumn("_row", F.monotonically_increasing_id())
+    return numbered.orderBy(*by, "_row").drop("_row")
 
 
 def lookup(

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import sinks
 from ..operators import articles, movies
@@ -27,9 +28,21 @@ def archive_index(spark: SparkSession, index: str, base: str = "", **options) ->
     return archives.scan_locations(listed, base, **options).select("uri", "ts", "content", "error")
 
 
+def capture_index(spark: SparkSession, index: str, base: str = "", **options) -> DataFrame:
+    """Records of the captures listed in a capture index; lines that are none are error rows."""
+    listed = locations.read_captures(spark, index)
+    records = archives.scan_locations(listed.filter(F.col("error").isNull()), base, **options)
+    unread = listed.filter(F.col("error").isNotNull()).select(
+        F.lit(None).cast("string").alias("uri"), F.lit(None).cast("timestamp").alias("ts"),
+        F.lit(None).cast("string").alias("content"), "error",
+    )
+    return records.select("uri", "ts", "content", "error").union(unread)
+
+
 # --- Fixed values: the names users put on the command line -------------------
 SOURCES: dict[str, Source] = {
     "warc-index": archive_index,
+    "cdx-index": capture_index,
     "csv-file": tables.read_csv_records,
     "btc": tables.read_landed_payloads,
 }
@@ -39,6 +52,7 @@ TRANSFORMS: dict[str, Transform] = {
     "rottentomatoes": movies.extract_scores,
 }
 SINKS: dict[str, Sink] = {
+    "parquet": sinks.write_parquet,
     "encoded": sinks.write_encoded,
     "json": sinks.write_json,
     "quarantine": sinks.write_with_quarantine,
@@ -61,7 +75,11 @@ def register(kind: dict, name: str, function: Callable) -> None:
 def compose(
     spark: SparkSession, source: str, transform: str, source_input: str, **options
 ) -> DataFrame:
-    """Source and transformation as one lazy DataFrame."""
+    """Source and transformation as one DataFrame.
+
+    It is lazy but for the archive index, where listing and cutting the ranges of long archives
+    are jobs of their own that run now.
+    """
     records = _named("source", SOURCES, source)(spark, source_input, **options)
     return records.transform(_named("transform", TRANSFORMS, transform))
 
@@ -72,7 +90,7 @@ def run(
     transform: str,
     source_input: str,
     output: str,
-    sink: str = "encoded",
+    sink: str = "parquet",
     **options,
 ) -> None:
     """A whole crawl job: read, transform, append the results."""

@@ -50,6 +50,7 @@ RESULT_LINE = _struct(
     ("audienceNum", StringType()),
     ("error", StringType()),
     ("reason", StringType()),
+    ("ts_raw", StringType()),
 )
 
 # Cleaned score snapshots. The counts are wider than the declared 16 bits of the

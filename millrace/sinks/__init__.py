@@ -1,30 +1,39 @@
-"""Writers: encoded lines, edge files, score tables, quarantine."""
+"""Writers: Parquet and JSON results, encoded lines, edge files, score tables, quarantine."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import codec
 from ..schemas import SCORE
 
 
-def encode_lines(rows: DataFrame) -> DataFrame:
-    """Each row as one base64(gzip(JSON)) line; times become epoch seconds."""
-    plain = [
+def _plain(rows: DataFrame) -> list[Column]:
+    """The columns with times as epoch seconds."""
+    return [
         F.col(name).cast("double").alias(name) if kind.startswith("timestamp") else F.col(name)
         for name, kind in rows.dtypes
     ]
-    return rows.select(codec.pack(F.to_json(F.struct(*plain))).alias("value"))
+
+
+def encode_lines(rows: DataFrame) -> DataFrame:
+    """Each row as one base64(gzip(JSON)) line; times become epoch seconds."""
+    return rows.select(codec.pack(F.to_json(F.struct(*_plain(rows)))).alias("value"))
 
 
 def write_encoded(rows: DataFrame, path: str, mode: str = "append") -> None:
     encode_lines(rows).write.mode(mode).text(path)
 
 
+def write_parquet(rows: DataFrame, path: str, mode: str = "append") -> None:
+    """Typed columns that a study reads one by one."""
+    rows.write.mode(mode).parquet(path)
+
+
 def write_json(rows: DataFrame, path: str, mode: str = "append") -> None:
-    """The native counterpart: gzipped JSON lines any tool reads."""
-    rows.write.mode(mode).json(path, compression="gzip")
+    """The native counterpart: gzipped JSON lines any tool reads, times as epoch seconds."""
+    rows.select(*_plain(rows)).write.mode(mode).json(path, compression="gzip")
 
 
 def write_edges(edges: DataFrame, path: str, mode: str = "append") -> None:

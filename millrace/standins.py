@@ -103,6 +103,18 @@ def write_archives(
     return records.sparkSession.read.text(f"{base}-index")
 
 
+def capture_index(lines: DataFrame) -> DataFrame:
+    """Location lines of three fields as capture-index lines."""
+    field = F.split("value", " ")
+    entry = F.to_json(
+        F.struct(
+            F.lit("200").alias("status"), F.get(field, F.lit(0)).alias("filename"),
+            F.get(field, F.lit(1)).alias("offset"), F.get(field, F.lit(2)).alias("length"),
+        )
+    )
+    return lines.select(F.concat_ws(" ", F.lit("com,example)/"), F.lit(STAMP), entry).alias("value"))
+
+
 # --- Index lines --------------------------------------------------------------
 
 
@@ -270,6 +282,15 @@ def _tx(fee: Column, inputs: Column, out: Column) -> Column:
     return F.struct(fee.cast("bigint").alias("fee"), inputs.alias("inputs"), out.alias("out"))
 
 
+def broken_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads that break off, one per pending order."""
+    pending = table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'")
+    return pending.select(
+        F.concat(F.lit("https://blocks.example.com/broken/"), _text("o_orderkey")).alias("uri"),
+        F.concat(F.lit('{"blocks": [{"block_index": '), _text("o_orderkey")).alias("content"),
+    )
+
+
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One payload of two blocks per line item.
 

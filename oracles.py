@@ -204,7 +204,10 @@ SELECT url AS uri, {_EPOCH} AS at, html AS content, CAST(NULL AS VARCHAR) AS err
     "warc_response_scan": f"""
 SELECT url AS uri, {_STAMP} AS at, html AS content, CAST(NULL AS VARCHAR) AS error FROM pages""",
     "location_join": """
-SELECT url AS uri, html AS content, CAST(NULL AS VARCHAR) AS error FROM pages""",
+SELECT url AS uri, html AS content, CAST(NULL AS VARCHAR) AS error FROM pages
+UNION ALL SELECT NULL, NULL, 'no such archive' FROM pages WHERE page_id % 10 = 0""",
+    "incremental_archives": f"""
+SELECT url AS uri, {_STAMP} AS at, html AS content, CAST(NULL AS VARCHAR) AS error FROM pages""",
     "score_extract": f"""{_SCORES}
 SELECT uri, "criticScore", "criticNum", "audienceScore", "audienceNum", error, reason FROM scores""",
     "score_clean": f"""{_SCORES}
@@ -216,6 +219,18 @@ FROM scores WHERE reason IS NULL AND "audienceScore" <> 'None'""",
 SELECT name, strftime(make_timestamp(ts * 1000000), '%Y-%m-%d %H:%M:%S') AS at,
        ts || ';' || critic || ';' || "numCritic" || ';' || audience || ';' || "numAudience" AS point
 FROM snapshots""",
+    "score_unpack": f"""{_SNAPSHOTS}
+SELECT name, ts, critic, "numCritic", audience, "numAudience", CAST(NULL AS VARCHAR) AS error FROM snapshots""",
+    "score_pipeline": f"""{_SCORES},
+clean AS (
+  SELECT name, CAST(replace("criticScore", '%', '') AS DOUBLE) AS critic,
+         TRY_CAST(replace("audienceScore", '%', '') AS DOUBLE) AS audience
+  FROM scores WHERE reason IS NULL AND "audienceScore" <> 'None'),
+points AS (
+  SELECT name, 'critics' AS kind, critic AS score FROM clean
+  UNION ALL SELECT name, 'audience', audience FROM clean)
+SELECT name, kind, count(*) AS points, max(score) - min(score) AS minmax
+FROM points GROUP BY name, kind HAVING max(score) - min(score) > 60""",
     "score_delta_slope": _alerts("abs(slope) > 2e-6"),
     "score_delta_minmax": _alerts("minmax > 200"),
     "score_alert_points": f"""{_SNAPSHOTS}
@@ -250,4 +265,11 @@ paid AS (
 SELECT b AS block, idx, group_addr, out_addr, amount, fee
 FROM paid JOIN groups ON groups.addr = paid.payer
 WHERE fee IS NOT NULL AND amount > 0""",
+    "ledger_quarantine": f"""
+WITH {_TX}
+SELECT uri, b AS block, 'Unexpected COINBASE' AS error FROM tx WHERE what = 'mixed'
+UNION ALL
+SELECT 'https://blocks.example.com/broken/' || o_orderkey, NULL, 'not a block payload'
+FROM orders WHERE o_orderstatus = 'P'""",
 }
+ORACLES["edge_files"] = ORACLES["txn_edges"]

@@ -87,7 +87,7 @@ def test_sort_keeps_copies_whole_and_ordered(spark):
     rows = spark.createDataFrame([("b", 2)] * 7 + [("a", 1), ("c", None), ("b", 1)], "k string, v int")
     pieces = in_pieces(rows, 3)
     assert sorted(r.copies for r in pieces.filter("k = 'b' and v = 2").collect()) == [1, 3, 3]
-    got = [tuple(r) for r in sort_whole(rows, "k", "v", most=3).collect()]
+    got = [tuple(r) for r in sort_whole(rows, "k", "v").collect()]
     assert got == [("a", 1), ("b", 1)] + [("b", 2)] * 7 + [("c", None)]
 
 
@@ -96,3 +96,8 @@ def test_pieces_of_many_copies(spark):
     pieces = in_pieces(rows, 1)
     got = pieces.agg(F.count("*"), F.countDistinct("piece"), F.sum("copies"), F.max("piece")).first()
     assert tuple(got) == (250_000, 250_000, 250_000, 249_999)
+
+
+def test_no_hot_key_is_left_out(spark):
+    weights = spark.range(20_000).select(F.col("id").alias("key"), F.lit(9).alias("n"))
+    assert hot_keys(weights, 4).filter("salts = 3").count() == 20_000

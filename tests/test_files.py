@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from millrace import session, sinks
-from millrace.operators import movies, quarantine
+from millrace.operators import articles, movies, quarantine
 from millrace.plans import registry, studies
 from millrace.sources import locations, tables
 
@@ -38,7 +38,7 @@ def test_capture_lines(spark):
 
 def test_csv_records(spark, tmp_path):
     (tmp_path / "a.csv").write_text('uri,ts,note\nhttp://a,12.5,"x, ""y""\nz"\nhttp://b,2021-01-02 03:04:05,\n')
-    got = {r.uri: r for r in tables.read_csv_records(spark, str(tmp_path / "a.csv")).collect()}
+    got = {r.uri: r for r in tables.read_csv_records(spark, str(tmp_path / "a.csv"), multiline=True).collect()}
     assert json.loads(got["http://a"].content) == {"uri": "http://a", "ts": "12.5", "note": 'x, "y"\nz'}
     assert json.loads(got["http://b"].content)["note"] == ""
     assert str(got["http://a"].ts) == "1970-01-01 00:00:12.500000"
@@ -85,7 +85,7 @@ def test_shards_and_append(spark, tmp_path):
     for shard in "0", "f", "x":
         sinks.write_encoded(spark.createDataFrame([(f"http://{shard}",)], "uri string"), str(tmp_path / f"results.{shard}1.json"))
     sinks.write_encoded(spark.createDataFrame([("http://0",)], "uri string"), str(tmp_path / "results.01.json"))
-    got = studies.host_study(spark, str(tmp_path / "results.[0-9a-f]*.json"))
+    got = studies.host_study(spark, str(tmp_path / "results.[0-9a-f]*.json"), form="encoded")
     assert [tuple(r) for r in got.collect()] == [("0", 2), ("f", 1)]
 
 
@@ -115,13 +115,41 @@ def test_score_table(spark, tmp_path):
     spark.sql("DROP DATABASE shelf CASCADE")
 
 
+def test_times_as_sources_write_them(spark, tmp_path):
+    raw = ["1614561834", "20210301", "20210301012354", "2021-03-01 01:23:54", "1 March 2021", ""]
+    (tmp_path / "in.csv").write_text("uri,ts\n" + "".join(f"u{i},{t}\n" for i, t in enumerate(raw)))
+    rows = articles.copy(tables.read_csv_records(spark, str(tmp_path / "in.csv"))).orderBy("uri").collect()
+    assert [r.ts_raw or "" for r in rows] == raw
+    assert [str(r.ts) for r in rows] == [
+        "2021-03-01 01:23:54", "2021-03-01 00:00:00", "2021-03-01 01:23:54", "2021-03-01 01:23:54", "None", "None"]
+
+
+def test_capture_index_reports_lines_that_are_none(spark, tmp_path):
+    (tmp_path / "idx").write_text('com,x)/ 2021 {"filename": "none.warc.gz", "offset": "0", "length": "5"}\nbroken\n'
+                                  'com,x)/ 2021 {"filename": "a", "offset": "-1", "length": "5"}\n')
+    found = registry.compose(spark, "cdx-index", "copy", str(tmp_path / "idx"), base=f"file://{tmp_path}")
+    assert sorted(r.error.split(":")[0] for r in found.collect()) == [
+        "cannot read", "malformed capture line", "malformed capture line"]
+
+
+def test_packed_points_are_unpacked(spark):
+    rows = spark.createDataFrame([("a", "1;2;3;4;5"), ("b", "1;2"), ("c", None)], "name string, point string")
+    got = {r.name: (r.ts, r.numAudience, r.error) for r in movies.unpack_points(rows).collect()}
+    assert got == {"a": (1, 5, None), "b": (None, None, "not a packed point"), "c": (None, None, "not a packed point")}
+
+
 def test_registry(spark, tmp_path):
     (tmp_path / "in.csv").write_text("uri,ts\nhttp://a/1,1\nhttp://a/2,2\nhttp://b/1,3\n")
-    out = str(tmp_path / "out")
-    registry.run(spark, "csv-file", "copy", str(tmp_path / "in.csv"), out)
-    assert [tuple(r) for r in studies.host_study(spark, out).collect()] == [("a", 2), ("b", 1)]
-    rows = tables.read_encoded(spark, out).collect()
-    assert json.loads(rows[0].content)["uri"].startswith("http://")
+    for sink in ("parquet", "json", "encoded"):
+        out = str(tmp_path / sink)
+        registry.run(spark, "csv-file", "copy", str(tmp_path / "in.csv"), out, sink=sink)
+        assert [tuple(r) for r in studies.host_study(spark, out, form=sink).collect()] == [("a", 2), ("b", 1)]
+        rows = tables.read_results(spark, out, ("content", "ts", "ts_raw", "title"), sink).collect()
+        assert json.loads(rows[0].content)["uri"].startswith("http://")
+        assert sorted((float(r.ts), r.ts_raw, r.title) for r in rows) == [
+            (1.0, "1", None), (2.0, "2", None), (3.0, "3", None)]
+    with pytest.raises(ValueError, match="unknown form"):
+        tables.read_results(spark, out, ("uri",), "x")
 
     registry.register(registry.SOURCES, "numbers", lambda spark, n: spark.range(int(n)).select(
         F.concat(F.lit("http://n/"), "id").alias("uri"), F.timestamp_seconds("id").alias("ts"), F.lit("").alias("content")))
@@ -146,7 +174,7 @@ def test_score_study(spark, tmp_path):
          "criticNum": 1, "audienceScore": "50%", "audienceNum": 2} for d in range(3)
     ] + [{"error": "x"}]
     (tmp_path / "r.txt").write_text("\n".join(map(encoded, rows)) + "\n")
-    got = studies.score_study(spark, str(tmp_path / "r.txt"), 10.0, "minmax").collect()
+    got = studies.score_study(spark, str(tmp_path / "r.txt"), 10.0, "minmax", form="encoded").collect()
     assert [(r.name, r.kind, r.minmax) for r in got] == [("a", "critics", 20.0)]
 
 

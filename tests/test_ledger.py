@@ -1,6 +1,8 @@
 import json
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace import sinks
 from millrace.operators import ledger
@@ -24,7 +26,7 @@ def payloads(spark, *lines):
 
 
 def edges(spark, *lines, **options):
-    found, groups = studies.ledger_study(payloads(spark, *lines))
+    found, groups, _ = studies.ledger_study(payloads(spark, *lines))
     return sorted(map(tuple, found.collect())), {r.addr: r.group_addr for r in groups.collect()}
 
 
@@ -96,10 +98,37 @@ def test_hot_payer_is_spread_without_loss(spark):
 
 
 def test_written_edges_and_groups(spark, tmp_path):
-    found, groups = studies.ledger_study(
+    found, groups, _ = studies.ledger_study(
         payloads(spark, [(1, [tx([side(2, "A"), side(1, "B")], [side(3, "C")], fee=5)])])
     )
     sinks.write_edges(found, str(tmp_path / "edges"))
     sinks.write_groups(groups, str(tmp_path / "groups"))
     assert [r.value for r in spark.read.text(str(tmp_path / "edges")).collect()] == ["1 0 A C 3 5"]
     assert sorted(r.value for r in spark.read.text(str(tmp_path / "groups")).collect()) == ["A A", "B A"]
+
+
+def test_failed_rows_leave_the_study(spark):
+    line = [(7, [tx([side(0), side(4, "A")], []), tx([side(1, "B")], [side(1, "C")], fee=1)])]
+    rows = payloads(spark, line).union(spark.createDataFrame([("bad", "{oops")], "uri string, content string"))
+    found, groups, failed = studies.ledger_study(rows)
+    assert sorted(map(tuple, failed.fillna("").collect()), key=str) == [
+        ("bad", None, "not a block payload"), ("u0", 7, "Unexpected COINBASE"),
+    ]
+    assert [tuple(r) for r in found.collect()] == [(7, 0, "B", "C", 1, 1)]
+    assert [r.addr for r in groups.collect()] == ["B"]
+
+
+def test_groups_are_aggregated_without_sorting(spark):
+    line = [(1, [tx([side(1, "A"), side(1, "B")], [])])]
+    kept = ledger.kept_transactions(ledger.parse_payloads(payloads(spark, line)))
+    assert "SortAggregate" not in ledger.first_seen(kept)._jdf.queryExecution().toString()
+
+
+def test_places_keep_their_order(spark):
+    draw = random.Random(1)
+    top = 2**63 - 1
+    places = [(draw.choice([None, 0, 5, top, draw.randrange(top)]), draw.randrange(10**9), draw.randrange(10**9)) for _ in range(300)]
+    frame = spark.createDataFrame(places, "b bigint, i bigint, p int")
+    packed = [r.x for r in frame.select(ledger._place(F.col("b"), F.col("i"), F.col("p")).alias("x")).collect()]
+    order = sorted(range(300), key=lambda n: (-1 if places[n][0] is None else places[n][0], *places[n][1:]))
+    assert order == sorted(range(300), key=lambda n: packed[n])
