@@ -41,7 +41,7 @@ def encode(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
     delta = blocks - least[:, None]
     nth = min(BLOCK - 1, BLOCK * PERCENTILE // 100)
     width = _widths(np.partition(delta, nth, axis=1)[:, nth])
-    outside = _widths(delta) > width[:, None]
+    outside = delta.astype(np.uint64) >> width[:, None].astype(np.uint64) > 0
     exceptions = outside.sum(axis=1)
     size = HEADER + width * (BLOCK // 8) + exceptions * 5
     begin = np.cumsum(size) - size
@@ -66,6 +66,19 @@ def encode(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
     return out.tobytes(), begin
 
 
+def _unpacked(packed: np.ndarray, width: int) -> np.ndarray:
+    """The ``BLOCK`` integers of each row of packed bytes."""
+    bit = np.arange(BLOCK) * width
+    first, past = bit >> 3, (bit & 7) + width
+    touched = int((past.max() + 7) >> 3)  # bytes that an integer may lie in, at most 5
+    kind = np.uint32 if touched <= 4 else np.uint64
+    padded = np.pad(packed, ((0, 0), (0, touched)))
+    found = np.zeros((len(packed), BLOCK), kind)
+    for k in range(touched):
+        found = found << kind(8) | padded[:, first + k]
+    return (found >> (8 * touched - past).astype(kind)) & kind((1 << width) - 1)
+
+
 def decode(raw: np.ndarray, begin: np.ndarray, count: int) -> np.ndarray:
     """The first ``count`` ids of the blocks that begin at ``begin`` in ``raw``."""
     if not len(begin):
@@ -79,13 +92,7 @@ def decode(raw: np.ndarray, begin: np.ndarray, count: int) -> np.ndarray:
         if w:
             own = np.flatnonzero(width == w)
             packed = raw[_spread(begin[own] + HEADER, w * (BLOCK // 8))]
-            bits = np.unpackbits(packed, axis=1).reshape(-1, w)
-            taken = -(-w // 8)
-            padded = np.zeros((len(bits), taken * 8), np.uint8)
-            padded[:, -w:] = bits
-            whole = np.zeros((len(bits), 4), np.uint8)
-            whole[:, 4 - taken :] = np.packbits(padded, axis=1)
-            ids[own] = whole.view(">u4").reshape(-1, BLOCK)
+            ids[own] = _unpacked(packed, w)
     ids += least[:, None]
     at = begin + HEADER + width * (BLOCK // 8)
     position = raw[_flat(at, exceptions)]
