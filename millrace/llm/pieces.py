@@ -7,8 +7,8 @@ random numbers are a hash of the row's key and the place in the text: the same r
 pieces in every run, whatever the partitions.
 
 The model file gives pieces in order of rank; a piece weighs ``1 / (rank + 1) ** ALPHA``. Pieces span no
-word, so the lattice falls apart into one per word, which is built once per distinct
-word. Characters without a piece, and the mark for spaces where a text holds it itself,
+word, so the lattice falls apart into one per word. The lattices of all distinct words of a batch are
+built together, one place after the other, and so are the drawings of all its words. Characters without a piece, and the mark for spaces where a text holds it itself,
 become byte pieces, so decoding gives back every text.
 
 Cases: a missing or empty text has no piece and decodes to an empty one. A missing id
@@ -18,12 +18,12 @@ empty result.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,11 +33,10 @@ from .vocab import tokenizer_path
 MODEL = "piece_bpe_32k.model"
 ALPHA = 1.0
 SPACE = "▁"
-_PARTS = re.compile("▁*[^▁]+|▁+")
-# Words whose lattices are remembered, in two generations, and the longest of them.
-REMEMBERED, LONGEST = 60_000, 48
 # Characters sampled together.
-TOGETHER = 400_000
+TOGETHER = 2_000_000
+# Rows decoded together.
+ROWS = 500
 
 
 class Vocabulary:
@@ -62,14 +61,39 @@ class Vocabulary:
                 self.ids[piece] = i
                 self.raw[i] = piece.replace(SPACE, " ").encode()
         first = min(self.ids.values())
-        self.weights = (1 / (np.maximum(ranks - first, 0) + 1) ** alpha).tolist()
-        self.byte_weight = 1 / size**alpha
-        # Beginnings of pieces, to stop looking for longer ones.
-        self.heads = {p[:n] for p in self.ids for n in range(1, len(p) + 1)}
-
-    def decode(self, ids: list[int]) -> str:
-        """The text; the space before its first word is not part of it."""
-        return b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "surrogatepass")[1:]
+        self.log_weights = -alpha * np.log(np.maximum(ranks - first, 0) + 1)
+        self.log_byte = -alpha * np.log(size)
+        # The pieces as a tree of beginnings: numbers of characters, the steps as sorted numbers,
+        # where they lead, and the piece that ends there.
+        letters = {c: n for n, c in enumerate(sorted({c for p in self.ids for c in p}), 1)}
+        self.letters = np.zeros(0x110000, np.int32)
+        for c, n in letters.items():
+            self.letters[ord(c)] = n
+        self.bits = len(letters).bit_length()
+        nodes = {"": 0}
+        steps = {}
+        for piece in self.ids:
+            for n in range(1, len(piece) + 1):
+                if piece[:n] not in nodes:
+                    nodes[piece[:n]] = len(nodes)
+                    steps[nodes[piece[: n - 1]] << self.bits | letters[piece[n - 1]]] = nodes[piece[:n]]
+        kind = np.int32 if len(nodes) << self.bits < 1 << 31 else np.int64
+        self.steps = np.array(sorted(steps), kind)
+        self.leads = np.array([steps[k] for k in self.steps.tolist()], kind)
+        self.ends = np.full(len(nodes), -1, np.int32)
+        for piece, i in self.ids.items():
+            self.ends[nodes[piece]] = i
+
+        self.spelled = pa.array(self.raw, pa.binary())
+
+    def decode(self, column: pa.Array) -> pa.Array:
+        """Texts of ids in little-endian unsigned 32-bit; the space before the first word is no part of them."""
+        column = column.fill_null(b"")
+        ends = np.append(0, np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False) // 4))
+        raw = np.frombuffer(pc.binary_join(pa.ListArray.from_arrays([0, len(column)], column), b"")[0].as_buffer(), "<u4")
+        parts = self.spelled.take(pa.array(raw.astype(np.int32)))
+        texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), parts), b"")
+        return pc.utf8_slice_codeunits(texts.cast(pa.string()), 1)
 
 
 @lru_cache(maxsize=4)
@@ -77,43 +101,79 @@ def vocabulary(path: str, alpha: float = ALPHA) -> Vocabulary:
     return Vocabulary(path, alpha)
 
 
-def lattice(word: str, vocab: Vocabulary) -> tuple[list[int], list[int], list[int], list[float]]:
-    """Pieces into each place of a word: their number per place, first place, id, and the share of
-    all ways to the place that come through them or one before, which ends at 1.
+def lattice(words: list[str], vocab: Vocabulary) -> tuple[np.ndarray, ...]:
+    """Edges of the lattices of many words, by the place they end at.
 
-    A character without a piece has its code point, made negative and less one, as id.
+    Places are numbered through: a word of n characters has n, the ends of its characters.
+    Gives, per edge, the characters it spans, its piece, and the share of all ways to its end that
+    come through it or an edge before, lifted by the number of the place; and per place
+    the edges so far. A character without a piece has its code point, made negative and less
+    one, as piece.
     """
-    n = len(word)
-    into: list[list[tuple[int, int, float]]] = [[] for _ in range(n + 1)]
-    ids, heads, weights = vocab.ids, vocab.heads, vocab.weights
-    for begin in range(n):
-        for end in range(begin + 1, n + 1):
-            part = word[begin:end]
-            if part not in heads:
-                break
-            if (i := ids.get(part)) is not None:
-                into[end].append((begin, i, weights[i]))
-        if word[begin] not in ids:
-            c = word[begin]
-            into[begin + 1].append((begin, -ord(c) - 1, vocab.byte_weight ** len(c.encode("utf-8", "surrogatepass"))))
-    ways = [1.0] + [0.0] * n
-    counts, starts, names, shares = [], [], [], []
-    for end in range(1, n + 1):
-        edges = into[end]
-        total, sums = 0.0, []
-        for begin, _, weight in edges:
-            total += ways[begin] * weight
-            sums.append(total)
-        ways[end] = total
-        counts.append(len(edges))
-        starts += [e[0] for e in edges]
-        names += [e[1] for e in edges]
-        shares += [s / total for s in sums]
-        if total < 1e-150:
-            # Only shares count, so the places still in reach may be scaled together.
-            for k in range(max(0, end - 32), end + 1):
-                ways[k] *= 1e150
-    return counts, starts, names, shares
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    text = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int32)
+    letters = vocab.letters[text]
+    n = len(text)
+    left = (np.repeat(np.cumsum(lengths), lengths) - np.arange(n)).astype(np.int32)  # to the word's end
+    inside = (np.arange(n) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
+    found_at, found_pieces = [], []
+    at, node = np.arange(n, dtype=np.int32), np.zeros(n, vocab.steps.dtype)
+    while len(at):
+        width = len(found_at)
+        wanted = node << vocab.bits | letters[at + width]
+        place = np.minimum(np.searchsorted(vocab.steps, wanted), len(vocab.steps) - 1)
+        found = vocab.steps[place] == wanted
+        at, node = at[found], vocab.leads[place[found]]
+        piece = vocab.ends[node]
+        whole = piece >= 0
+        own, drawn = at[whole], piece[whole]
+        if not width:
+            alone = np.ones(n, bool)
+            alone[own] = False
+            odd = np.flatnonzero(alone).astype(np.int32)
+            own, drawn = np.append(own, odd), np.append(drawn, -text[odd] - 1)
+        found_at.append(own)
+        found_pieces.append(drawn)
+        more = left[at] > width + 1
+        at, node = at[more], node[more]
+    # In the order of their ends; an end has one edge of each width at most.
+    count = np.zeros(n, np.int32)
+    for width, own in enumerate(found_at):
+        count[own + width] += 1
+    last = np.cumsum(count, dtype=np.int64)
+    free = last - count
+    total = int(last[-1]) if n else 0
+    begin, span, piece = (np.empty(total, np.int32) for _ in range(3))
+    for width, (own, drawn) in enumerate(zip(found_at, found_pieces, strict=True)):
+        to = free[own + width]
+        begin[to], span[to], piece[to] = own, width + 1, drawn
+        free[own + width] += 1
+    end = begin + span - 1
+    weight = np.where(piece >= 0, vocab.log_weights[np.maximum(piece, 0)], 0.0)
+    odd = piece < 0
+    size = 1 + (-piece[odd] > 0x80) + (-piece[odd] > 0x800) + (-piece[odd] > 0x10000)
+    weight[odd] = size * vocab.log_byte
+    # Ways to every place, place after place of all words; in logarithms, as words may be long.
+    ways = np.zeros(n + 1)  # the last stands for the beginning of any word
+    before = np.where(inside[begin] > 0, begin - 1, n)
+    depth = inside[end]
+    # Sixteen bits are sorted in linear time.
+    narrow = depth.astype(np.uint16) if n and int(inside.max()) < 1 << 16 else depth
+    by_depth = np.argsort(narrow, kind="stable")
+    bounds = np.searchsorted(depth[by_depth], np.arange(int(depth.max()) + 2 if len(depth) else 1))
+    for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        own = by_depth[low:high]
+        value = ways[before[own]] + weight[own]
+        to = end[own]
+        first = np.flatnonzero(np.append(True, to[1:] != to[:-1]))
+        most = np.maximum.reduceat(value, first)
+        sizes = np.diff(np.append(first, len(own)))
+        ways[to[first]] = most + np.log(np.add.reduceat(np.exp(value - np.repeat(most, sizes)), first))
+    share = np.exp(ways[before] + weight - ways[end])
+    sums = np.cumsum(share)
+    passed = np.append(0.0, sums)[np.append(0, last)[:-1]]
+    lifted = sums - passed[end] + end
+    return span, piece, lifted, last
 
 
 def _mixed(z: np.ndarray) -> np.ndarray:
@@ -130,99 +190,97 @@ def seed_of(key) -> int:
     return xxhash.xxh64_intdigest("" if key is None else str(key), 7)
 
 
+def _absent(column: pa.Array, count: int) -> list[str]:
+    """Characters that none of the texts has."""
+    found = []
+    for code in (*range(0xFDD0, 0xFDF0), *range(0xF0000, 0x10FFFF)):
+        if not pc.any(pc.match_substring(column, chr(code))).as_py():
+            found.append(chr(code))
+            if len(found) == count:
+                break
+    return found
+
+
 class Sampler:
     """Draws segmentations of many texts at once."""
 
     def __init__(self, vocab: Vocabulary):
         self.vocab = vocab
-        self._young: dict[str, tuple] = {}
-        self._old: dict[str, tuple] = {}
-
-    def _lattice(self, word: str) -> tuple:
-        found = self._young.get(word) or self._old.get(word)
-        if found is None:
-            counts, starts, names, shares = lattice(word, self.vocab)
-            found = (
-                np.array(counts, np.int32), np.array(starts, np.int32),
-                np.array(names, np.int32), np.array(shares),
-            )
-        if len(word) <= LONGEST:
-            self._young[word] = found
-            if len(self._young) > REMEMBERED:
-                self._young, self._old = {}, self._young
-        return found
-
-    def sample(self, texts: list[str], seeds: list[int]) -> list[np.ndarray]:
-        """Ids of each text."""
-        number: dict[str, int] = {}
-        words: list[int] = []
-        ends: list[int] = []  # places in the text, for the random numbers
-        per_text = []
-        for text in texts:
-            before = len(words)
-            place = 0
-            pieces = text.split(SPACE) if text else []
-            for k, piece in enumerate(pieces):
-                if k:
-                    # A mark of the text itself: only bytes make it.
-                    place += 1
-                    words.append(number.setdefault("\0" + SPACE, len(number)))
-                    ends.append(place)
-                marked = (SPACE if k == 0 else "") + piece.replace(" ", SPACE)
-                for part in _PARTS.findall(marked):
-                    place += len(part)
-                    words.append(number.setdefault(part, len(number)))
-                    ends.append(place)
-            per_text.append(len(words) - before)
-        if not words:
-            return [np.zeros(0, np.int64) for _ in texts]
-        return self._draw(list(number), np.array(words), np.array(ends), np.array(per_text), seeds)
-
-    def _draw(self, distinct, words, ends, per_text, seeds) -> list[np.ndarray]:
-        mark = np.array([-ord(SPACE) - 1], np.int32)
-        own_mark = (np.ones(1, np.int32), np.zeros(1, np.int32), mark, np.ones(1))
-        found = [own_mark if w == "\0" + SPACE else self._lattice(w) for w in distinct]
-        counts, starts, names, shares = (np.concatenate(c) for c in zip(*found, strict=True))
-        lengths = np.array([len(f[0]) for f in found])
-        base = np.cumsum(lengths) - lengths
-        # The share of an edge, lifted by the number of its place, is found by one search.
-        lifted = shares + np.repeat(np.arange(len(counts)), counts)
-        last = np.cumsum(counts) - 1
-        seed = np.repeat(np.array(seeds, np.uint64), per_text)
+
+    def sample(self, column: pa.Array | list[str], seeds: list[int]) -> list[bytes]:
+        """Ids of each text, as little-endian unsigned 32-bit integers."""
+        if not isinstance(column, pa.Array):
+            column = pa.array(column, pa.string())
+        if not len(column):
+            return []
+        cut, mark = _absent(column, 2)
+        # Marks of the text itself become a character without a piece.
+        text = pc.replace_substring(column, SPACE, mark)
+        text = pc.replace_substring_regex(text, "( +)", cut + r"\1")
+        text = pc.replace_substring(text, " ", SPACE)
+        lead = pc.if_else(pc.equal(column, ""), "", SPACE)
+        lists = pc.split_pattern(pc.binary_join_element_wise(lead, text, ""), cut)
+        every = lists.flatten().dictionary_encode()
+        words = every.indices.to_numpy()
+        distinct = every.dictionary.to_pylist()
+        per_text = pc.list_value_length(lists).to_numpy()
+        span, piece, lifted, last = lattice(distinct, self.vocab)
+        lengths = np.fromiter(map(len, distinct), np.int64, len(distinct))
+        base = (np.cumsum(lengths) - lengths)[words]
         at = lengths[words]
-        begin = ends - at
-        active = np.arange(len(words))
+        ends = np.cumsum(at)
+        text_ends = np.cumsum(per_text)
+        through = np.append(0, ends)[np.append(0, text_ends)]
+        begin = ends - at - np.repeat(through[:-1], per_text)  # in the text
+        seed = np.repeat(np.array(seeds, np.uint64), per_text)
+        active = np.flatnonzero(at > 0)
+        node = base[active] + at[active] - 1
+        place = begin[active] + at[active]
+        key = seed[active]
+        first = base[active]
         steps = []
         while len(active):
-            node = base[words[active]] + at[active] - 1
-            place = (begin[active] + at[active]).astype(np.uint64)
-            u = (_mixed(seed[active] ^ _mixed(place)) >> np.uint64(11)).astype(np.float64) / (1 << 53)
-            edge = np.minimum(np.searchsorted(lifted, node + u, "right"), last[node])
-            steps.append((active, names[edge]))
-            at[active] = starts[edge]
-            active = active[at[active] > 0]
+            mixed = _mixed(key + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            u = (mixed >> np.uint64(11)) * (1.0 / (1 << 53))
+            edge = np.minimum(np.searchsorted(lifted, node + u, "right"), last[node] - 1)
+            steps.append((active, piece[edge]))
+            moved = span[edge]
+            node = node - moved
+            more = node >= first
+            active, node, place, key, first = (
+                active[more], node[more], (place - moved)[more], key[more], first[more]
+            )
         # Steps go backward from the end of each word.
         taken = np.zeros(len(words), np.int64)
         for own, _ in steps:
             taken[own] += 1
         after = np.cumsum(taken)
-        ids = np.zeros(int(after[-1]), np.int64)
+        ids = np.zeros(int(after[-1]) if len(after) else 0, np.int64)
         for k, (own, drawn) in enumerate(steps):
             ids[after[own] - 1 - k] = drawn
-        text_ends = np.concatenate([[0], after])[np.cumsum(per_text)]
-        return [self._spelled(part) for part in np.split(ids, text_ends[:-1])]
+        bounds = np.append(0, after)[np.append(0, text_ends)]
+        ids, bounds = self._spelled(ids, bounds, mark)
+        raw = ids.astype("<u4")
+        return [raw[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
 
-    def _spelled(self, ids: np.ndarray) -> np.ndarray:
+    def _spelled(self, ids: np.ndarray, bounds: np.ndarray, mark: str) -> tuple[np.ndarray, np.ndarray]:
         """Characters without a piece as byte pieces."""
         if not (ids < 0).any():
-            return ids
-        out: list[int] = []
-        for i in ids.tolist():
-            if i >= 0:
-                out.append(i)
-            else:
-                out.extend(self.vocab.bytes[b] for b in chr(-i - 1).encode("utf-8", "surrogatepass"))
-        return np.array(out, np.int64)
+            return ids, bounds
+        times = np.ones(len(ids), np.int64)
+        spelling = {}
+        for code in np.unique(ids[ids < 0]).tolist():
+            char = chr(-code - 1)
+            raw = (SPACE if char == mark else char).encode("utf-8", "surrogatepass")
+            spelling[code] = [self.vocab.bytes[b] for b in raw]
+            times[ids == code] = len(raw)
+        begin = np.cumsum(times) - times
+        out = np.repeat(ids, times)
+        for code, own in spelling.items():
+            at = begin[ids == code]
+            for k, i in enumerate(own):
+                out[at + k] = i
+        return out, np.append(0, np.cumsum(times))[bounds]
 
 
 @lru_cache(maxsize=4)
@@ -241,24 +299,19 @@ def sampled(docs: DataFrame, model: str | None = None, alpha: float = ALPHA) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         draw = sampler(path, alpha)
         for batch in batches:
-            keys = batch.column("doc_id").to_pylist()
-            texts, first = [], 0
-            size = 0
-            for row, text in enumerate(batch.column("text")):
-                texts.append(text.as_py())
-                size += len(texts[-1])
-                if size > TOGETHER or row == len(keys) - 1:
-                    found = draw.sample(texts, [seed_of(k) for k in keys[first : row + 1]])
-                    count = row + 1 - first
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            batch.column("doc_id").slice(first, count),
-                            batch.column("text_crc32").slice(first, count),
-                            pa.array([i.astype("<u4").tobytes() for i in found], pa.binary()),
-                        ],
-                        ["doc_id", "text_crc32", "ids"],
-                    )
-                    texts, first, size = [], row + 1, 0
+            seeds = [seed_of(k) for k in batch.column("doc_id").to_pylist()]
+            sizes = np.cumsum(pc.utf8_length(batch.column("text")).to_numpy().astype(np.int64))
+            first = 0
+            while first < batch.num_rows:
+                done = sizes[first - 1] if first else 0
+                stop = max(first + 1, int(np.searchsorted(sizes, done + TOGETHER, "right")))
+                part = batch.slice(first, stop - first)
+                found = draw.sample(part.column("text"), seeds[first:stop])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("text_crc32"), pa.array(found, pa.binary())],
+                    ["doc_id", "text_crc32", "ids"],
+                )
+                first = stop
 
     rows = id_and_text(docs).withColumn("text_crc32", F.crc32(F.col("text").cast("binary")))
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -272,12 +325,11 @@ def decoded(encoded: DataFrame, model: str | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
         for batch in batches:
-            texts = [
-                vocab.decode(np.frombuffer(i.as_py(), "<u4").tolist()) for i in batch.column("ids")
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"]
-            )
+            for first in range(0, batch.num_rows, ROWS):
+                part = batch.slice(first, ROWS)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, vocab.decode(part.column("ids"))], [*batch.schema.names, "decoded"]
+                )
 
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
     return encoded.mapInArrow(run, f"{ddl}, decoded string")
