@@ -1,11 +1,11 @@
 """Token counts that follow edits.
 
 A text is cut at places where a token surely begins: a single space between two
-characters that are no white space. A tree over blocks of such segments keeps, per
-node, the characters and tokens below it. An edit finds its segments by descending
-on characters; only they and one segment of context on either side are cut and encoded
-anew, and the sums on the way to the root follow. Counts equal those of encoding
-the edited text whole.
+characters that are no white space, or either side of such a line break. A tree over blocks of
+such segments keeps, per node, the characters and tokens below it. An edit finds its segments by
+descending on characters; only they and one segment of context on either side are cut and encoded
+anew, and the sums on the way to the root follow. Blocks that no edit touches stay stretches of
+the first text. Counts equal those of encoding the edited text whole.
 
 Cases: a missing or empty text has no segment and no token, and edits may fill it.
 Edits apply in order, each to the text that the one before left; a missing list is an
@@ -19,6 +19,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,8 +29,10 @@ from .vocab import encoder, tokenizer_path
 # Segments of a block, a leaf of the tree, when it is built.
 BLOCK = 32
 EDITS = "array<struct<start: bigint, removed: bigint, inserted: string>>"
-# Segments whose counts are remembered, in two generations.
-REMEMBERED = 300_000
+# Rows whose trees are held together.
+ROWS = 1_000
+# Segments that are looked up one by one.
+FEW = 64
 
 
 def segments(text: str) -> list[str]:
@@ -49,25 +52,15 @@ def segments(text: str) -> list[str]:
 
 
 class Counter:
-    """Tokens of segments, from memory where they were seen before."""
+    """Tokens of segments: those of an edit one by one, those of a text together."""
 
     def __init__(self, path: str):
         self._encoder = encoder(path)
-        self._young: dict[str, int] = {}
-        self._old: dict[str, int] = {}
 
     def __call__(self, parts: list[str]) -> list[int]:
-        found = list(map(self._young.get, parts))
-        if None in found:
-            missing = [s for s, n in zip(parts, found, strict=True) if n is None]
-            new = [s for s in dict.fromkeys(missing) if s not in self._old]
-            known = {s: len(ids) // 4 for s, ids in zip(new, self._encoder.encode(new), strict=True)}
-            for s in missing:
-                self._young[s] = known[s] if s in known else self._old[s]
-            found = list(map(self._young.__getitem__, parts))
-            if len(self._young) > REMEMBERED:
-                self._young, self._old = {}, self._young
-        return found
+        if len(parts) <= FEW:
+            return self._encoder.count_few(parts)
+        return [len(ids) // 4 for ids in self._encoder.encode(parts)]
 
 
 @lru_cache(maxsize=4)
@@ -79,33 +72,76 @@ def counter(path: str) -> Counter:
 class Tree:
     """Blocks of segments under sums of their characters and tokens."""
 
-    def __init__(self, parts: list[str], tokens: list[int]):
+    def __init__(self, text: str, chars: np.ndarray, tokens: np.ndarray):
         self.encoded = 0  # segments encoded for edits
-        self._build(parts, tokens)
-
-    def _build(self, parts: list[str], tokens: list[int]) -> None:
-        self.blocks = [
-            (parts[at : at + BLOCK], tokens[at : at + BLOCK]) for at in range(0, len(parts), BLOCK)
-        ] or [([], [])]
-        self.leaves = 1 << (len(self.blocks) - 1).bit_length()
-        self.chars = [0] * (2 * self.leaves)
-        self.tokens = [0] * (2 * self.leaves)
-        for i, (own, counts) in enumerate(self.blocks):
-            self.chars[self.leaves + i] = sum(map(len, own))
-            self.tokens[self.leaves + i] = sum(counts)
-        for node in range(self.leaves - 1, 0, -1):
-            self.chars[node] = self.chars[2 * node] + self.chars[2 * node + 1]
-            self.tokens[node] = self.tokens[2 * node] + self.tokens[2 * node + 1]
+        self._build(text, np.asarray(chars, np.int64), np.asarray(tokens, np.int64))
+
+    def _build(self, text: str, chars: np.ndarray, tokens: np.ndarray) -> None:
+        self._base = text, chars, tokens
+        count = max(1, -(-len(chars) // BLOCK))
+        self.leaves = 1 << (count - 1).bit_length()
+        first = np.arange(0, len(chars), BLOCK)
+        self.chars = self._sums(np.add.reduceat(chars, first) if len(first) else chars)
+        self.tokens = self._sums(np.add.reduceat(tokens, first) if len(first) else tokens)
+        self._at = np.append(0, np.cumsum(self.chars[self.leaves : self.leaves + count])).tolist()
+        # Segments and tokens of the blocks that were edited.
+        self.blocks: list[tuple[list[str], list[int]] | None] = [None] * count
+
+    def _sums(self, leaves: np.ndarray) -> list[int]:
+        row = np.zeros(self.leaves, np.int64)
+        row[: len(leaves)] = leaves
+        rows = [row]
+        while len(row) > 1:
+            row = row[::2] + row[1::2]
+            rows.append(row)
+        return np.concatenate([[0], *rows[::-1]]).tolist()
 
     @property
     def n_tokens(self) -> int:
         return self.tokens[1]
 
-    def parts(self) -> tuple[list[str], list[int]]:
-        return [s for own, _ in self.blocks for s in own], [n for _, c in self.blocks for n in c]
+    def _block(self, i: int) -> tuple[list[str], list[int]]:
+        if self.blocks[i] is None:
+            text, chars, tokens = self._base
+            own = slice(i * BLOCK, (i + 1) * BLOCK)
+            parts, at = [], self._at[i]
+            for n in chars[own].tolist():
+                parts.append(text[at : at + n])
+                at += n
+            return parts, tokens[own].tolist()
+        return self.blocks[i]
+
+    def _stretches(self) -> Iterator[tuple[int, int] | int]:
+        """Runs of blocks as they were, and edited blocks one by one."""
+        begin = 0
+        for i, block in enumerate(self.blocks):
+            if block is not None:
+                if begin < i:
+                    yield begin, i
+                yield i
+                begin = i + 1
+        if begin < len(self.blocks):
+            yield begin, len(self.blocks)
+
+    def parts(self) -> tuple[np.ndarray, np.ndarray]:
+        """Characters and tokens of all segments."""
+        _, chars, tokens = self._base
+        found: list[tuple] = []
+        for s in self._stretches():
+            if isinstance(s, int):
+                own, counts = self.blocks[s]
+                found.append((np.fromiter(map(len, own), np.int64, len(own)), np.array(counts, np.int64)))
+            else:
+                own = slice(s[0] * BLOCK, s[1] * BLOCK)
+                found.append((chars[own], tokens[own]))
+        return tuple(map(np.concatenate, zip(*found, strict=True)))
 
     def text(self) -> str:
-        return "".join(s for own, _ in self.blocks for s in own)
+        base = self._base[0]
+        return "".join(
+            "".join(self.blocks[s][0]) if isinstance(s, int) else base[self._at[s[0]] : self._at[s[1]]]
+            for s in self._stretches()
+        )
 
     def _find(self, at: int) -> tuple[int, int, int]:
         """Block, segment in it and its first character, for the segment that holds a character."""
@@ -116,7 +152,7 @@ class Tree:
                 begin += self.chars[node]
                 node += 1
         block = node - self.leaves
-        own = self.blocks[block][0]
+        own = self._block(block)[0]
         for i, s in enumerate(own):
             if at < begin + len(s) or i == len(own) - 1:
                 return block, i, begin
@@ -126,11 +162,11 @@ class Tree:
     def _next(self, block: int, i: int, step: int) -> tuple[int, int] | None:
         """The segment before or after; empty blocks are passed over."""
         i += step
-        while not 0 <= i < len(self.blocks[block][0]):
+        while not 0 <= i < len(self._block(block)[0]):
             block += step
             if not 0 <= block < len(self.blocks):
                 return None
-            i = 0 if step > 0 else len(self.blocks[block][0]) - 1
+            i = 0 if step > 0 else len(self._block(block)[0]) - 1
         return block, i
 
     def edit(self, start: int, removed: int, inserted: str, count: Counter) -> None:
@@ -147,11 +183,11 @@ class Tree:
         low, high = first[:2], last[:2]
         if (more := self._next(*low, -1)) is not None:
             low = more
-            begin -= len(self.blocks[low[0]][0][low[1]])
+            begin -= len(self._block(low[0])[0][low[1]])
         high = self._next(*high, 1) or high
         window = []
         for block in range(low[0], high[0] + 1):
-            own = self.blocks[block][0]
+            own = self._block(block)[0]
             window += own[low[1] if block == low[0] else 0 : high[1] + 1 if block == high[0] else len(own)]
         text = "".join(window)
         at = start - begin
@@ -161,8 +197,8 @@ class Tree:
         self._splice(low, high, parts, tokens)
 
     def _splice(self, low, high, parts: list[str], tokens: list[int]) -> None:
-        own, counts = self.blocks[low[0]]
-        after, after_counts = self.blocks[high[0]]
+        own, counts = self._block(low[0])
+        after, after_counts = self._block(high[0])
         head, head_counts = own[: low[1]], counts[: low[1]]
         tail, tail_counts = after[high[1] + 1 :], after_counts[high[1] + 1 :]
         for block in range(low[0], high[0] + 1):
@@ -173,7 +209,7 @@ class Tree:
             self.blocks[low[0]] = (head + parts, head_counts + tokens)
             self.blocks[high[0]] = (tail, tail_counts)
         if len(self.blocks[low[0]][0]) > 4 * BLOCK:
-            self._build(*self.parts())
+            self._build(self.text(), *self.parts())
             return
         for block in range(low[0], high[0] + 1):
             node = self.leaves + block
@@ -193,19 +229,30 @@ class Tree:
 _TREE = "segment_chars array<int>, segment_tokens array<int>"
 
 
+def _leaves(column: pa.Array, path: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Characters and tokens of the segments of each text."""
+    count = counter(path)
+    for i, found in enumerate(encoder(path).segments(column)):
+        if found is None:
+            parts = segments(column[i].as_py())
+            found = np.array(list(map(len, parts)), np.int64), np.array(count(parts), np.int64)
+        yield found
+
+
+def _lists(rows: list[np.ndarray]) -> pa.Array:
+    ends = np.append(0, np.cumsum(list(map(len, rows)))).astype(np.int32)
+    values = np.concatenate(rows).astype(np.int32) if rows else np.zeros(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+
+
 def built(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """``docs`` (``doc_id, text`` and others) with the leaves of their trees."""
     path = tokenizer or tokenizer_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = counter(path)
         for batch in batches:
-            chars, tokens = [], []
-            for text in batch.column("text"):
-                parts = segments(text.as_py() or "")
-                chars.append(list(map(len, parts)))
-                tokens.append(count(parts))
-            leaves = [pa.array(c, pa.list_(pa.int32())) for c in (chars, tokens)]
+            found = list(_leaves(batch.column("text").fill_null(""), path))
+            leaves = [_lists([f[k] for f in found]) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, *leaves], [*batch.schema.names, "segment_chars", "segment_tokens"]
             )
@@ -217,42 +264,49 @@ def _ddl(rows: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
 
 
-def edited(trees: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    """Trees after the edits in their column ``edits``.
+def edited(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+    """Trees after the edits in the column ``edits``.
 
-    Takes ``doc_id, text, edits`` and the leaves; gives ``doc_id``, the edited text and its leaves,
-    ``n_tokens`` before and ``edited_tokens`` after, and ``n_encoded``, the segments
-    that were encoded for it.
+    Takes ``doc_id, text, edits`` and, if they were built before, the leaves; gives ``doc_id``, the
+    edited text and its leaves, ``n_tokens`` before and ``edited_tokens`` after, and ``n_encoded``,
+    the segments that were encoded for the edits.
     """
     path = tokenizer or tokenizer_path()
+    kept = {"segment_chars", "segment_tokens"} <= set(docs.columns)
+    names = ["text", "segment_chars", "segment_tokens", "n_tokens", "edited_tokens", "n_encoded"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(path)
-        for batch in batches:
-            rows = []
-            for text, chars, tokens, changes in zip(
-                *[batch.column(c) for c in ("text", "segment_chars", "segment_tokens", "edits")], strict=True
-            ):
-                text, parts, at = text.as_py() or "", [], 0
-                for n in chars.as_py():
-                    parts.append(text[at : at + n])
-                    at += n
-                tree = Tree(parts, tokens.as_py())
-                before = tree.n_tokens
-                for change in changes.as_py() or []:
-                    if change:
-                        tree.edit(change["start"] or 0, change["removed"] or 0, change["inserted"] or "", count)
-                own, counts = tree.parts()
-                rows.append((tree.text(), list(map(len, own)), counts, before, tree.n_tokens, tree.encoded))
-            columns = list(zip(*rows, strict=True)) if rows else [()] * 6
-            kinds = (pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32()), *[pa.int64()] * 3)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]],
-                ["doc_id", "text", "segment_chars", "segment_tokens", "n_tokens", "edited_tokens", "n_encoded"],
-            )
-
-    kind = trees.schema["doc_id"].dataType.simpleString()
-    return trees.select("doc_id", "text", "segment_chars", "segment_tokens", "edits").mapInArrow(
+        for whole in batches:
+            for first in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(first, ROWS)
+                texts = batch.column("text").fill_null("")
+                if kept:
+                    pairs = zip(*[batch.column(c) for c in ("segment_chars", "segment_tokens")], strict=True)
+                    leaves = ((c.values.to_numpy(), t.values.to_numpy()) for c, t in pairs)
+                else:
+                    leaves = _leaves(texts, path)
+                rows = []
+                for text, (chars, tokens), changes in zip(texts, leaves, batch.column("edits"), strict=True):
+                    tree = Tree(text.as_py(), chars, tokens)
+                    before = tree.n_tokens
+                    for c in changes.as_py() or []:
+                        if c:
+                            tree.edit(c["start"] or 0, c["removed"] or 0, c["inserted"] or "", count)
+                    rows.append((tree.text(), *tree.parts(), before, tree.n_tokens, tree.encoded))
+                columns = list(zip(*rows, strict=True))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id"), pa.array(columns[0], pa.string()),
+                        _lists(columns[1]), _lists(columns[2]),
+                        *[pa.array(c, pa.int64()) for c in columns[3:]],
+                    ],
+                    ["doc_id", *names],
+                )
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    used = ["doc_id", "text", "edits", *(["segment_chars", "segment_tokens"] if kept else [])]
+    return docs.select(*used).mapInArrow(
         run,
         f"doc_id {kind}, text string, {_TREE}, n_tokens bigint, edited_tokens bigint, n_encoded bigint",
     )

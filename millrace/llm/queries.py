@@ -12,8 +12,7 @@ from .common import table
 
 def op1_edit_counts(spark, sf_dir):
     changed = edits.drawn_edits(table(spark, sf_dir, "documents"))
-    done = edits.edited(edits.built(changed))
-    return done.select(
+    return edits.edited(changed).select(
         "doc_id", "n_tokens", "edited_tokens", F.size("segment_chars").alias("n_segments"),
         "n_encoded", F.crc32(F.col("text").cast("binary")).alias("text_crc32"),
     )
