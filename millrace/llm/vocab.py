@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 
 BYTE_BPE = "byte_bpe_50k.json"
 # Two generations of remembered words; the older one goes when the younger is full.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 # Characters whose words are looked up together, and the most of one text at a time.
 TOGETHER = 4_000_000
 # A space or line break inside a longer run of white space starts no pre-token.
@@ -31,6 +31,8 @@ _DOUBT = (
     r"[ \n][ \n]|[\x00\t\v\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
+# White space other than the space before a word.
+_INNER = re.compile(r"[^\S ]")
 # A place where a text may always be cut.
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 
@@ -62,6 +64,13 @@ class WordEncoder:
         found = self._whole.encode(text, add_special_tokens=False).ids
         return np.array(found, "<u4").tobytes()
 
+    def count_few(self, texts: list[str]) -> list[int]:
+        """Tokens of a handful of short texts, without the outlay of a batch."""
+        found = list(map(self._young.get, texts))
+        missing = [t for t, ids in zip(texts, found, strict=True) if ids is None]
+        new = iter(self._whole.encode_batch_fast(missing, add_special_tokens=False) if missing else ())
+        return [len(next(new).ids) if ids is None else len(ids) // 4 for ids in found]
+
     def encode(self, texts: pa.Array | list[str | None]) -> Iterator[bytes]:
         """Ids of each text, in order; a missing text has none."""
         column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
@@ -89,42 +98,73 @@ class WordEncoder:
         return b"".join(parts)
 
     def _encode(self, column: pa.Array) -> list[bytes]:
+        column, apart = self._apart(column)
+        lists, every, which, known = self._words(column)
+        lengths = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        flat = np.frombuffer(b"".join(known), "<u4")
+        times = lengths[which]
+        after = np.cumsum(times)
+        shift = (np.cumsum(lengths) - lengths)[which] - (after - times)
+        ids = flat[np.repeat(shift, times) + np.arange(after[-1] if len(after) else 0)]
+        counts = np.cumsum(pc.list_value_length(lists).to_numpy())
+        ends = np.concatenate([[0], after])[counts].tolist()
+        found, begin = [], 0
+        for i, end in enumerate(ends):
+            found.append(self.whole(apart[i]) if i in apart else ids[begin:end].tobytes())
+            begin = end
+        return found
+
+    def segments(self, column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
+        """Characters and tokens of the words and line breaks of each text; None for a text
+        that cannot be cut at all of its spaces and line breaks."""
+        begin = 0
+        sizes = np.cumsum(pc.utf8_length(column).to_numpy(zero_copy_only=False).astype(np.int64))
+        while begin < len(column):
+            done = sizes[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(sizes, done + TOGETHER, "right")))
+            part, apart = self._apart(column.slice(begin, end - begin))
+            lists, every, which, known = self._words(part)
+            tokens = (np.fromiter(map(len, known), np.int32, len(known)) // 4)[which]
+            chars = pc.utf8_length(every.dictionary).to_numpy(zero_copy_only=False)[which]
+            real = chars > 0
+            bounds = np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy()))
+            bounds = np.append(0, np.cumsum(real))[bounds].tolist()
+            tokens, chars = tokens[real], chars[real]
+            for i in range(len(part)):
+                own = slice(bounds[i], bounds[i + 1])
+                yield None if i in apart else (chars[own], tokens[own])
+            begin = end
+
+    def _apart(self, column: pa.Array) -> tuple[pa.Array, dict[int, str]]:
+        """The texts that may be cut everywhere, and the others by place, empty in the column."""
         # Texts whose white space is single spaces and line breaks need no closer look.
         doubtful = pc.match_substring_regex(column, _DOUBT)
         apart = {}
         for i in np.flatnonzero(doubtful.to_numpy(zero_copy_only=False)).tolist():
             if _RUN.search(text := column[i].as_py()):
-                apart[i] = self.whole(text)
+                apart[i] = text
         if apart:
             keep = np.ones(len(column), bool)
             keep[list(apart)] = False
             column = pc.if_else(pa.array(keep), column, "")
+        return column, apart
+
+    def _words(self, column: pa.Array):
+        """Words per text, the words as a dictionary, which of it each is, and their ids."""
         marked = pc.replace_substring(column, " ", "\0 ")
         lists = pc.split_pattern(pc.replace_substring(marked, "\n", "\0\n\0"), "\0")
         every = lists.flatten().dictionary_encode()
         which = every.indices.to_numpy()
-        known = self._look_up(every.dictionary.to_pylist())
-        lengths = np.fromiter(map(len, known), np.int64, len(known)) // 4
-        flat = np.frombuffer(b"".join(known), "<u4")
-        times = lengths[which]
-        after = np.cumsum(times)
-        shift = (np.cumsum(lengths) - lengths)[which] - (after - times)
-        ids = flat[np.repeat(shift, times) + np.arange(after[-1] if len(after) else 0)]
-        counts = np.cumsum(pc.list_value_length(lists).to_numpy())
-        ends = np.concatenate([[0], after])[counts].tolist()
-        found, begin = [], 0
-        for i, end in enumerate(ends):
-            found.append(apart[i] if i in apart else ids[begin:end].tobytes())
-            begin = end
-        return found
+        return lists, every, which, self._look_up(every.dictionary.to_pylist())
 
     def _look_up(self, words: list[str]) -> list[bytes]:
         """Ids of distinct words, each with the space before it; remembers what is new."""
         found = list(map(self._young.get, words))
         if None in found:
-            missing = [w for w, ids in zip(words, found, strict=True) if ids is None]
-            self._remember(missing)
-            found = list(map(self._young.__getitem__, words))
+            at = [i for i, ids in enumerate(found) if ids is None]
+            self._remember([words[i] for i in at])
+            for i in at:
+                found[i] = self._young[words[i]]
             if len(self._young) > self._remembered:
                 self._young, self._old = {"": b"", "\n": self._break}, self._young
         return found
@@ -147,13 +187,15 @@ class WordEncoder:
 
     def _learn(self, words: list[str], into: dict[str, bytes]) -> None:
         """Encode many words as lines of one text and cut the ids at the line breaks."""
-        plain = []
-        for w in words:
-            bare = w[1:] if w[0] == " " else w
-            if bare.split() == [bare]:
-                plain.append(w)
-            else:
-                into[w] = self.whole(w)
+        plain = words
+        if " " in words or _INNER.search("".join(words)):
+            plain = []
+            for w in words:
+                bare = w[1:] if w[0] == " " else w
+                if bare.split() == [bare]:
+                    plain.append(w)
+                else:
+                    into[w] = self.whole(w)
         line_break = int.from_bytes(self._break, "little")
         for at in range(0, len(plain), 500):
             part = plain[at : at + 500]
