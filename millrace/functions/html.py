@@ -3,7 +3,8 @@
 Patterns avoid look-around and back-references wherever the result is checked
 against another SQL engine, and use ``[ \\t\\n\\r]`` for white space. An element, comment or
 tag that is not closed runs to the end of the page, as in parsers; so every match uses
-up what it has looked at, and no page takes more than linear time.
+up what it has looked at, and no page takes more than linear time. Only ``nav`` and ``footer``
+lose no text by it: one that is not closed keeps what follows.
 """
 
 from __future__ import annotations
@@ -24,7 +25,6 @@ def whole_element(tag: str) -> str:
 
 
 _HIDDEN = rf"(?is){whole_element('script')}|{whole_element('style')}|<!--.*?(?:-->|\z)"
-_CHROME = rf"(?is){whole_element('nav')}|{whole_element('footer')}"
 _TAG = r"<[a-zA-Z/!?][^>]*(?:>|\z)"
 _SPACE = r"[ \t\n\r]+"
 # Named entities, the ampersand last, so that nothing is decoded twice.
@@ -90,6 +90,32 @@ def without_hidden(html: Column) -> Column:
     return F.regexp_replace(html, _HIDDEN, " ")
 
 
+def _without_closed(html: Column, tag: str) -> Column:
+    """The page without such elements; the text after a tag that is never closed stays."""
+    closing = rf"(?is)</{tag}{_REST}"
+
+    def still_open(depth: Column, piece: Column) -> Column:
+        return F.greatest(F.lit(0), depth + 2 - F.size(F.split(piece, closing)))
+
+    def cleaned(page: Column, pieces: Column) -> Column:
+        after = F.slice(pieces, 2, F.size(pieces))
+        # With every tag closed no match runs to the end of the page in vain.
+        all_closed = F.aggregate(after, F.lit(0), still_open) == 0
+        kept = F.transform(after, lambda p: F.regexp_replace(p, rf"(?is)^.*?</{tag}{_REST}", ""))
+        return (
+            F.when(F.size(pieces) == 1, page)
+            .when(all_closed, F.regexp_replace(page, rf"(?is){whole_element(tag)}", " "))
+            .otherwise(F.array_join(F.concat(F.slice(pieces, 1, 1), kept), " "))
+        )
+
+    # Arrays of one, so that the page and its pieces are computed once.
+    def once_split(page: Column) -> Column:
+        split = F.array(F.split(page, rf"(?i)<{tag}{_REST}"))
+        return F.get(F.transform(split, lambda pieces: cleaned(page, pieces)), F.lit(0))
+
+    return F.get(F.transform(F.array(html), once_split), F.lit(0))
+
+
 def title(html: Column) -> Column:
     return plain(F.coalesce(_inside(html, "title"), _inside(html, "h1")))
 
@@ -97,7 +123,7 @@ def title(html: Column) -> Column:
 def body_text(visible: Column) -> Column:
     """Readable text of a page given without scripts: the article, else the body."""
     main = F.coalesce(_inside(visible, "article"), _inside(visible, "body"))
-    return plain(F.regexp_replace(main, _CHROME, " "))
+    return plain(_without_closed(_without_closed(main, "nav"), "footer"))
 
 
 # --- Elements ---------------------------------------------------------------

@@ -222,6 +222,32 @@ def test_pages_of_unclosed_tags_take_linear_time(spark, part):
     assert time.perf_counter() - began < 5
 
 
+@pytest.mark.parametrize(
+    "body, text",
+    [
+        ("<div><nav><a>Home</a></div><p>The whole story.</p>", "Home The whole story."),
+        ("<div><nav>Home</div>The story. <NAV id=b>menu</NAV > The end.", "Home The story. The end."),
+        ("One <footer>two <nav>menu</nav> three", "One two three"),
+        ("One</nav> <nav>two", "One two"),
+        # What is closed goes whole, as the SQL has it.
+        ("<footer>f <nav>menu</nav> f</footer>One", "One"),
+        ("<footer>f <nav>menu</footer>One <nav>menu</nav>two", "One two"),
+        ("<nav>a <nav>b</nav> c</nav> d<nav>e</nav>", "c d"),
+    ],
+)
+def test_unclosed_nav_and_footer_keep_the_text_after_them(spark, body, text):
+    assert _article(spark, f"<html lang='en'><body>{body}</body></html>").text == text
+
+
+@pytest.mark.parametrize("part", ["<nav>", "<footer>x</footer><nav>", "</nav><nav>"])
+def test_unclosed_nav_and_footer_take_linear_time(spark, part):
+    page = "</nav>" * 50_000 + part * (1_000_000 // len(part))
+    _article(spark, "<html lang='en'><body>warm")
+    began = time.perf_counter()
+    _article(spark, "<html lang='en'><body>" + page)
+    assert time.perf_counter() - began < 5
+
+
 def test_names_of_tags_are_whole(spark):
     page = ("<html lang='en'><body><article-card>teaser</article-card>"
             "<article><nav-bar></nav-bar>KEEP THIS<nav>menu</nav>end</article></body>")
