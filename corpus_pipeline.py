@@ -40,7 +40,7 @@ def distinct_prints(spark, docs, sf_dir):
 
 def sequences(spark, docs, sf_dir):
     """Where every piece of every document lies in the training sequences."""
-    pieces = packing.tokenized_pieces(docs)
+    pieces = packing.tokenized_pieces(docs, special=True)
     return packing.packed(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 

@@ -54,8 +54,9 @@ def segments(text: str) -> list[str]:
 class Counter:
     """Tokens of segments: those of an edit one by one, those of a text together."""
 
-    def __init__(self, path: str):
-        self._encoder = encoder(path)
+    def __init__(self, path: str, special: bool = False):
+        self._encoder = encoder(path, special)
+        self.named = self._encoder.named
 
     def __call__(self, parts: list[str]) -> list[int]:
         if len(parts) <= FEW:
@@ -64,9 +65,9 @@ class Counter:
 
 
 @lru_cache(maxsize=4)
-def counter(path: str) -> Counter:
+def counter(path: str, special: bool = False) -> Counter:
     """One counter per Python worker."""
-    return Counter(path)
+    return Counter(path, special)
 
 
 class Tree:
@@ -185,16 +186,27 @@ class Tree:
             low = more
             begin -= len(self._block(low[0])[0][low[1]])
         high = self._next(*high, 1) or high
+        # White space goes with a special token that the edit makes after it.
+        text = self._changed(low, high, start - begin, removed, inserted)
+        while count.named(text) and "".join(self._block(low[0])[0][low[1] : low[1] + 1]).isspace():
+            if (more := self._next(*low, -1)) is None:
+                break
+            low = more
+            begin -= len(self._block(low[0])[0][low[1]])
+            text = self._changed(low, high, start - begin, removed, inserted)
+        parts = segments(text)
+        tokens = count(parts)
+        self.encoded += len(parts)
+        self._splice(low, high, parts, tokens)
+
+    def _changed(self, low, high, at: int, removed: int, inserted: str) -> str:
+        """The text of a run of segments after an edit."""
         window = []
         for block in range(low[0], high[0] + 1):
             own = self._block(block)[0]
             window += own[low[1] if block == low[0] else 0 : high[1] + 1 if block == high[0] else len(own)]
         text = "".join(window)
-        at = start - begin
-        parts = segments(text[:at] + inserted + text[at + removed :])
-        tokens = count(parts)
-        self.encoded += len(parts)
-        self._splice(low, high, parts, tokens)
+        return text[:at] + inserted + text[at + removed :]
 
     def _splice(self, low, high, parts: list[str], tokens: list[int]) -> None:
         own, counts = self._block(low[0])
@@ -229,10 +241,10 @@ class Tree:
 _TREE = "segment_chars array<int>, segment_tokens array<int>"
 
 
-def _leaves(column: pa.Array, path: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _leaves(column: pa.Array, path: str, special: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Characters and tokens of the segments of each text."""
-    count = counter(path)
-    for i, found in enumerate(encoder(path).segments(column)):
+    count = counter(path, special)
+    for i, found in enumerate(encoder(path, special).segments(column)):
         if found is None:
             parts = segments(column[i].as_py())
             found = np.array(list(map(len, parts)), np.int64), np.array(count(parts), np.int64)
@@ -245,13 +257,13 @@ def _lists(rows: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
 
 
-def built(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+def built(docs: DataFrame, tokenizer: str | None = None, special: bool = False) -> DataFrame:
     """``docs`` (``doc_id, text`` and others) with the leaves of their trees."""
     path = tokenizer or tokenizer_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = list(_leaves(batch.column("text").fill_null(""), path))
+            found = list(_leaves(batch.column("text").fill_null(""), path, special))
             leaves = [_lists([f[k] for f in found]) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, *leaves], [*batch.schema.names, "segment_chars", "segment_tokens"]
@@ -264,7 +276,7 @@ def _ddl(rows: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
 
 
-def edited(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+def edited(docs: DataFrame, tokenizer: str | None = None, special: bool = False) -> DataFrame:
     """Trees after the edits in the column ``edits``.
 
     Takes ``doc_id, text, edits`` and, if they were built before, the leaves; gives ``doc_id``, the
@@ -276,7 +288,7 @@ def edited(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     names = ["text", "segment_chars", "segment_tokens", "n_tokens", "edited_tokens", "n_encoded"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = counter(path)
+        count = counter(path, special)
         for whole in batches:
             for first in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(first, ROWS)
@@ -285,7 +297,7 @@ def edited(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
                     pairs = zip(*[batch.column(c) for c in ("segment_chars", "segment_tokens")], strict=True)
                     leaves = ((c.values.to_numpy(), t.values.to_numpy()) for c, t in pairs)
                 else:
-                    leaves = _leaves(texts, path)
+                    leaves = _leaves(texts, path, special)
                 rows = []
                 for text, (chars, tokens), changes in zip(texts, leaves, batch.column("edits"), strict=True):
                     tree = Tree(text.as_py(), chars, tokens)

@@ -36,7 +36,8 @@ def cuts(total: int, capacity: int) -> list[int]:
 
 
 def tokenized_pieces(
-    docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None, separator: int = SEPARATOR
+    docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None, separator: int = SEPARATOR,
+    special: bool = False,
 ) -> DataFrame:
     """``doc_id, start, length, doc_tokens, ids`` of the pieces; ids little-endian unsigned 32-bit."""
     path = tokenizer or tokenizer_path()
@@ -45,7 +46,7 @@ def tokenized_pieces(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             which, starts, lengths, totals, pieces, size = [], [], [], [], [], 0
-            for i, ids in enumerate(encoder(path).encode(batch.column("text"))):
+            for i, ids in enumerate(encoder(path, special).encode(batch.column("text"))):
                 ids += close
                 at = 0
                 for length in cuts(len(ids) // 4, capacity):

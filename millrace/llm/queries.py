@@ -12,14 +12,14 @@ from .common import table
 
 def op1_edit_counts(spark, sf_dir):
     changed = edits.drawn_edits(table(spark, sf_dir, "documents"))
-    return edits.edited(changed).select(
+    return edits.edited(changed, special=True).select(
         "doc_id", "n_tokens", "edited_tokens", F.size("segment_chars").alias("n_segments"),
         "n_encoded", F.crc32(F.col("text").cast("binary")).alias("text_crc32"),
     )
 
 
 def op2_packing(spark, sf_dir):
-    pieces = packing.tokenized_pieces(table(spark, sf_dir, "documents"))
+    pieces = packing.tokenized_pieces(table(spark, sf_dir, "documents"), special=True)
     digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return packing.packed(digests)
 
@@ -45,7 +45,7 @@ def op6_quality_rules(spark, sf_dir):
 
 
 def op7_token_files(spark, sf_dir):
-    files = tokenfile.write_tokens(table(spark, sf_dir, "documents"))
+    files = tokenfile.write_tokens(table(spark, sf_dir, "documents"), special=True)
     return tokenfile.read_tokens(spark, files).select(
         "doc_id",
         "start",

@@ -89,7 +89,9 @@ class _Writer:
         return self.path, self.ids, len(self._names), self._written
 
 
-def write_tokens(docs: DataFrame, place: str | None = None, tokenizer: str | None = None, end: int = END) -> DataFrame:
+def write_tokens(
+    docs: DataFrame, place: str | None = None, tokenizer: str | None = None, end: int = END, special: bool = False
+) -> DataFrame:
     """The list of files written: ``part, path, n_ids, n_docs, n_bytes, first_id``.
 
     ``first_id`` is the number of ids in the files before.
@@ -105,7 +107,7 @@ def write_tokens(docs: DataFrame, place: str | None = None, tokenizer: str | Non
             if not batch.num_rows:
                 continue
             writer = writer or _Writer(place, f"{part:06d}-{uuid.uuid4().hex}.pfor")
-            every = encoder(path).encode(batch.column("text"))
+            every = encoder(path, special).encode(batch.column("text"))
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), every, strict=True):
                 writer.add(doc_id, ids + close)
         if writer:

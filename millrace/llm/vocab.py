@@ -6,6 +6,9 @@ are cut at spaces and line breaks; the distinct words of a batch are looked up i
 worker remembers, the rest is encoded by the tokenizers library, and the ids of the texts are
 put together from them. The result is what the library gives for the whole text; texts with
 longer runs of white space go to it whole.
+
+By default the name of a special token in a text is text; with ``special`` it is that token, as
+in the library's own default, and the text before and after is encoded apart.
 """
 
 from __future__ import annotations
@@ -47,18 +50,27 @@ def tokenizer_path(name: str = BYTE_BPE) -> str:
 class WordEncoder:
     """Ids of texts as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str, remembered: int = REMEMBERED):
+    def __init__(self, path: str, remembered: int = REMEMBERED, special: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self._whole = Tokenizer.from_file(path)
-        self._whole.encode_special_tokens = True  # their names in a text are text
+        self._whole.encode_special_tokens = not special
+        # Names that cut a text; white space before one is a pre-token of its own.
+        added = self._whole.get_added_tokens_decoder().values() if special else []
+        self._names = [t.content for t in added]
+        before = "|".join([_RUN.pattern, *[rf"\s\s{re.escape(n)}" for n in self._names]])
+        self._run = re.compile(before)
         self._remembered = remembered
         self._break = self.whole("\n")
         self._marks = {c: self.whole(c) for c in ".,"}
         self._young: dict[str, bytes] = {"": b"", "\n": self._break}
         self._old: dict[str, bytes] = {}
 
+    def named(self, text: str) -> bool:
+        """Whether a special token is in the text."""
+        return any(n in text for n in self._names)
+
     def whole(self, text: str) -> bytes:
         """What the library gives for the text as it is."""
         found = self._whole.encode(text, add_special_tokens=False).ids
@@ -141,7 +153,7 @@ class WordEncoder:
         doubtful = pc.match_substring_regex(column, _DOUBT)
         apart = {}
         for i in np.flatnonzero(doubtful.to_numpy(zero_copy_only=False)).tolist():
-            if _RUN.search(text := column[i].as_py()):
+            if self._run.search(text := column[i].as_py()):
                 apart[i] = text
         if apart:
             keep = np.ones(len(column), bool)
@@ -188,11 +200,12 @@ class WordEncoder:
     def _learn(self, words: list[str], into: dict[str, bytes]) -> None:
         """Encode many words as lines of one text and cut the ids at the line breaks."""
         plain = words
-        if " " in words or _INNER.search("".join(words)):
+        joined = "".join(words)
+        if " " in words or _INNER.search(joined) or self.named(joined):
             plain = []
             for w in words:
                 bare = w[1:] if w[0] == " " else w
-                if bare.split() == [bare]:
+                if bare.split() == [bare] and not self.named(w):
                     plain.append(w)
                 else:
                     into[w] = self.whole(w)
@@ -209,6 +222,6 @@ class WordEncoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, special: bool = False) -> WordEncoder:
     """One encoder per Python worker."""
-    return WordEncoder(path)
+    return WordEncoder(path, special=special)
