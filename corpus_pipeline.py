@@ -5,8 +5,8 @@ gets it as written to Parquet and read again. All but the last give rows of
 ``documents`` as they came.
 
 Cases: rows that repeat an id are judged like any others, but one text of one id stays once after
-the exact stage. The near-duplicate stage keeps all rows of the smallest id of a
-component, and rows without an id only where their component has no other. An empty table
+the exact stage. The near-duplicate stage keeps one row of each component, one with
+its smallest id, or one without an id where the component has no other. An empty table
 goes through to an empty result.
 """
 

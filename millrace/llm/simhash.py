@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..operators.components import components
 from .common import id_and_text, stored
@@ -86,8 +87,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             )
 
     rows = id_and_text(docs)
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, fingerprint bigint")
+    # As types, since an id may be a struct of columns with any names.
+    kinds = StructType([StructField("doc_id", rows.schema["doc_id"].dataType), StructField("fingerprint", LongType())])
+    return rows.mapInArrow(run, kinds)
 
 
 # --- Anchors -------------------------------------------------------------------
@@ -268,8 +270,9 @@ def links(fps: DataFrame, threshold: int = THRESHOLD, codes: int | None = None)
     return spread.sortWithinPartitions("anchor", "piece", "guest").mapInArrow(run, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` for every row."""
+def _components(docs: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, fingerprint`` of every row; ``fingerprint, least_id, root, component_id`` of the
+    distinct fingerprints. An id may be the least of several components, a root is of one."""
     each = stored(fingerprints(docs), "fingerprints")
     classes = stored(
         each.groupBy("fingerprint").agg(F.min("doc_id").alias("least_id")), "classes"
@@ -279,18 +282,48 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     roots = joined.union(joined.select("root", "root").distinct())
     named = roots.join(classes, F.col("node") == F.col("fingerprint"))
     least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    answers = roots.join(least, "root").select(F.col("node").alias("fingerprint"), "component_id")
+    answers = roots.join(least, "root").select(F.col("node").alias("fingerprint"), "root", "component_id")
     found = classes.join(answers, "fingerprint", "left").select(
-        "fingerprint", F.coalesce("component_id", "least_id").alias("component_id")
+        "fingerprint", "least_id", F.coalesce("root", "fingerprint").alias("root"),
+        F.coalesce("component_id", "least_id").alias("component_id"),
     )
-    # Stored, so that both sides of the join come from shuffles and a hot fingerprint is split.
-    return each.join(stored(found, "found"), "fingerprint").select(
+    # Stored, so that both sides of a join come from shuffles and a hot fingerprint is split.
+    return each, stored(found, "found")
+
+
+def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """``doc_id, fingerprint, component_id`` for every row."""
+    each, found = _components(docs, threshold)
+    return each.join(found.select("fingerprint", "component_id"), "fingerprint").select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
 def kept(docs: DataFrame) -> DataFrame:
-    """The rows that bear the smallest id of their component, all columns as they are."""
-    found = near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    staying = stored(found.select(F.col("doc_id").alias("kept_id")).distinct(), "staying")
-    return docs.join(staying, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    """One row of each component, with its smallest id; all columns as they are."""
+    each, found = _components(docs, THRESHOLD)
+    least = found.filter(F.col("least_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(
+        F.min("fingerprint").alias("kept_print"), F.min("component_id").alias("kept_id")
+    )
+    staying = stored(least.select("kept_id", "kept_print"), "staying")
+    same_id = F.col("doc_id").eqNullSafe(F.col("kept_id"))
+    repeated = each.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
+    repeated = stored(repeated.select(F.col("doc_id").alias("repeated_id")), "repeated")
+    if repeated.isEmpty():
+        return docs.join(staying, same_id, "left_semi")
+    # Where several rows have one id, the id alone does not say which of them stays.
+    is_repeated = F.col("doc_id").eqNullSafe(F.col("repeated_id"))
+    single = docs.join(repeated, is_repeated, "left_anti")
+    unclear = docs.join(repeated, is_repeated, "left_semi")
+    names = docs.columns
+    whole = F.struct(*[F.col(f"`{c}`") for c in names]).alias("doc_id")
+    prints = fingerprints(unclear.select(whole, "text")).withColumnRenamed("doc_id", "kept_row")
+    same = F.col("kept_row.doc_id").eqNullSafe(F.col("kept_id")) & (F.col("fingerprint") == F.col("kept_print"))
+    once = (
+        prints.join(staying, same, "left_semi")
+        .select("kept_row", F.col("kept_row.doc_id").alias("id"), "fingerprint")
+        .dropDuplicates(["id", "fingerprint"])
+    )
+    return single.join(staying, same_id, "left_semi").union(
+        once.select(*[F.col(f"kept_row.`{c}`") for c in names])
+    )

@@ -111,3 +111,24 @@ def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert simhash.near_duplicates(empty).count() == 0
     assert simhash.fingerprints(empty.withColumn("doc_id", F.lit(1))).count() == 0
+
+
+def test_one_row_of_each_component_stays(spark, monkeypatch):
+    prints = {"a": 0, "a'": 1, "b": 0xFFFF << 8, "b'": 0xFFFE << 8, "c": 0xFFFF << 40, "d": -1}
+    kinds = spark.createDataFrame(list(prints.items()), "text string, fingerprint bigint")
+    monkeypatch.setattr(
+        simhash, "fingerprints",
+        lambda docs: docs.join(F.broadcast(kinds), "text").select("doc_id", "fingerprint"),
+    )
+    rows = [
+        (1, "a", "x"), (None, "a", "x"), (None, "a'", "x"),  # a component with an id
+        (None, "b", "x"), (None, "b'", "y"), (None, "b", "z"),  # one without
+        (5, "c", "x"), (5, "c", "y"), (5, "a'", "x"),  # an id that is the least of one alone
+        (7, "d", "x"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, `odd.name` string")
+    found = simhash.kept(docs)
+    assert found.columns == docs.columns
+    got = [tuple(r) for r in found.collect()]
+    assert set(got) <= set(rows)
+    assert sorted((str(i), t[0]) for i, t, _ in got) == [("1", "a"), ("5", "c"), ("7", "d"), ("None", "b")]
