@@ -189,3 +189,15 @@ def test_shards_hold_whole_groups(spark):
     for _, own in found.groupby("shard"):
         assert sorted(own.slot) == list(range(len(own)))
     assert sharding.sharded(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("module, label", [(toxicity, "toxic"), (gam, "quality")])
+def test_rows_that_repeat_an_id_are_fitted_once(spark, module, label, monkeypatch):
+    texts = [(i, f"some words {i % 7}") for i in range(40)] + [(3, f"other words {k}") for k in range(500)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], f"doc_id bigint, {label} int")
+    sizes, fit = [], module.fit
+    monkeypatch.setattr(module, "fit", lambda x, y, *more: sizes.append((len(x), len(y))) or fit(x, y, *more))
+    assert module.scored(docs, labels).count() == 540
+    chosen = module.label_sample(labels, label, module.FOLDS, module.HELD_OUT, module.SAMPLE).count()
+    assert sizes == [(chosen, chosen)]
