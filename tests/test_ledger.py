@@ -132,3 +132,12 @@ def test_places_keep_their_order(spark):
     packed = [r.x for r in frame.select(ledger._place(F.col("b"), F.col("i"), F.col("p")).alias("x")).collect()]
     order = sorted(range(300), key=lambda n: (-1 if places[n][0] is None else places[n][0], *places[n][1:]))
     assert order == sorted(range(300), key=lambda n: packed[n])
+
+
+def test_many_members_at_one_first_place_make_no_array(spark, monkeypatch):
+    def refused(*_):
+        raise AssertionError("gathers a group's members")
+
+    monkeypatch.setattr(ledger.F, "collect_set", refused)
+    lines = [[(7, [tx([side(1, f"m{k:02}"), side(1, "z")], [side(1, "Z")])])] for k in range(30)]
+    assert set(edges(spark, *lines)[1].values()) == {"m00"}
