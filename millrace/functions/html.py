@@ -39,14 +39,17 @@ _ENTITIES = (
 def language(html: Column) -> Column:
     """Two-letter language of the ``<html>`` tag, else of a ``<meta>`` tag."""
     tag = F.regexp_extract(html, r"""(?i)<html[^<>]*[ \t\n\r]lang=["']?([a-z]{2})""", 1)
-    meta = F.regexp_extract(
-        html,
-        # The counts keep a tag that never ends from being tried at every length.
-        r"""(?i)<meta[^<>]{0,500}(?:http-equiv=["']?content-language|name=["']?lang)["']?"""
-        r"""[^<>]{0,500}content=["']?([a-z]{2})""",
-        1,
-    )
-    return F.lower(F.coalesce(none_if_empty(tag), none_if_empty(meta)))
+
+    # Whole tags first, then what follows the name in each: no length is tried twice.
+    def told(meta: Column) -> Column:
+        name = r"""(?is)(?:http-equiv=["']?content-language|name=["']?lang)["']?(.*)"""
+        return F.regexp_extract(
+            F.regexp_extract(meta, name, 1), r"""(?is)^.*content=["']?([a-z]{2})""", 1
+        )
+
+    metas = F.regexp_extract_all(html, F.lit("(?i)<meta[^<>]*"), F.lit(0))
+    first = F.get(F.filter(F.transform(metas, told), lambda found: found != ""), F.lit(0))
+    return F.lower(F.coalesce(none_if_empty(tag), first))
 
 
 def plain(markup: Column) -> Column:

@@ -248,6 +248,16 @@ def test_unclosed_nav_and_footer_take_linear_time(spark, part):
     assert time.perf_counter() - began < 5
 
 
+def test_languages_of_long_meta_tags(spark):
+    long = "x" * 2_000
+    for meta in (f'data-a="{long}" name="lang" content="en"', f'name=lang data-a="{long}" content=en'):
+        assert _article(spark, f"<html><meta charset=utf-8><meta {meta}><body>t</body></html>").text == "t"
+    page = "<html><meta " + "name=lang " * 100_000
+    began = time.perf_counter()
+    assert _article(spark, page) is None
+    assert time.perf_counter() - began < 5
+
+
 def test_names_of_tags_are_whole(spark):
     page = ("<html lang='en'><body><article-card>teaser</article-card>"
             "<article><nav-bar></nav-bar>KEEP THIS<nav>menu</nav>end</article></body>")
