@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import (
-    edits, exact, gam, packing, pieces, rules, sharding, simhash, tokenfile, toxicity,
+    collocations, edits, exact, gam, packing, passages, pieces, rules, sharding, simhash, spelling,
+    tokenfile, toxicity,
 )
 from .common import table
 
@@ -67,12 +68,24 @@ def op10_quality_classifier(spark, sf_dir):
     return gam.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_spelling_variants(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_substring_dedup(spark, sf_dir):
+    return passages.deduplicated(table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_edit_counts, op2_packing, op3_toxicity, op4_sharding, op5_exact_dedup,
         op6_quality_rules, op7_token_files, op8_simhash, op9_sampled_pieces,
-        op10_quality_classifier,
+        op10_quality_classifier, op11_spelling_variants, op12_substring_dedup, op13_collocations,
     )
 }
 
