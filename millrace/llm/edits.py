@@ -3,8 +3,8 @@
 A text is cut at places where a token surely begins: a single space between two
 characters that are no white space, or either side of such a line break. A tree over blocks of
 such segments keeps, per node, the characters and tokens below it. An edit finds its segments by
-descending on characters; only they and one segment of context on either side are cut and encoded
-anew, and the sums on the way to the root follow. Blocks that no edit touches stay stretches of
+descending on characters; only they and the context up to one segment on either side that is not
+white space alone are cut and encoded anew, and the sums on the way to the root follow. Blocks that no edit touches stay stretches of
 the first text. Counts equal those of encoding the edited text whole.
 
 Cases: a missing or empty text has no segment and no token, and edits may fill it.
@@ -186,9 +186,15 @@ class Tree:
             low = more
             begin -= len(self._block(low[0])[0][low[1]])
         high = self._next(*high, 1) or high
+        # A run of white space is one stretch to the tokenizer, so the outer segments must end it.
+        while self._blank(low) and (more := self._next(*low, -1)) is not None:
+            low = more
+            begin -= len(self._block(low[0])[0][low[1]])
+        while self._blank(high) and (more := self._next(*high, 1)) is not None:
+            high = more
         # White space goes with a special token that the edit makes after it.
         text = self._changed(low, high, start - begin, removed, inserted)
-        while count.named(text) and "".join(self._block(low[0])[0][low[1] : low[1] + 1]).isspace():
+        while count.named(text) and self._blank(low):
             if (more := self._next(*low, -1)) is None:
                 break
             low = more
@@ -199,6 +205,10 @@ class Tree:
         self.encoded += len(parts)
         self._splice(low, high, parts, tokens)
 
+    def _blank(self, at: tuple[int, int]) -> bool:
+        """Whether a segment is white space alone."""
+        return "".join(self._block(at[0])[0][at[1] : at[1] + 1]).isspace()
+
     def _changed(self, low, high, at: int, removed: int, inserted: str) -> str:
         """The text of a run of segments after an edit."""
         window = []
@@ -325,7 +335,7 @@ def edited(docs: DataFrame, tokenizer: str | None = None, special: bool = False)
 
 
 def drawn_edits(docs: DataFrame) -> DataFrame:
-    """``doc_id, text, edits``: three edits per text, drawn by its id.
+    """``doc_id, text, edits``, and the leaves if there are any: three edits per text, drawn by its id.
 
     A stretch goes, a stretch is copied to another place, and a stretch is replaced by another.
     """
@@ -347,4 +357,5 @@ def drawn_edits(docs: DataFrame) -> DataFrame:
         change(draw(3, size), F.lit(0).cast("bigint"), stretch(4)),
         change(draw(6, size), draw(7, F.lit(40)), stretch(8)),
     )
-    return docs.select("doc_id", text.alias("text"), changes.alias("edits"))
+    leaves = [c for c in ("segment_chars", "segment_tokens") if c in docs.columns]
+    return docs.select("doc_id", text.alias("text"), changes.alias("edits"), *leaves)

@@ -8,12 +8,14 @@ from . import (
     collocations, edits, exact, gam, packing, passages, pieces, rules, sharding, simhash, spelling,
     tokenfile, toxicity,
 )
-from .common import table
+from .common import stored, table
 
 
 def op1_edit_counts(spark, sf_dir):
-    changed = edits.drawn_edits(table(spark, sf_dir, "documents"))
-    return edits.edited(changed, special=True).select(
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    # The trees are kept, and the edits work on what was kept.
+    trees = stored(edits.built(docs, special=True), "trees")
+    return edits.edited(edits.drawn_edits(trees), special=True).select(
         "doc_id", "n_tokens", "edited_tokens", F.size("segment_chars").alias("n_segments"),
         "n_encoded", F.crc32(F.col("text").cast("binary")).alias("text_crc32"),
     )

@@ -41,6 +41,50 @@ def test_edited_counts_equal_whole_encoding(whole, monkeypatch):
             assert sum(tokens) == tree.n_tokens and sum(own) == tree.chars[1] == len(text)
 
 
+SPACES = ["\n", "\n\n", "\t", "\xa0", " ", "  ", "\u2003", "\r\n"]
+
+
+def test_trees_as_tables_have_them_stay_right_at_white_space(whole, monkeypatch):
+    """Leaves cut at every line break; edits beside blank lines, tabs and odd spaces."""
+    monkeypatch.setattr(edits, "BLOCK", 3)
+    draw = random.Random(9)
+    path = vocab.tokenizer_path()
+    count = edits.counter(path)
+    plain = ["x", "One", ".", "Two", "words", "here", ",", "é", "12"]
+
+    def text_of(most):
+        return "".join(draw.choices([" ", "\n", "\n\n", *SPACES, *plain], [9, 5, 5] + [1] * 8 + [3] * 9, k=draw.randint(0, most)))
+
+    texts = ["x.\n\ny", "One.\n\nTwo words here", "a b\n\nc d", "\n\n\n", *[text_of(40) for _ in range(1500)]]
+    for text, (chars, tokens) in zip(texts, edits._leaves(pa.array(texts), path, False), strict=True):
+        tree = edits.Tree(text, chars, tokens)
+        assert tree.n_tokens == len(whole(text)) // 4, repr(text)
+        for _ in range(4):
+            start, removed = draw.randint(0, len(text)), draw.choice([0, 1, 1, 2, 7])
+            new = draw.choice(["", "", text_of(3), draw.choice(SPACES)])
+            tree.edit(start, removed, new, count)
+            text = text[:start] + new + text[start + removed :]
+            assert tree.text() == text and tree.n_tokens == len(whole(text)) // 4, repr(text)
+
+
+def test_a_second_round_starts_from_stored_trees(spark, whole, tmp_path):
+    texts = ["Some words.\n\nA second paragraph here, and more. " * k for k in range(1, 30)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    edits.built(docs).write.parquet(f"{tmp_path}/trees")
+    trees = spark.read.parquet(f"{tmp_path}/trees")
+    edits.edited(edits.drawn_edits(trees)).write.parquet(f"{tmp_path}/once")
+    # The trees of the first round, with edits drawn anew from what it left.
+    again = edits.drawn_edits(spark.read.parquet(f"{tmp_path}/once"))
+    changes = {r.doc_id: (r.text, r.edits) for r in again.collect()}
+    for r in edits.edited(again).collect():
+        text, drawn = changes[r.doc_id]
+        assert r.n_tokens == len(whole(text)) // 4
+        for c in drawn:
+            at = min(c.start, len(text))
+            text = text[:at] + c.inserted + text[at + c.removed :]
+        assert r.text == text and r.edited_tokens == len(whole(text)) // 4
+
+
 def test_an_edit_encodes_few_segments():
     count = edits.Counter(vocab.tokenizer_path())
     parts = edits.segments("some words here " * 20_000)
