@@ -11,8 +11,8 @@ sequence the first stays, by document and place; words under any other are remov
    words, one row a slice for each. Where several rows or occurrences meet they are confirmed, and
    the first in order is the one that stays.
 3. Automata. Each slice compiles its confirmed windows into Aho-Corasick automata, of at most
-   ``SHARD`` windows each, over words as symbols. All documents of the slice with a
-   window to look for stream through them, which finds every occurrence, whole words at a time.
+   ``SHARD`` windows each, over phrases of ``PHRASE`` words as symbols. All documents of the slice
+   with a window to look for stream through them, which finds every occurrence.
 
 Copies of whole texts skip 2 and 3: their windows all start earlier in the document with the
 smallest id. A passage in very many documents is one row a slice wherever it is counted.
@@ -39,13 +39,13 @@ from pyspark.sql import functions as F
 
 from .common import id_and_text, stored
 
-WINDOW, GRAM = 20, 8
+WINDOW, GRAM, PHRASE = 20, 8, 5
 SLICE, SHARD = 2 << 20, 50_000
 _SPACES = np.zeros(256, bool)
 _SPACES[[9, 10, 11, 12, 13, 32]] = True
 # Bytes or words hashed at a time; words above so many bytes are hashed apart.
 _BLOCK, _LONG, _GROUP = 1 << 20, 4096, 4 << 20
-_ROWS = 200_000
+_ROWS, _TASK_SLICES = 200_000, 2
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -180,12 +180,13 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from found(slices, texts)
 
 
-def sliced(docs: DataFrame, size: int = SLICE) -> DataFrame:
-    """``slice, doc_id, text`` (as bytes); the slices follow the table's size."""
+def sliced(docs: DataFrame, size: int = SLICE) -> tuple[DataFrame, int]:
+    """``slice, doc_id, text`` (as bytes), and how many slices there are, by the table's size."""
     rows = id_and_text(docs)
     total = rows.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
-    which = F.pmod(F.xxhash64("doc_id", "text"), F.lit(total // size + 1))
-    return rows.select(which.alias("slice"), "doc_id", F.col("text").cast("binary").alias("text"))
+    count = total // size + 1
+    which = F.pmod(F.xxhash64("doc_id", "text"), F.lit(count))
+    return rows.select(which.alias("slice"), "doc_id", F.col("text").cast("binary").alias("text")), count
 
 
 def repeated_anchors(rows: DataFrame) -> DataFrame:
@@ -289,7 +290,7 @@ def _pad(rows: pa.RecordBatch, others, first: bool) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(empty + mine, others + names)
 
 
-def settled(rows: DataFrame) -> DataFrame:
+def settled(rows: DataFrame, slices: int) -> DataFrame:
     """Stored results of the documents that no confirmed window can touch, and open slices."""
     anchors = repeated_anchors(rows).groupBy("slice").agg(F.collect_list("anchor").alias("anchors"))
     nothing = F.lit(None)
@@ -311,7 +312,9 @@ def settled(rows: DataFrame) -> DataFrame:
             )
         )
     )
-    dealt = parts.repartition("slice").sortWithinPartitions("slice", "kind")
+    # A few slices a task, whatever the table's size.
+    tasks = -(-slices // _TASK_SLICES)
+    dealt = parts.repartition(tasks, "slice").sortWithinPartitions("slice", "kind")
     return stored(dealt.mapInArrow(_settle, f"{_RESULT}, {_OPEN}"), "settled")
 
 
@@ -356,33 +359,66 @@ def confirmed(open_slices: DataFrame) -> DataFrame:
     )
 
 
-def _symbols(numbers: np.ndarray) -> str:
+def _phrases(numbers: np.ndarray) -> np.ndarray:
+    """Numbers from 1 of the runs of ``PHRASE`` words at every place, the same for equal ones."""
+    def joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return np.unique(left * (int(right.max(initial=0)) + 1) + right, return_inverse=True)[1].astype(np.int64)
+
+    # Runs of two words, then of two of these, and so on; the binary digits of the length tell how.
+    whole, size = None, 0
+    power, length = numbers, 1
+    while True:
+        if PHRASE & length:
+            n = len(numbers) - size - length + 1
+            whole = power if whole is None else joined(whole[:n], power[size : size + n])
+            size += length
+        if 2 * length > PHRASE:
+            return whole + 1
+        power, length = joined(power[:-length], power[length:]), 2 * length
+
+
+def _text(symbols: np.ndarray) -> str:
     """A character for each number; surrogates are left out."""
-    return np.where(numbers >= 0xD800, numbers + 0x800, numbers).astype("<u4").tobytes().decode("utf-32-le")
+    return np.where(symbols >= 0xD800, symbols + 0x800, symbols).astype("<u4").tobytes().decode("utf-32-le")
 
 
-def located(numbers: np.ndarray, starts: np.ndarray, shard: int = SHARD) -> Iterator[tuple[int, int]]:
-    """``place, start`` for every place at which the window that begins at a start occurs.
+def located(numbers: np.ndarray, starts: np.ndarray, shard: int = SHARD) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``places, starts``: every place at which the window that begins at a start occurs.
 
     ``numbers`` are the words by number from 1, with 0 between documents. The windows that start at
-    ``starts`` are distinct.
+    ``starts`` are distinct. Symbols are phrases of ``PHRASE`` words, so a window is a few symbols of
+    the text read in steps of a phrase, from each of its first places.
     """
+    if not len(starts):
+        return
+    phrases = _phrases(numbers)
+    steps = WINDOW // PHRASE
+    # The text in steps of a phrase, one row for each first place, with a break after each.
+    width = -(-len(phrases) // PHRASE) + 1
+    rows = np.zeros((PHRASE, width), np.int64)
+    for first in range(PHRASE):
+        own = phrases[first::PHRASE]
+        rows[first, : len(own)] = own
+    rows = rows.ravel()
+
+    def at_row(places: np.ndarray) -> np.ndarray:
+        return places % PHRASE * width + places // PHRASE
+
     for first in range(0, len(starts), shard):
         chosen = starts[first : first + shard]
-        wanted = np.zeros(len(numbers) + 1, np.int32)
-        np.add.at(wanted, chosen, 1)
-        np.add.at(wanted, np.minimum(chosen + WINDOW, len(numbers)), -1)
-        # Words outside the chosen windows match nothing, so they all are symbol 0.
-        used = np.unique(numbers[np.cumsum(wanted)[:-1] > 0])
-        symbol = np.zeros(int(numbers.max(initial=0)) + 1, np.int64)
+        begin = at_row(chosen)
+        # Phrases outside the chosen windows match nothing, so they all are symbol 0.
+        used = np.unique(rows[begin[:, None] + np.arange(steps)])
+        symbol = np.zeros(int(rows.max()) + 1, np.int64)
         symbol[used] = np.arange(1, len(used) + 1)
-        text = _symbols(symbol[numbers])
+        text = _text(symbol[rows])
         automaton = ahocorasick.Automaton()
-        for start in chosen.tolist():
-            automaton.add_word(text[start : start + WINDOW], start)
+        for nth, at in enumerate(begin.tolist()):
+            automaton.add_word(text[at : at + steps], nth)
         automaton.make_automaton()
-        for end, start in automaton.iter(text):
-            yield end - WINDOW + 1, start
+        found = np.array(list(automaton.iter(text)), np.int64).reshape(-1, 2)
+        end = found[:, 0] - (steps - 1)
+        yield end % width * PHRASE + end // width, chosen[found[:, 1]]
 
 
 def _remove(batches):
@@ -400,13 +436,14 @@ def _remove(batches):
             with_breaks = np.arange(int(many.sum())) + np.repeat(np.arange(len(lists)), many)
             places = np.sort(np.array(row["places"] or [], np.int64))
             starts = with_breaks[places >> 1]
-            stays = set(starts[places & 1 == 1].tolist())
-            marked = np.fromiter(
-                (at for at, start in located(numbers, starts) if at != start or at not in stays), np.int64
-            )
+            stays = np.zeros(len(numbers), bool)
+            stays[starts[places & 1 == 1]] = True
             change = np.zeros(len(numbers) + 1, np.int64)
-            np.add.at(change, marked, 1)
-            np.add.at(change, marked + WINDOW, -1)
+            for at, start in located(numbers, starts):
+                marked = at[(at != start) | ~stays[start]]
+                # A place is found once, as the windows are distinct.
+                change[marked] += 1
+                change[marked + WINDOW] -= 1
             covered = np.cumsum(change) > 0
             done, begin = [], 0
             for doc_id, times, words in zip(row["doc_ids"], row["times"], lists):
@@ -419,7 +456,7 @@ def _remove(batches):
 
 def deduplicated(docs: DataFrame, size: int = SLICE) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` for every row."""
-    found = settled(sliced(docs, size))
+    found = settled(*sliced(docs, size))
     open_slices = found.filter("slice is not null").select("slice", "doc_ids", "times", "texts", "starts")
     places = confirmed(open_slices)
     rest = open_slices.drop("starts").join(places, "slice", "left").mapInArrow(_remove, _RESULT)

@@ -226,7 +226,19 @@ def test_automata_in_shards_find_all():
     firsts = np.array([places[0] for places in windows.values()])
     want = sorted((at, places[0]) for places in windows.values() for at in places)
     for shard in (7, 1000):
-        assert sorted(passages.located(numbers, firsts, shard)) == want
+        found = [pair for at, start in passages.located(numbers, firsts, shard) for pair in zip(at, start)]
+        assert sorted(found) == want
+
+
+@pytest.mark.parametrize("phrase", [1, 2, 4, 5, 10, 20])
+def test_phrases_of_any_length_are_told_apart(phrase, monkeypatch):
+    monkeypatch.setattr(passages, "PHRASE", phrase)
+    draw = random.Random(phrase)
+    numbers = np.array(draw.choices([0, 1, 2], k=500), np.int64)
+    found = passages._phrases(numbers)
+    runs = [tuple(numbers[at : at + phrase]) for at in range(len(numbers) - phrase + 1)]
+    assert len(found) == len(runs) and found.min() >= 1
+    assert len(set(zip(runs, found.tolist()))) == len(set(runs)) == len(set(found.tolist()))
 
 
 # --- Collocations ---------------------------------------------------------------------------
