@@ -37,7 +37,7 @@ LONGEST, LEAST_COUNT, TOP = 4, 30, 2000
 # A longer phrase with so many percent of the occurrences takes the place of the shorter.
 COVERS = 80
 # Characters of text in a chunk; rows of a batch; parts of the first step of the ranking.
-CHUNK, _ROWS, _PARTS = 24_000_000, 200_000, 32
+CHUNK, _BATCH, _PARTS = 16_000_000, 100_000, 32
 
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes.maketrans(_BREAKS, b"." * len(_BREAKS))
@@ -120,30 +120,16 @@ def occurrences(docs: DataFrame, size: int = CHUNK) -> DataFrame:
     return stored(rows.mapInArrow(_relate(size), schema), "occurrences")
 
 
-def _ids(places: np.ndarray, ids: list | None) -> np.ndarray:
-    """The frequent phrase's id at every place; -1 where there is none."""
-    if not ids:
-        return np.full(len(places), -1, np.int64)
-    number = np.fromiter((i["no"] for i in ids), np.int64, len(ids))
-    table = np.full(max(int(places.max(initial=0)), int(number.max())) + 2, -1, np.int64)
-    table[number] = np.fromiter((i["id"] for i in ids), np.int64, len(ids))
-    return table[places]  # -1 takes the last entry, which is -1
+def _joined(phrases: np.ndarray, words: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """The merge join: places of phrases of ``size`` words that go on by a word, and a number for
+    each result, ``phrase * words + word``.
 
-
-def _joined(first: np.ndarray, last: np.ndarray, size: int):
-    """The merge join: phrases of ``size`` words with the word after them.
-
-    Both arrays are by place. Gives places, numbers of the distinct results, and these.
+    Both arrays are by place, with -1 where there is nothing frequent.
     """
-    n = len(first)
-    here = np.arange(max(n - size, 0))
-    here = here[(first[here] >= 0) & (first[here + 1] >= 0) & (last[here + size] >= 0)]
-    left, a = np.unique(first[here], return_inverse=True)
-    right, b = np.unique(last[here + size], return_inverse=True)
-    both, number, times = np.unique(
-        a.astype(np.int64) * max(len(right), 1) + b, return_inverse=True, return_counts=True
-    )
-    return here, number, left[both // max(len(right), 1)], right[both % max(len(right), 1)], times
+    here = np.arange(max(len(phrases) - size, 0))
+    here = here[(phrases[here] >= 0) & (phrases[here + 1] >= 0) & (words[here + size] >= 0)]
+    many = int(words.max(initial=0)) + 1
+    return here, phrases[here] * many + words[here + size], many
 
 
 _CANDIDATES = pa.schema(
@@ -151,29 +137,38 @@ _CANDIDATES = pa.schema(
 )
 
 
-def _decoded(row: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of words and of the phrases of this round at every place."""
-    with_breaks = lambda ids: np.append(np.array(ids, np.int64), -1)
-    return (
-        with_breaks(row["word_ids"])[_unpacked(row["words_at"])],
-        with_breaks(row["phrase_ids"])[_unpacked(row["phrases_at"])],
-    )
+def _rows(batches):
+    """One row of a batch at a time, as it may be large; lists as arrays, packed numbers unpacked."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = {}
+            for name, column in zip(batch.schema.names, batch.columns):
+                value = column[i]
+                if pa.types.is_list(column.type) or pa.types.is_large_list(column.type):
+                    row[name] = value.values
+                elif pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type):
+                    row[name] = _unpacked(value.as_py())
+                else:
+                    row[name] = value.as_py()
+            yield row
 
 
 def _extend(size: int):
     def extend(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                words, phrases = _decoded(row)
-                _, _, left, right, times = _joined(phrases, words, size)
-                for at in range(0, len(left), _ROWS):
-                    part = slice(at, at + _ROWS)
-                    m = len(left[part])
-                    columns = np.full(m, row["chunk"]), np.arange(at, at + m), left[part], right[part], times[part]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c.astype(t.type.to_pandas_dtype())) for c, t in zip(columns, _CANDIDATES)],
-                        schema=_CANDIDATES,
-                    )
+        for row in _rows(batches):
+            _, both, many = _joined(row["phrases_at"], row["words_at"], size)
+            both, times = np.unique(both, return_counts=True)
+            first, last = row["phrase_ids"].to_numpy(), row["word_ids"].to_numpy()
+            for at in range(0, len(both), _BATCH):
+                part = both[at : at + _BATCH]
+                columns = (
+                    np.full(len(part), row["chunk"]), np.arange(at, at + len(part)), first[part // many],
+                    last[part % many], times[at : at + _BATCH],
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c.astype(t.type.to_pandas_dtype())) for c, t in zip(columns, _CANDIDATES)],
+                    schema=_CANDIDATES,
+                )
 
     return extend
 
@@ -187,35 +182,44 @@ _RELATION = pa.schema(
 _RELATION_SQL = "chunk bigint, word_ids array<bigint>, words_at binary, phrase_ids array<bigint>, phrases_at binary"
 
 
-def _numbered(ids: np.ndarray) -> tuple[list, bytes]:
-    """Distinct ids, and their numbers at every place."""
-    distinct, number = np.unique(ids, return_inverse=True)
-    if len(distinct) and distinct[0] < 0:
-        distinct, number = distinct[1:], number - 1
-    return distinct.tolist(), _packed(number)
-
+def _semi_joined(numbers: np.ndarray, ids: pa.Array | None) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the frequent ones, and their new numbers at every place; -1 where there is none.
 
-def _relation(row: dict, words: tuple, phrases: np.ndarray) -> pa.RecordBatch:
-    values = row["chunk"], *words, *_numbered(phrases)
-    return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, _RELATION)], schema=_RELATION)
+    ``ids`` has ``no, id`` of the numbers that are frequent.
+    """
+    if ids is None or not len(ids):
+        return np.zeros(0, np.int64), np.full(len(numbers), -1, np.int64)
+    old, id_ = ids.field("no").to_numpy(), ids.field("id").to_numpy()
+    # The last entry is for places without a number.
+    table = np.full(max(int(numbers.max(initial=0)), int(old.max())) + 2, -1, np.int64)
+    table[old] = np.arange(len(old))
+    return id_, table[numbers]
+
+
+def _relation(chunk: int, word_ids, words_at, phrase_ids, phrases_at) -> pa.RecordBatch:
+    values = chunk, word_ids, _packed(words_at), phrase_ids, _packed(phrases_at)
+    arrays = [
+        pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), pa.array(v, pa.int64()))
+        if pa.types.is_list(f.type) else pa.array([v], f.type)
+        for v, f in zip(values, _RELATION)
+    ]
+    return pa.RecordBatch.from_arrays([a.cast(f.type) for a, f in zip(arrays, _RELATION)], schema=_RELATION)
 
 
 def _first_relation(batches):
-    for batch in batches:
-        for row in batch.to_pylist():
-            ids = _ids(_unpacked(row["places"]), row["ids"])
-            yield _relation(row, _numbered(ids), ids)
+    for row in _rows(batches):
+        ids, at = _semi_joined(row["places"], row["ids"])
+        yield _relation(row["chunk"], ids, at, ids, at)
 
 
 def _next_relation(size: int):
     def following(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                words, phrases = _decoded(row)
-                here, number, *_ = _joined(phrases, words, size)
-                ids = np.full(len(phrases), -1, np.int64)
-                ids[here] = _ids(number, row["ids"])
-                yield _relation(row, (row["word_ids"], row["words_at"]), ids)
+        for row in _rows(batches):
+            here, both, _ = _joined(row["phrases_at"], row["words_at"], size)
+            ids, found = _semi_joined(np.unique(both, return_inverse=True)[1], row["ids"])
+            at = np.full(len(row["phrases_at"]), -1, np.int64)
+            at[here] = found
+            yield _relation(row["chunk"], row["word_ids"], row["words_at"], ids, at)
 
     return following
 
