@@ -22,7 +22,7 @@ from millrace.functions.text import archive_time, movie_slug
 from millrace.operators import articles, hosts, ledger, movies
 from millrace.plans import registry, studies
 from millrace.session import SETTINGS, scratch_path
-from millrace.sources import archives, cuts, locations, tables
+from millrace.sources import archive_source, archives, cuts, locations, tables
 from millrace.streaming import incremental
 
 SLOPE_THRESHOLD = 2e-6
@@ -135,6 +135,17 @@ def warc_response_scan(spark, sf_dir):
     return archives.scan_locations(parts, place).select("uri", _at("ts"), "content", "error")
 
 
+def warc_source_scan(spark, sf_dir):
+    """The archives of one crawl, by their time, out of a folder that has an older one as well."""
+    place = scratch_path(spark, "crawls")
+    pages = standins.page_records(spark, sf_dir)
+    standins.write_archives(pages, f"{place}/new")
+    standins.write_archives(pages.withColumn("uri", F.concat("uri", F.lit("?old"))), f"{place}/old", "20190301012354")
+    archive_source.register(spark)
+    records = spark.read.format(archive_source.NAME).load(place)
+    return records.filter("ts >= timestamp'2021-01-01'").select("uri", _at("ts"), "content", "error")
+
+
 def location_join(spark, sf_dir):
     place, ranges = _landed_archives(spark, sf_dir)
     listing = archives.archive_listing(spark, place)
@@ -142,7 +153,8 @@ def location_join(spark, sf_dir):
         F.concat(F.lit("missing/"), "page_id").alias("key"), F.lit(0).alias("start"),
         F.lit(9).alias("end"), F.lit(None).cast("string").alias("error"),
     )
-    paired = archives.pair_with_listing(ranges.union(nowhere), listing, place)
+    # Stored, as the scan and the misfits both read it.
+    paired = studies.stored(archives.pair_with_listing(ranges.union(nowhere), listing, place), "paired")
     scanned = archives.scan_locations(paired.filter(F.col("error").isNull()), place)
     nothing = F.lit(None).cast("string")
     misfits = paired.filter(F.col("error").isNotNull()).select(
@@ -167,12 +179,16 @@ def registry_compose(spark, sf_dir):
 
 
 def incremental_archives(spark, sf_dir):
-    """Archives as they land, two per step."""
+    """Archives as they land, in steps of an eighth of their bytes, which cut long ones."""
     place = scratch_path(spark, "landing")
-    standins.write_archives(standins.page_records(spark, sf_dir).repartition(6), place)
-    stream = incremental.stream_archives(spark, f"{place}/*", files_per_step=2)
+    standins.write_archives(standins.page_records(spark, sf_dir), place)
+    landed = archives.archive_listing(spark, place).agg(F.sum("length")).first()[0] or 0
+    step = max(1 << 20, landed // 8)
+    incremental.plan_landed(
+        spark, f"{place}/*", f"{place}-plan", f"{place}-planned", size=step // 2, step_bytes=step
+    ).awaitTermination()
     query = incremental.run_incrementally(
-        stream, articles.copy, f"{place}-out", f"{place}-checkpoint"
+        incremental.stream_planned(spark, f"{place}-plan"), articles.copy, f"{place}-out", f"{place}-checkpoint"
     )
     query.awaitTermination()
     return spark.read.parquet(f"{place}-out").select("uri", _at("ts"), "content", "error")
@@ -330,6 +346,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_record_scan": csv_record_scan,
         "encoded_roundtrip": encoded_roundtrip,
         "warc_response_scan": warc_response_scan,
+        "warc_source_scan": warc_source_scan,
         "location_join": location_join,
         "archive_articles": archive_articles,
         "registry_compose": registry_compose,

@@ -2,8 +2,7 @@
 
 Each task takes location rows and streams the ranges it was given; no archive
 passes through the driver or is held whole. A location list is small as text,
-so it is spread over tasks on purpose: by key and offset, which keeps ranges of
-one archive together but still splits an archive that holds most of them.
+so it is dealt to tasks on purpose, by the bytes its ranges stand for (``dealing``).
 """
 
 from __future__ import annotations
@@ -16,54 +15,16 @@ from pyspark.sql import functions as F
 
 from ..functions import formats as fmt
 from ..functions.text import archive_time
-from ..operators.skew import in_pieces
-from ..schemas import LOCATION, SCANNED
+from ..schemas import SCANNED
 from . import records
+from .dealing import TASK_BYTES, dealt, location_columns
+from .files import byte_range, opened
 
-_CHUNK = 1 << 20
 _ROWS, _BYTES = 512, 8 << 20
 
 Decoder = Callable[[Iterable[bytes]], Iterable[tuple]]
 
 
-def arrow_path(path: str):
-    """File system and path for a Hadoop style location."""
-    from pyarrow import fs
-
-    if path.startswith("file:/") and not path.startswith("file://"):
-        path = "file://" + path[len("file:") :]
-    if path.startswith(("s3a://", "s3n://")):
-        path = "s3" + path[3:]
-    return fs.FileSystem.from_uri(path)
-
-
-def opened(base: str, key: str):
-    """An archive opened for reading.
-
-    ``base`` is a location with its file system, the key a plain path below it, in which no
-    character has a meaning of its own. Without a base the key is the whole location.
-    """
-    if not base:
-        system, name = arrow_path(key)
-    else:
-        system, root = arrow_path(base)
-        name = f"{root.rstrip('/')}/{key}"
-    return system.open_input_file(name)
-
-
-def byte_range(source, start: int, end: int | None) -> Iterator[bytes]:
-    """Bytes ``[start, end)`` of an open file in chunks; to its end if ``end`` is None."""
-    source.seek(start)
-    left = None if end is None else end - start
-    while left is None or left > 0:
-        chunk = source.read(_CHUNK if left is None else min(_CHUNK, left))
-        if not chunk:
-            return
-        if left is not None:
-            left -= len(chunk)
-        yield chunk
-
-
 def _batches(rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
     """Rows to Arrow batches bounded by rows and by bytes, as pages differ in size."""
     names = SCANNED.fieldNames()
@@ -85,49 +46,44 @@ def _batches(rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _range_task(base: str, decoder: Decoder, failfast: bool):
-    def rows(batches):
-        held, source, size = None, None, 0
-        for batch in batches:
-            for at in batch.to_pylist():
-                key, start, end = at["key"], at["start"] or 0, at["end"]
-                path = f"{base}/{key}" if base else key
-                try:
-                    if start < 0 or (end is not None and end <= start):
-                        raise ValueError(f"no such range [{start}, {end})")
-                    # Ranges come sorted, so an archive is opened once for all of its.
-                    if path != held:
-                        if source is not None:
-                            source.close()
-                        held = source = None
-                        source, held = opened(base, key), path
-                        size = source.size()
-                    if start > size:
-                        raise ValueError(f"starts after the archive's end at {size}")
-                    for uri, content, error in decoder(byte_range(source, start, end)):
-                        if error and failfast:
-                            raise records.DamagedRecord(f"{path}: {error}")
-                        yield key, start, end, uri, content, error
-                except (OSError, ValueError) as problem:
-                    if failfast:
-                        raise
-                    yield key, start, end, None, None, f"cannot read: {problem}"
-        if source is not None:
-            source.close()
-
-    return lambda batches: _batches(rows(batches))
-
+def read_ranges(
+    ranges: Iterable[tuple], base: str, decoder: Decoder, failfast: bool
+) -> Iterator[tuple]:
+    """``key, start, end, uri, content, error`` of the records in ranges ``key, start, end``."""
+    held, source, size = None, None, 0
+    for key, start, end in ranges:
+        start = start or 0
+        path = f"{base}/{key}" if base else key
+        try:
+            if start < 0 or (end is not None and end <= start):
+                raise ValueError(f"no such range [{start}, {end})")
+            # Ranges come sorted, so an archive is opened once for all of its.
+            if path != held:
+                if source is not None:
+                    source.close()
+                held = source = None
+                source, held = opened(base, key), path
+                size = source.size()
+            if start > size:
+                raise ValueError(f"starts after the archive's end at {size}")
+            for uri, content, error in decoder(byte_range(source, start, end)):
+                if error and failfast:
+                    raise records.DamagedRecord(f"{path}: {error}")
+                yield key, start, end, uri, content, error
+        except (OSError, ValueError) as problem:
+            if failfast:
+                raise
+            yield key, start, end, None, None, f"cannot read: {problem}"
+    if source is not None:
+        source.close()
 
-def spread_tasks(spark: SparkSession) -> int:
-    """Tasks for location rows, which are few bytes each but stand for much work."""
-    return max(
-        4 * spark.sparkContext.defaultParallelism,
-        int(spark.conf.get("spark.sql.shuffle.partitions")),
-    )
 
+def _range_task(base: str, decoder: Decoder, failfast: bool):
+    def ranges(batches):
+        for batch in batches:
+            yield from zip(*[batch.column(c).to_pylist() for c in ("key", "start", "end")])
 
-def location_columns(locations: DataFrame) -> DataFrame:
-    return locations.select(*[F.col(f.name).cast(f.dataType) for f in LOCATION])
+    return lambda batches: _batches(read_ranges(ranges(batches), base, decoder, failfast))
 
 
 def scan_locations(
@@ -136,28 +92,23 @@ def scan_locations(
     decoder: Decoder = records.responses,
     mode: str = "PERMISSIVE",
     tasks: int | None = None,
+    task_bytes: int = TASK_BYTES,
 ) -> DataFrame:
     """Response records of the archive ranges in ``locations(key, start, end)``.
 
-    ``base`` is put before each key. ``tasks`` should be a few times the cores
-    the job may get; the default goes by the session's cores and shuffle
-    partitions. ``PERMISSIVE`` turns an unreadable stretch
+    ``base`` is put before each key. Each task gets about ``task_bytes`` of neighbouring ranges,
+    less where that would leave cores idle; ``tasks`` fixes their number. The ranges are
+    measured by a job that runs now; those of a stream stay where they are. ``PERMISSIVE`` turns an unreadable stretch
     into a row with ``error`` set and goes on; ``FAILFAST`` stops the job.
     Returns ``key, start, end, uri, ts, content, error``.
     """
     failfast = _failfast(mode)
-    wanted = location_columns(locations)
-    if not wanted.isStreaming:
-        spark = wanted.sparkSession
-        tasks = tasks or spread_tasks(spark)
-        wanted = (
-            # A range listed many times is many rows, which must not meet in one task.
-            in_pieces(wanted, 1)
-            .repartitionByRange(tasks, "key", "start", "piece")
-            .sortWithinPartitions("key", "start")
-            .select("key", "start", "end")
-        )
-    return _timed(wanted.mapInArrow(_range_task(base.rstrip("/"), decoder, failfast), SCANNED))
+    base = base.rstrip("/")
+    if locations.isStreaming:
+        wanted = location_columns(locations)
+    else:
+        wanted = dealt(locations, base, tasks, task_bytes)
+    return _timed(wanted.mapInArrow(_range_task(base, decoder, failfast), SCANNED))
 
 
 def _file_task(decoder: Decoder, failfast: bool):

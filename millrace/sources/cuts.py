@@ -18,33 +18,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.skew import in_pieces
-from ..session import scratch_path
-from .archives import byte_range, location_columns, opened, spread_tasks
+from .dealing import MEASURED, measured, spread_tasks
+from .files import byte_range, opened
 from .records import MAGIC, first_member_at
 
 SIZE = 1 << 30
 _WINDOW = 1 << 20
-_MEASURED = "key string, start bigint, end bigint, piece bigint, stop bigint"
-
-
-def _sizes(base: str):
-    """Adds ``stop``, asking the file system only where a range has no end."""
-
-    def measure(batches):
-        for batch in batches:
-            stops = []
-            for key, end in zip(batch.column("key").to_pylist(), batch.column("end").to_pylist()):
-                if end is None:
-                    try:
-                        with opened(base, key) as source:
-                            end = source.size()
-                    except (OSError, ValueError):
-                        end = None  # the scan reports it
-                stops.append(end)
-            yield batch.append_column("stop", pa.array(stops, pa.int64()))
-
-    return measure
 
 
 def member_start(source, near: int, stop: int) -> int | None:
@@ -119,22 +98,17 @@ def cut_long_ranges(locations: DataFrame, base: str = "", size: int = SIZE) -> D
     """
     base = base.rstrip("/")
     spark = locations.sparkSession
-    ranges = in_pieces(location_columns(locations), 1).drop("copies")
-    ranges = ranges.repartitionByRange(spread_tasks(spark), "key", "start", "piece")
-    # Stored, so that the file system is asked once; a few bytes per range.
-    place = scratch_path(spark, "ranges")
-    ranges.mapInArrow(_sizes(base), _MEASURED).write.parquet(place)
-    measured = spark.read.schema(_MEASURED).parquet(place)
+    ranges = measured(locations, base).drop("part", "row")
     is_long = F.coalesce(F.col("stop") - F.col("start") > size, F.lit(False))
-    if measured.filter(is_long).isEmpty():
-        return measured.select("key", "start", "end")
-    whole = measured.filter(~is_long).select("key", "start", "end")
+    if ranges.filter(is_long).isEmpty():
+        return ranges.select("key", "start", "end")
+    whole = ranges.filter(~is_long).select("key", "start", "end")
 
     # A range has at most length / size cut points, each a row of a few bytes.
     near = F.explode(F.sequence(F.col("start") + size, F.col("stop") - 1, F.lit(size)))
-    points = measured.filter(is_long).withColumn("near", near)
+    points = ranges.filter(is_long).withColumn("near", near)
     points = points.repartitionByRange(spread_tasks(spark), "key", "near", "piece")
-    cuts = points.mapInArrow(_cut_task(base), f"{_MEASURED}, near bigint, cut bigint")
+    cuts = points.mapInArrow(_cut_task(base), f"{MEASURED}, near bigint, cut bigint")
     one = ["key", "start", "end", "piece"]
     # The range's own start is a cut too; a record longer than ``size`` gives the
     # same cut for several points.
@@ -148,7 +122,7 @@ def cut_long_ranges(locations: DataFrame, base: str = "", size: int = SIZE) -> D
     candidates = starts.select(*one, "stop", "cut", every.alias("cuts"))
     candidates = candidates.repartitionByRange(spread_tasks(spark), "key", "cut", "piece")
     proven = candidates.mapInArrow(
-        _proof_task(base), f"{_MEASURED}, cut bigint, cuts array<bigint>, reached bigint"
+        _proof_task(base), f"{MEASURED}, cut bigint, cuts array<bigint>, reached bigint"
     )
     steps = proven.groupBy(*one).agg(
         F.sort_array(F.collect_list(F.struct("cut", "reached"))).alias("steps")

@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .sources.archives import arrow_path
+from .sources.files import arrow_path
 
 STAMP = "20210301012354"
 SITE = "https://www.rottentomatoes.com/m/"

@@ -272,4 +272,5 @@ UNION ALL
 SELECT 'https://blocks.example.com/broken/' || o_orderkey, NULL, 'not a block payload'
 FROM orders WHERE o_orderstatus = 'P'""",
 }
+ORACLES["warc_source_scan"] = ORACLES["warc_response_scan"]
 ORACLES["edge_files"] = ORACLES["txn_edges"]

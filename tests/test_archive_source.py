@@ -1,0 +1,173 @@
+"""Archives dealt by bytes: the batch scan, the data source, and steps of a stream."""
+
+import gzip
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.functions.text import archive_time
+from millrace.sources import archive_source, archives, cuts, dealing
+from millrace.streaming import incremental
+
+from .test_archives import http, record
+
+
+def archive(name, count, size=400, seed=0):
+    """Bytes of an archive whose pages do not compress."""
+    draw = random.Random(seed)
+    pages = ["".join(draw.choices("abcdefghij0123456789", k=size)).encode() for _ in range(count)]
+    return b"".join(
+        gzip.compress(record("response", f"http://{name}/{n}", http(page)), 1) for n, page in enumerate(pages)
+    )
+
+
+def landed(folder, counts, prefix="crawl", stamp="20210301012354"):
+    """Archives with so many pages each; their keys and sizes."""
+    folder.mkdir(exist_ok=True)
+    for n, count in enumerate(counts):
+        (folder / f"{prefix}-{stamp}-{n:05d}.warc.gz").write_bytes(archive(f"{prefix}{n}", count, seed=n))
+    return {f.name: f.stat().st_size for f in sorted(folder.iterdir())}
+
+
+def uris(rows):
+    return sorted(r.uri for r in rows.select("uri", "error").collect() if r.error is None)
+
+
+def whole_locations(spark, sizes):
+    return spark.createDataFrame([(k, 0, None) for k in sizes], "key string, start bigint, end bigint")
+
+
+def test_tasks_get_equal_bytes_of_unequal_archives(spark, tmp_path):
+    sizes = landed(tmp_path / "in", [1, 400, 2, 3, 50, 5, 900, 1, 1, 1, 30, 200, 8])
+    base = f"file://{tmp_path}/in"
+    ranges = cuts.cut_long_ranges(whole_locations(spark, sizes), base, size=20_000)
+    dealt = dealing.dealt(ranges, base, tasks=6)
+    each = {}
+    for part, key, start, end in (
+        dealt.withColumn("part", F.spark_partition_id()).select("part", "key", "start", "end").collect()
+    ):
+        each[part] = each.get(part, 0) + (sizes[key] if end is None else end) - start + dealing.OPENING
+    assert len(each) == 6 and sum(each.values()) > sum(sizes.values())
+    # No task is off by more than a range at either end.
+    share = sum(each.values()) / 6
+    assert max(abs(n - share) for n in each.values()) <= 21_000 + dealing.OPENING
+    scanned = archives.scan_locations(ranges, base, tasks=6)
+    assert len(uris(scanned)) == 1 + 400 + 2 + 3 + 50 + 5 + 900 + 3 + 30 + 200 + 8
+
+
+def test_task_count_follows_the_bytes(spark):
+    few, many = (dealing.task_count(spark, n) for n in (10 * dealing.OPENING, 10_000 * dealing.TASK_BYTES))
+    assert few == 10 and many == 10_000
+    assert dealing.task_count(spark, 0) == 1
+
+
+def test_source_equals_the_scan_and_deals_by_bytes(spark, tmp_path):
+    sizes = landed(tmp_path / "in", [5, 120, 3, 60, 1, 1, 80])
+    (tmp_path / "in" / "_hidden").write_bytes(b"not an archive")
+    archive_source.register(spark)
+    base = f"file://{tmp_path}/in"
+    source = spark.read.format("archives").option("taskBytes", 100_000).load(base)
+    scanned = archives.scan_locations(whole_locations(spark, sizes), base)
+    names = ["key", "start", "end", "uri", "ts", "content", "error"]
+    assert source.columns == names
+    assert sorted(source.collect()) == sorted(scanned.select(*names).collect())
+    reader = archive_source.ArchiveReader({"path": base, "taskBytes": "100000"})
+    parts = reader.partitions()
+    weights = [sum(sizes[k] + dealing.OPENING for k, _, _ in p.ranges) for p in parts]
+    assert source.rdd.getNumPartitions() == len(parts) > 3
+    assert max(weights) <= 100_000 + max(sizes.values()) + dealing.OPENING
+    # Ranges of a table that cuts has left: a long archive is several partitions.
+    cut = f"file://{tmp_path}/cut"
+    cuts.cut_long_ranges(whole_locations(spark, sizes), base, size=5_000).write.parquet(cut)
+    again = spark.read.format("archives").option("ranges", cut).option("taskBytes", 80_000).load(base)
+    assert uris(again) == uris(source)
+    assert again.rdd.getNumPartitions() > len(sizes)
+
+
+def test_archives_ruled_out_are_never_opened(spark, tmp_path):
+    folder = tmp_path / "in"
+    landed(folder, [4, 6], prefix="new")
+    landed(folder, [5], prefix="old", stamp="20190301012354")
+    # Would be error rows if they were opened.
+    (folder / "old-20190301012354-00009.warc.gz").write_bytes(b"\x1f\x8b\x08 damaged")
+    (folder / "other-20210301012354-00009.warc.gz").write_bytes(b"\x1f\x8b\x08 damaged")
+    archive_source.register(spark)
+    source = spark.read.format("archives").load(f"file://{folder}")
+    assert source.filter("error is not null").count() > 0
+    new = [f"http://new{n}/{i}" for n, m in ((0, 4), (1, 6)) for i in range(m)]
+    for condition in (
+        "ts > timestamp'2020-01-01' and key like 'new%'",
+        "ts >= timestamp'2021-03-01 01:23:54' and not key like 'other%'",
+        "key in ('new-20210301012354-00000.warc.gz', 'new-20210301012354-00001.warc.gz')",
+        "key like '%-0000%' and key like 'new%' and ts is not null",
+        "key < 'ob' and ts = timestamp'2021-03-01 01:23:54'",
+    ):
+        rows = source.filter(condition)
+        assert sorted(r.uri for r in rows.collect()) == sorted(new), condition
+    one = source.filter("key like 'new%' and uri like '%/3'")
+    assert sorted(r.uri for r in one.collect()) == ["http://new0/3", "http://new1/3"]
+    assert source.filter("ts < timestamp'1999-01-01'").collect() == []
+
+
+def test_times_of_names_agree(spark):
+    keys = [
+        "crawl-20210301012354-00478.warc.gz", "crawl-20211301012354-00478.warc.gz", "x.warc.gz",
+        "2016/08/26/7/1472218613000_42.warc.gz", "2016/08/26/7/999999999999999_42.warc.gz", "a-20200229000000-12345",
+    ]
+    rows = spark.createDataFrame([(k,) for k in keys], "key string")
+    for r in rows.select("key", F.unix_seconds(archive_time(F.col("key"))).alias("at")).collect():
+        assert archive_source.key_time(r.key) == r.at * 1_000_000, r.key
+
+
+class Stopped(Exception):
+    pass
+
+
+@pytest.mark.parametrize("stop", [False, True])
+def test_one_long_archive_is_read_over_several_steps(spark, tmp_path, stop):
+    landing, plan, out = (f"file://{tmp_path}/{n}" for n in ("in", "plan", "out"))
+    landed(tmp_path / "in", [300, 2])
+
+    def planned():
+        incremental.plan_landed(
+            spark, landing, plan, f"{plan}-checkpoint", size=15_000, step_bytes=120_000, task_bytes=60_000
+        ).awaitTermination()
+
+    planned()
+    steps = len(list((tmp_path / "plan").glob("batch=*/part-*")))
+    assert steps > 2
+    seen = []
+
+    def kept(rows, batch):
+        # A run that ends amid the steps leaves the others for the next one.
+        if stop and batch == 2 and not seen.count("stopped"):
+            seen.append("stopped")
+            raise Stopped
+        rows.write.mode("overwrite").parquet(f"{out}/batch={batch}")
+        seen.append(rows.select("uri").count())
+
+    def run():
+        stream = incremental.stream_planned(spark, plan, tasks=4)
+        query = (
+            stream.writeStream.foreachBatch(kept).option("checkpointLocation", f"{out}-checkpoint")
+            .trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+
+    if stop:
+        with pytest.raises(Exception, match="Stopped"):
+            run()
+    run()
+    want = [f"http://crawl{n}/{i}" for n, m in ((0, 300), (1, 2)) for i in range(m)]
+    assert uris(spark.read.parquet(out)) == sorted(want)
+    assert sum(n for n in seen if n != "stopped") == 302
+    assert sum(n > 0 for n in seen if n != "stopped") == steps
+    # An archive that lands later is planned and read alone; planning again changes nothing.
+    landed(tmp_path / "in", [0, 0, 40])
+    (tmp_path / "in" / "crawl-20210301012354-00000.warc.gz").write_bytes(archive("crawl0", 300))
+    planned()
+    planned()
+    run()
+    rows = uris(spark.read.parquet(out))
+    assert sorted(want + [f"http://crawl2/{i}" for i in range(40)]) == rows
