@@ -19,9 +19,10 @@ from pyspark.sql import functions as F
 
 from millrace import sinks, standins
 from millrace.functions.text import archive_time, movie_slug
-from millrace.operators import articles, hosts, ledger, movies
+from millrace.operators import articles, growing_groups, growing_series, hosts, ledger, movies
 from millrace.plans import registry, studies
 from millrace.session import SETTINGS, scratch_path
+from millrace.sinks import committed
 from millrace.sources import archive_source, archives, cuts, locations, tables
 from millrace.streaming import incremental
 
@@ -120,6 +121,20 @@ def encoded_roundtrip(spark, sf_dir):
     return rows.withColumn("ts", seconds).select("uri", _at("ts"), "content", "error")
 
 
+def encoded_stream(spark, sf_dir):
+    """Pages as a stream into committed encoded lines, which a second run finds complete."""
+    source, place = f"{sf_dir}/pages.parquet*", scratch_path(spark, "committed")
+    pages = incremental.stream_table(spark, source, spark.read.parquet(source).schema)
+    records = pages.select(
+        F.col("url").alias("uri"), F.timestamp_seconds(F.lit(0)).alias("ts"), F.col("html").alias("content")
+    )
+    for _ in range(2):
+        committed.write_stream(articles.copy(records), place, f"{place}-checkpoint").awaitTermination()
+    rows = tables.decode_lines(committed.read_lines(spark, place))
+    seconds = F.timestamp_seconds(F.col("ts").try_cast("double"))
+    return rows.withColumn("ts", seconds).select("uri", _at("ts"), "content", "error")
+
+
 def _landed_archives(spark, sf_dir):
     place = scratch_path(spark, "archives")
     lines = standins.write_archives(standins.page_records(spark, sf_dir), place)
@@ -237,11 +252,28 @@ def score_pipeline(spark, sf_dir):
     registry.run(spark, "cdx-index", "rottentomatoes", f"{place}-captures", results, base=place)
     shards = tables.read_results(spark, f"{results}/part-[0-9]*", studies.SCORE_COLUMNS)
     name = f"scores_{uuid.uuid4().hex}"
-    sinks.append_scores(movies.clean_scores(shards), name)
-    found = movies.score_alerts(spark.table(name), PIPELINE_THRESHOLD, "minmax")
+    sinks.create_score_table(spark, name, f"{results}-table", buckets=16)
+    for _ in range(2):  # the second insert of a batch changes nothing
+        sinks.insert_scores(movies.clean_scores(shards), name, "crawl")
+    found = studies.stored(movies.score_alerts(spark.table(name), PIPELINE_THRESHOLD, "minmax"), "alerts")
+    spark.sql(f"DROP TABLE {name}")
     return found.select("name", "kind", "points", "minmax")
 
 
+def failure_counts(spark, sf_dir):
+    """How many rows failed for which reason, as the pass that wrote them saw it."""
+    reasons = {r: F.col("reason") == r for r in ("no score layout", "review count is not a number")}
+    found = movies.extract_scores(standins.score_pages(spark, sf_dir))
+    counts = sinks.write_counted(found, scratch_path(spark, "counted"), reasons)
+    return spark.createDataFrame(list(counts.items()), "reason string, n bigint")
+
+
+def score_report(spark, sf_dir):
+    snapshots = standins.score_snapshots(spark, sf_dir)
+    alerts = movies.score_alerts(snapshots, MINMAX_THRESHOLD, "minmax", ["critics"])
+    return movies.point_lines(movies.alert_points(snapshots, alerts, ["critics"]), alerts)
+
+
 def _alerts(delta, threshold):
     def query(spark, sf_dir):
         found = movies.score_alerts(standins.score_snapshots(spark, sf_dir), threshold, delta)
@@ -252,6 +284,22 @@ def _alerts(delta, threshold):
     return query
 
 
+def score_delta_merged(spark, sf_dir):
+    """Both measures out of moments that three shards of the snapshots were merged into."""
+    place = scratch_path(spark, "series")
+    snapshots = standins.score_snapshots(spark, sf_dir)
+    for shard in range(3):
+        growing_series.add_shard(spark, place, snapshots.filter(F.pmod("numCritic", F.lit(3)) == shard), shard)
+    every = growing_series.changes(growing_series.moments_now(spark, place))
+    measures = {"slope": SLOPE_THRESHOLD, "minmax": MINMAX_THRESHOLD}
+    found = [
+        every.filter(movies.DELTAS[m]() > t).select(F.lit(m).alias("measure"), "*") for m, t in measures.items()
+    ]
+    return found[0].union(found[1]).select(
+        "measure", "name", "kind", "points", "minmax", F.round(F.col("slope") * 1e9, 3).alias("slope_e9")
+    )
+
+
 def score_alert_points(spark, sf_dir):
     snapshots = standins.score_snapshots(spark, sf_dir)
     alerts = movies.score_alerts(snapshots, MINMAX_THRESHOLD, "minmax", ["critics"])
@@ -277,10 +325,14 @@ def encoded_blocks(spark, sf_dir):
     landed, place = scratch_path(spark, "landed"), scratch_path(spark, "blocks")
     standins.payloads(spark, sf_dir).select("content").write.text(landed)
     sinks.write_encoded(tables.read_landed_payloads(spark, landed, per_line=True), place)
-    flat = ledger.flatten_blocks(ledger.parse_payloads(tables.read_encoded(spark, place)))
+    # The time of a payload is that of the file it landed in.
+    age = F.unix_seconds(F.current_timestamp()) - F.col("ts").try_cast("double")
+    timed = tables.read_encoded(spark, place).withColumn("uri", age.between(-60, 86400).cast("string"))
+    flat = ledger.flatten_blocks(ledger.parse_payloads(timed))
     return flat.select(
         "block", "block_pos", "tx_pos", "fee",
         F.size("inputs").alias("n_inputs"), F.size("out").alias("n_outputs"),
+        F.col("uri").cast("boolean").alias("landed_today"),
     )
 
 
@@ -300,6 +352,17 @@ def address_groups(spark, sf_dir):
     return groups.select("addr", "group_addr")
 
 
+def groups_merged(spark, sf_dir):
+    """Groups that grew by three batches of blocks, which have addresses in common."""
+    place = scratch_path(spark, "growing")
+    every = standins.payloads(spark, sf_dir)
+    for batch in range(3):
+        part = every.filter(F.pmod(F.crc32("uri"), F.lit(3)) == batch)
+        kept, _ = studies.ledger_rows(part)
+        growing_groups.add_transactions(spark, place, kept, batch)
+    return growing_groups.groups_now(spark, place).select("addr", "group_addr")
+
+
 def group_sizes(spark, sf_dir):
     return ledger.group_sizes(studies.ledger_study(standins.payloads(spark, sf_dir))[1])
 
@@ -345,6 +408,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cdx_index_parse": cdx_index_parse,
         "csv_record_scan": csv_record_scan,
         "encoded_roundtrip": encoded_roundtrip,
+        "encoded_stream": encoded_stream,
         "warc_response_scan": warc_response_scan,
         "warc_source_scan": warc_source_scan,
         "location_join": location_join,
@@ -357,14 +421,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "score_series": score_series,
         "score_delta_slope": _alerts("slope", SLOPE_THRESHOLD),
         "score_delta_minmax": _alerts("minmax", MINMAX_THRESHOLD),
+        "score_delta_merged": score_delta_merged,
         "score_alert_points": score_alert_points,
         "score_unpack": score_unpack,
         "score_pipeline": score_pipeline,
+        "failure_counts": failure_counts,
+        "score_report": score_report,
         "block_flatten": block_flatten,
         "encoded_blocks": encoded_blocks,
         "txn_inputs": txn_inputs,
         "txn_index": txn_index,
         "address_groups": address_groups,
+        "groups_merged": groups_merged,
         "group_sizes": group_sizes,
         "txn_edges": txn_edges,
         "edge_files": edge_files,
@@ -375,14 +443,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def _llm_part(name: str) -> dict:
-    """Queries or SQL of the training-data operators and their pipeline, if both are there."""
-    here = os.path.dirname(os.path.abspath(__file__))
-    parts = os.path.join(here, "millrace", "llm", "queries.py"), os.path.join(here, "corpus_pipeline.py")
-    if not all(map(os.path.exists, parts)):
+    """Queries or SQL of the training-data operators and their pipeline, if both can be imported."""
+    try:
+        import corpus_pipeline
+        from millrace.llm import queries as llm
+    except ImportError as problem:
+        print(f"training-data queries are not there: {problem}", file=sys.stderr)
         return {}
-    import corpus_pipeline
-    from millrace.llm import queries as llm
-
     found = dict(getattr(llm, name))
     if name == "QUERIES":
         found["pipeline"] = corpus_pipeline.run

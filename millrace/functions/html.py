@@ -9,7 +9,9 @@ lose no text by it: one that is not closed keeps what follows.
 
 from __future__ import annotations
 
+import json
 import re
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,15 +27,13 @@ def whole_element(tag: str) -> str:
 
 
 _HIDDEN = rf"(?is){whole_element('script')}|{whole_element('style')}|<!--.*?(?:-->|\z)"
-_TAG = r"<[a-zA-Z/!?][^>]*(?:>|\z)"
 _SPACE = r"[ \t\n\r]+"
-# Named entities, the ampersand last, so that nothing is decoded twice.
-_ENTITIES = (
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " "),
-    ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"), ("&laquo;", "«"),
-    ("&raquo;", "»"), ("&ndash;", "–"), ("&mdash;", "—"), ("&hellip;", "…"), ("&bull;", "•"),
-    ("&copy;", "©"), ("&euro;", "€"), ("&amp;", "&"),
-)
+_TAG = r"<[a-zA-Z/!?][^>]*(?:>|\z)"
+# A tag whose quoted values may hold a ``>``, up to so many of them; and a page that has such a value.
+_QUOTING_TAG = r"""<[a-zA-Z/!?](?>(?:[^>=]++|=[ \t\n\r]*+(?:"[^"]*+"|'[^']*+')?+){0,300})>"""
+_QUOTED_END = r"""=[ \t\n\r]*+(?:"[^">]*+>|'[^'>]*+>)"""
+# How deep elements of one name may be nested to be taken out whole.
+LEVELS = 5
 
 
 def language(html: Column) -> Column:
@@ -54,33 +54,54 @@ def language(html: Column) -> Column:
 
 def plain(markup: Column) -> Column:
     """Tags to blanks, entities decoded, white space collapsed."""
-    return _tidy(F.regexp_replace(markup, _TAG, " "))
+    return F.trim(F.regexp_replace(_decoded(_without_tags(markup)), _SPACE, " "))
+
+
+def _pieces(text: Column, mark: str, one) -> Column:
+    """Text with what follows each mark changed by ``one``; the text before the first mark stays."""
+    pieces = F.split(text, mark)
+    changed = F.transform(pieces, lambda p, nth: F.when(nth == 0, p).otherwise(one(p)))
+    return F.when(F.contains(text, F.lit(mark)), F.array_join(changed, "")).otherwise(text)
 
 
-def _numbered(text: Column) -> Column:
-    """Numeric references to characters; what is none stays as it is."""
+def _without_tags(markup: Column) -> Column:
+    """Most pages take the plain pattern; only one with a ``>`` in a value needs its quotes read."""
+    return _once(
+        markup,
+        lambda page: F.regexp_replace(
+            F.when(page.rlike(_QUOTED_END), F.regexp_replace(page, _QUOTING_TAG, " ")).otherwise(page), _TAG, " "
+        ),
+    )
+
+
+def _decoded(text: Column) -> Column:
+    """Numeric references and named entities to characters; what is none stays as it is.
+
+    A character that comes out of one is not looked at again.
+    """
+    known = {name: " " if name == "nbsp" else chr(code) for name, code in name2codepoint.items()}
+    # One constant, which Spark reads once.
+    names = F.from_json(F.lit(json.dumps(known)), "map<string, string>")
 
-    def one(piece: Column, nth: Column) -> Column:
-        number = F.regexp_extract(piece, r"^([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});", 1)
+    def one(piece: Column) -> Column:
+        number = F.regexp_extract(piece, r"^#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});", 1)
         value = F.when(
             F.lower(number).startswith("x"), F.conv(F.substring(number, 2, 7), 16, 10)
         ).otherwise(number).try_cast("int")
         sound = value.between(1, 0x10FFFF) & ~value.between(0xD800, 0xDFFF)
         char = F.decode(F.unhex(F.lpad(F.hex(F.when(sound, value).otherwise(32)), 8, "0")), "UTF-32")
-        rest = F.substr(piece, F.length(number) + 2)
-        return F.when(nth == 0, piece).when(sound, F.concat(char, rest)).otherwise(
-            F.concat(F.lit("&#"), piece)
+        name = F.regexp_extract(piece, r"^([a-zA-Z][a-zA-Z0-9]{1,7});", 1)
+        meant = F.element_at(names, name)
+        asis = F.concat(F.lit("&"), piece)
+        # The first characters tell most pieces that are nothing.
+        return (
+            F.when(F.length(piece) < 3, asis)
+            .when(piece.startswith("#"), F.when(sound, F.concat(char, F.substr(piece, F.length(number) + 3))).otherwise(asis))
+            .when(meant.isNotNull(), F.concat(meant, F.substr(piece, F.length(name) + 2)))
+            .otherwise(asis)
         )
 
-    decoded = F.array_join(F.transform(F.split(text, "&#"), one), "")
-    return F.when(F.contains(text, F.lit("&#")), decoded).otherwise(text)
-
-
-def _tidy(text: Column) -> Column:
-    text = _numbered(text)
-    for entity, char in _ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return F.trim(F.regexp_replace(text, _SPACE, " "))
+    return _pieces(text, "&", one)
 
 
 def _inside(html: Column, tag: str) -> Column:
@@ -94,29 +115,37 @@ def without_hidden(html: Column) -> Column:
 
 
 def _without_closed(html: Column, tag: str) -> Column:
-    """The page without such elements; the text after a tag that is never closed stays."""
-    closing = rf"(?is)</{tag}{_REST}"
-
-    def still_open(depth: Column, piece: Column) -> Column:
-        return F.greatest(F.lit(0), depth + 2 - F.size(F.split(piece, closing)))
+    """The page without such elements; the text after a tag that is never closed stays.
 
-    def cleaned(page: Column, pieces: Column) -> Column:
-        after = F.slice(pieces, 2, F.size(pieces))
-        # With every tag closed no match runs to the end of the page in vain.
-        all_closed = F.aggregate(after, F.lit(0), still_open) == 0
-        kept = F.transform(after, lambda p: F.regexp_replace(p, rf"(?is)^.*?</{tag}{_REST}", ""))
-        return (
-            F.when(F.size(pieces) == 1, page)
-            .when(all_closed, F.regexp_replace(page, rf"(?is){whole_element(tag)}", " "))
-            .otherwise(F.array_join(F.concat(F.slice(pieces, 1, 1), kept), " "))
+    A round takes out the innermost ones: those whose opening tag is followed by a closing one before
+    the next opening. After ``LEVELS`` rounds, what was closed within so many others is gone.
+    """
+    opening, closing = rf"(?i)<{tag}{_REST}", rf"(?is)^.*?</{tag}{_REST}"
+
+    def inner(piece: Column) -> Column:
+        cut = F.regexp_replace(piece, closing, " ")
+        return F.when(cut != piece, cut).otherwise(F.concat(F.lit(f"<{tag}>"), piece))
+
+    def joined(pieces: Column) -> Column:
+        changed = F.transform(pieces, lambda p, nth: F.when(nth == 0, p).otherwise(inner(p)))
+        return F.array_join(changed, "")
+
+    def rounds(page: Column, left: int) -> Column:
+        if not left:
+            return page
+        # Nothing changes where no tag is opened and closed again, and then no later round does.
+        done = _once(
+            _once(F.split(page, opening), joined),
+            lambda next_: F.when(next_ == page, page).otherwise(rounds(next_, left - 1)),
         )
+        return F.when(page.rlike(opening), done).otherwise(page)
+
+    return _once(html, lambda page: rounds(page, LEVELS))
 
-    # Arrays of one, so that the page and its pieces are computed once.
-    def once_split(page: Column) -> Column:
-        split = F.array(F.split(page, rf"(?i)<{tag}{_REST}"))
-        return F.get(F.transform(split, lambda pieces: cleaned(page, pieces)), F.lit(0))
 
-    return F.get(F.transform(F.array(html), once_split), F.lit(0))
+def _once(value: Column, then) -> Column:
+    """``then(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
 def title(html: Column) -> Column:
@@ -162,7 +191,7 @@ def element(html: Column, tag: str, opening: str, nth: int = 1) -> Column:
 
 
 def element_text(html: Column, tag: str, opening: str, nth: int = 1) -> Column:
-    return F.regexp_replace(element(html, tag, opening, nth), _TAG, "")
+    return F.regexp_replace(element(html, tag, opening, nth), r"<[a-zA-Z/!?][^>]*(?:>|\z)", "")
 
 
 def attribute(html: Column, tag: str, name: str) -> Column:

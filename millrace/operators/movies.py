@@ -282,3 +282,20 @@ def report_lines(alerts: DataFrame) -> DataFrame:
             F.col("minmax").cast("string"), F.col("slope").cast("string"),
         ).alias("line")
     )
+
+
+def point_lines(points: DataFrame, alerts: DataFrame) -> DataFrame:
+    """A line for each dated point behind the alerts, in order, with the change of its series.
+
+    One line for a whole series would hold as many points as the series has; ``points`` are those of
+    :func:`alert_points`.
+    """
+    change = alerts.select(F.struct("name", "kind").alias("series"), "points", "minmax")
+    place = scratch_path(points.sparkSession, "changes")
+    change.write.parquet(place)
+    change = points.sparkSession.read.schema(change.schema).parquet(place)
+    hot = heavy_keys(change, "series", "points")
+    told = lookup(points.withColumn("series", F.struct("name", "kind")), "series", change.drop("points"), hot)
+    number = F.format_string("%.0f", "score")
+    line = F.format_string("%s (%s): minmax=%.0f at=%s score=%s", "name", "kind", "minmax", "at", number)
+    return sort_whole(told, "name", "kind", "ts", "score").select(line.alias("line"))

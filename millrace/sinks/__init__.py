@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import codec
@@ -62,3 +62,73 @@ def write_with_quarantine(rows: DataFrame, path: str, mode: str = "append") -> N
     """
     outcome = F.when(F.col("error").isNull(), "good").otherwise("quarantine")
     rows.withColumn("outcome", outcome).write.mode(mode).partitionBy("outcome").parquet(path)
+
+
+# --- Score table in buckets ---------------------------------------------------------
+
+
+def create_score_table(spark: SparkSession, table: str, path: str, buckets: int = 200) -> None:
+    """A score table below ``path``: a part for each ingest batch, dealt into buckets by name and
+    sorted by name and time within, so that studies of series need no shuffle."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in SCORE)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table} ({columns}, batch STRING) USING parquet "
+        f"PARTITIONED BY (batch) CLUSTERED BY (name) SORTED BY (name, ts) INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+
+
+def insert_scores(scores: DataFrame, table: str, batch: str) -> None:
+    """Put a batch of snapshots into a table of :func:`create_score_table`.
+
+    The batch takes the place of what an earlier insert of the same batch left, and touches no
+    other, so an insert may be repeated.
+    """
+    spark = scores.sparkSession
+    buckets = int(_described(spark, table)["Num Buckets"])
+    typed = scores.select(*[F.col(f.name).cast(f.dataType) for f in SCORE], F.lit(batch).alias("batch"))
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        # Dealt as the buckets are, so each is one file.
+        typed.repartition(buckets, "name").write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(setting, before)
+
+
+def _described(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+
+
+# --- Failures counted on the way ------------------------------------------------------
+
+
+class TooManyFailures(RuntimeError):
+    """More rows failed than a job was told to bear."""
+
+    def __init__(self, counts: dict[str, int]):
+        super().__init__(", ".join(f"{name}: {n}" for name, n in counts.items()))
+        self.counts = counts
+
+
+def write_counted(
+    rows: DataFrame, path: str, reasons: dict[str, Column], most: float = 1.0, mode: str = "append"
+) -> dict[str, int]:
+    """Good and failed rows in one pass, with counts of both that the same pass observes.
+
+    ``reasons`` names conditions; rows that fail (``error`` is set) by none of them are ``other``. If more
+    than the share ``most`` of the rows fails, :class:`TooManyFailures` is raised; the rows
+    are written by then, kept apart as :func:`write_with_quarantine` does, to be looked at.
+    """
+    failed = F.col("error").isNotNull()
+    known = F.lit(False)
+    for condition in reasons.values():
+        known = known | F.coalesce(condition, F.lit(False))
+    told = {"rows": F.lit(True), "failed": failed, **reasons, "other": failed & ~known}
+    seen = Observation()
+    counted = rows.observe(seen, *[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in told.items()])
+    write_with_quarantine(counted, path, mode)
+    counts = seen.get
+    if counts["failed"] > most * counts["rows"]:
+        raise TooManyFailures(counts)
+    return counts

@@ -35,19 +35,17 @@ def location_columns(locations: DataFrame) -> DataFrame:
 
 
 def _sizes(base: str):
-    """Adds ``stop``, asking the file system only where a range has no end."""
+    """Adds ``stop``, the size of the file, to ranges without an end."""
 
     def measure(batches):
         for batch in batches:
             stops = []
-            for key, end in zip(batch.column("key").to_pylist(), batch.column("end").to_pylist()):
-                if end is None:
-                    try:
-                        with opened(base, key) as source:
-                            end = source.size()
-                    except (OSError, ValueError):
-                        end = None  # the scan reports it
-                stops.append(end)
+            for key in batch.column("key").to_pylist():
+                try:
+                    with opened(base, key) as source:
+                        stops.append(source.size())
+                except (OSError, ValueError):
+                    stops.append(None)  # the scan reports it
             yield batch.append_column("stop", pa.array(stops, pa.int64()))
 
     return measure
@@ -60,11 +58,14 @@ def measured(locations: DataFrame, base: str = "") -> DataFrame:
     """
     spark = locations.sparkSession
     ranges = in_pieces(location_columns(locations), 1).drop("copies")
-    ranges = ranges.repartitionByRange(spread_tasks(spark), "key", "start", "piece")
-    ordered = ranges.sortWithinPartitions("key", "start", "piece")
+    known = ranges.filter(F.col("end").isNotNull()).withColumn("stop", F.col("end"))
+    # Few bytes a row, but a file to open, so these rows are spread on purpose.
+    unknown = ranges.filter(F.col("end").isNull()).repartition(spread_tasks(spark), "key")
+    asked = unknown.mapInArrow(_sizes(base.rstrip("/")), MEASURED)
+    ordered = known.unionByName(asked).repartitionByRange("key", "start", "piece")
+    ordered = ordered.sortWithinPartitions("key", "start", "piece")
     place = scratch_path(spark, "ranges")
-    sized = ordered.mapInArrow(_sizes(base.rstrip("/")), MEASURED)
-    placed = sized.withColumn("part", F.spark_partition_id()).withColumn("row", F.monotonically_increasing_id())
+    placed = ordered.withColumn("part", F.spark_partition_id()).withColumn("row", F.monotonically_increasing_id())
     placed.write.parquet(place)
     return spark.read.schema(placed.schema).parquet(place)
 
@@ -82,7 +83,7 @@ def running(ranges: DataFrame) -> DataFrame:
     within = Window.partitionBy("part").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
     return (
         weighed.withColumn("within", F.coalesce(F.sum("weight").over(within), F.lit(0)))
-        .join(F.broadcast(base), "part")  # as many rows as spread_tasks
+        .join(F.broadcast(base), "part")  # a row for each part
         .withColumn("before", F.col("base") + F.col("within"))
         .drop("base", "within")
     )

@@ -80,7 +80,8 @@ def _archive_task(base: str, stamp: str, roll: int):
                     )
                     at, serial = 0, serial + 1
                 asked = _record("request", uri, b"GET / HTTP/1.1\r\n\r\n")
-                answer = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n" + page.encode()
+                # A byte that is no UTF-8, as crawled pages have; readers drop it.
+                answer = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n" + page.encode() + b"\xff"
                 told = _record("response", uri, answer)
                 out.write(asked + told)
                 lines.append(f"{key} {at + len(asked)} {len(told)}")

@@ -14,20 +14,35 @@ def _whole(tag: str) -> str:
     return f"<{tag}{_REST}.*?(?:</{tag}{_REST}|\\z)"
 
 
+_CLOSED = """<[a-zA-Z/!?](?:[^>=]|=[ \\t\\n\\r]*(?:"[^"]*"|''[^'']*''|))*>"""
+
+
 def _tidy(markup: str) -> str:
-    out = f"regexp_replace({markup}, '<[a-zA-Z/!?][^>]*(?:>|\\z)', ' ', 'g')"
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+    out = f"regexp_replace({markup}, '{_CLOSED}|<[a-zA-Z/!?][^>]*(?:>|\\z)', ' ', 'g')"
+    for entity, char in (
+        ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&eacute;", "é"), ("&nbsp;", " "), ("&amp;", "&"),
+    ):
         out = f"replace({out}, '{entity}', '{char}')"
     return f"trim(regexp_replace({out}, '{_SP}+', ' ', 'g'))"
 
 
+def _without_closed(page: str, tag: str) -> str:
+    """Twice the innermost elements out; an opening tag without a closing one keeps its text."""
+    for _ in range(2):
+        page = f"""array_to_string(list_transform(string_split_regex({page}, '(?i)<{tag}{_REST}'), lambda p, i:
+          CASE WHEN i = 1 THEN p WHEN regexp_matches(p, '(?is)</{tag}{_REST}')
+               THEN regexp_replace(p, '(?is)^.*?</{tag}{_REST}', ' ') ELSE '<{tag}>' || p END), '')"""
+    return page
+
+
 def _inside(page: str, tag: str) -> str:
     return f"nullif(regexp_extract({page}, '(?is)<{tag}{_REST}(.*?)(?:</{tag}{_REST}|\\z)', 1), '')"
 
 
-_LANG = f"lower(nullif(regexp_extract(html, '(?i)<html[^<>]*{_SP}lang=[\"'']?([a-z]{{2}})', 1), ''))"
+_TOLD = f"""regexp_extract(html, '(?i)<html[^<>]*{_SP}lang=["'']?([a-z]{{2}})', 1)"""
+_META = """regexp_extract(html, '(?is)<meta[^<>]*(?:http-equiv=["'']?content-language|name=["'']?lang)["'']?[^<>]*content=["'']?([a-z]{2})', 1)"""
+_LANG = f"lower(coalesce(nullif({_TOLD}, ''), nullif({_META}, '')))"
 _HIDDEN = f"(?is){_whole('script')}|{_whole('style')}|<!--.*?(?:-->|\\z)"
-_CHROME = f"(?is){_whole('nav')}|{_whole('footer')}"
 _MAIN = f"coalesce({_inside('visible', 'article')}, {_inside('visible', 'body')})"
 
 
@@ -38,7 +53,7 @@ WITH english AS (
   FROM pages WHERE {_LANG} = 'en'),
 found AS (
   SELECT uri, {_tidy(f"coalesce({_inside('visible', 'title')}, {_inside('visible', 'h1')})")} AS title,
-         {_tidy(f"regexp_replace({_MAIN}, '{_CHROME}', ' ', 'g')")} AS text
+         {_tidy(_without_closed(_without_closed(_MAIN, 'nav'), 'footer'))} AS text
   FROM english)
 SELECT uri, {at} AS at, title, text,
        CASE WHEN text IS NULL THEN 'Error processing record: Could not parse' END AS error
@@ -241,7 +256,7 @@ WITH {_TX}
 SELECT uri, b AS block, block_pos, tx_pos, fee, n_inputs, n_outputs FROM tx""",
     "encoded_blocks": f"""
 WITH {_TX}
-SELECT b AS block, block_pos, tx_pos, fee, n_inputs, n_outputs FROM tx""",
+SELECT b AS block, block_pos, tx_pos, fee, n_inputs, n_outputs, true AS landed_today FROM tx""",
     "txn_inputs": f"""
 WITH {_TX}
 SELECT uri, b AS block, tx_pos, addrs, value,
@@ -272,5 +287,22 @@ UNION ALL
 SELECT 'https://blocks.example.com/broken/' || o_orderkey, NULL, 'not a block payload'
 FROM orders WHERE o_orderstatus = 'P'""",
 }
+ORACLES["encoded_stream"] = ORACLES["encoded_roundtrip"]
+ORACLES["failure_counts"] = f"""{_SCORES}
+SELECT 'rows' AS reason, count(*) AS n FROM scores
+UNION ALL SELECT 'failed', count(reason) FROM scores
+UNION ALL SELECT 'no score layout', count(*) FILTER (reason = 'no score layout') FROM scores
+UNION ALL SELECT 'review count is not a number', count(*) FILTER (reason = 'review count is not a number') FROM scores
+UNION ALL SELECT 'other', 0"""
+ORACLES["score_report"] = f"""{_SNAPSHOTS}
+SELECT p.name || ' (' || p.kind || '): minmax=' || c.minmax::BIGINT || ' at=' ||
+       strftime(make_timestamp(CAST(p.ts AS BIGINT) * 1000000), '%Y-%m-%d %H:%M:%S') || ' score=' || p.score::BIGINT AS line
+FROM points p JOIN changes c USING (name, kind) WHERE kind = 'critics' AND c.minmax > 200"""
 ORACLES["warc_source_scan"] = ORACLES["warc_response_scan"]
+ORACLES["groups_merged"] = ORACLES["address_groups"]
+ORACLES["score_delta_merged"] = f"""{_SNAPSHOTS}
+SELECT 'slope' AS measure, name, kind, points, minmax, round(slope * 1e9, 3) AS slope_e9 FROM changes
+WHERE abs(slope) > 2e-6
+UNION ALL
+SELECT 'minmax', name, kind, points, minmax, round(slope * 1e9, 3) FROM changes WHERE minmax > 200"""
 ORACLES["edge_files"] = ORACLES["txn_edges"]
