@@ -68,3 +68,9 @@ def _qualified(spark: SparkSession, path: str) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path below the scratch folder that no earlier run has used."""
     return f"{scratch_root(spark)}/millrace/{label}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession, place: str) -> None:
+    """Delete a folder of :func:`scratch_path` that no later step reads."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
