@@ -39,7 +39,9 @@ from pyspark.sql import functions as F
 
 from .common import id_and_text, stored
 
-WINDOW, GRAM, PHRASE = 20, 8, 5
+WINDOW, GRAM, PHRASE = 20, 8, 10
+# A symbol is written as so many letters of an alphabet of its place, of so many bits each.
+LETTERS, BITS = 4, 5
 SLICE, SHARD = 2 << 20, 50_000
 _SPACES = np.zeros(256, bool)
 _SPACES[[9, 10, 11, 12, 13, 32]] = True
@@ -378,15 +380,21 @@ def _phrases(numbers: np.ndarray) -> np.ndarray:
 
 
 def _text(symbols: np.ndarray) -> str:
-    """A character for each number; surrogates are left out."""
-    return np.where(symbols >= 0xD800, symbols + 0x800, symbols).astype("<u4").tobytes().decode("utf-32-le")
+    """Symbols as letters, so that no node of an automaton has many children; 0 matches nothing.
+
+    Each place of a symbol has letters of its own, so a match begins and ends with whole symbols.
+    """
+    place = np.arange(LETTERS)
+    digit = symbols[:, None] >> (BITS * (LETTERS - 1 - place)) & ((1 << BITS) - 1)
+    letters = np.where(symbols[:, None] > 0, digit + (place << BITS) + 1, 0)
+    return letters.astype(np.uint8).tobytes().decode("latin-1")
 
 
 def located(numbers: np.ndarray, starts: np.ndarray, shard: int = SHARD) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """``places, starts``: every place at which the window that begins at a start occurs.
 
     ``numbers`` are the words by number from 1, with 0 between documents. The windows that start at
-    ``starts`` are distinct. Symbols are phrases of ``PHRASE`` words, so a window is a few symbols of
+    ``starts`` are distinct. Symbols are phrases of ``PHRASE`` words, so a window is two symbols of
     the text read in steps of a phrase, from each of its first places.
     """
     if not len(starts):
@@ -414,10 +422,10 @@ def located(numbers: np.ndarray, starts: np.ndarray, shard: int = SHARD) -> Iter
         text = _text(symbol[rows])
         automaton = ahocorasick.Automaton()
         for nth, at in enumerate(begin.tolist()):
-            automaton.add_word(text[at : at + steps], nth)
+            automaton.add_word(text[at * LETTERS : (at + steps) * LETTERS], nth)
         automaton.make_automaton()
         found = np.array(list(automaton.iter(text)), np.int64).reshape(-1, 2)
-        end = found[:, 0] - (steps - 1)
+        end = found[:, 0] // LETTERS - (steps - 1)
         yield end % width * PHRASE + end // width, chosen[found[:, 1]]
 
 
