@@ -31,13 +31,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from ..session import drop_scratch, scratch_path
 
 LONGEST, LEAST_COUNT, TOP = 4, 30, 2000
 # A longer phrase with so many percent of the occurrences takes the place of the shorter.
 COVERS = 80
 # Characters of text in a chunk; rows of a batch; parts of the first step of the ranking.
-CHUNK, _BATCH, _PARTS = 16_000_000, 100_000, 32
+CHUNK, _BATCH, _PARTS = 12_000_000, 100_000, 32
 
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes.maketrans(_BREAKS, b"." * len(_BREAKS))
@@ -66,7 +66,7 @@ def _packed(numbers: np.ndarray) -> bytes:
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), "<i4").astype(np.int64)
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), "<i4")
 
 
 _WORDS = pa.list_(pa.struct([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())]))
@@ -87,7 +87,7 @@ def _relate(size: int):
             fields = [pa.array(c, t.type) for c, t in zip(zip(*listed), _WORDS.value_type)]
             rows = pa.StructArray.from_arrays(fields, fields=list(_WORDS.value_type))
             lists = pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows)
-            number = pa.array([(part << 32) + nth], pa.int64())
+            number = pa.array([(part << 16) + nth], pa.int64())
             return pa.RecordBatch.from_arrays(
                 [number, pa.array([_packed(places)], pa.binary()), lists.cast(_WORDS)], schema=_CHUNKS
             )
@@ -111,13 +111,13 @@ def _relate(size: int):
 
 
 def occurrences(docs: DataFrame, size: int = CHUNK) -> DataFrame:
-    """Stored relation of all occurrences: ``chunk, places, words``."""
+    """The relation of all occurrences: ``chunk, places, words``. Store it, as it numbers what it meets."""
     rows = docs.select(
         F.coalesce("lang", F.lit("und")).alias("lang"),
         F.coalesce("text", F.lit("")).cast("binary").alias("text"),
     )
     schema = "chunk bigint, places binary, words array<struct<lang:string,word:string,n:bigint>>"
-    return stored(rows.mapInArrow(_relate(size), schema), "occurrences")
+    return rows.mapInArrow(_relate(size), schema)
 
 
 def _joined(phrases: np.ndarray, words: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -126,10 +126,10 @@ def _joined(phrases: np.ndarray, words: np.ndarray, size: int) -> tuple[np.ndarr
 
     Both arrays are by place, with -1 where there is nothing frequent.
     """
-    here = np.arange(max(len(phrases) - size, 0))
-    here = here[(phrases[here] >= 0) & (phrases[here + 1] >= 0) & (words[here + size] >= 0)]
+    n = max(len(phrases) - size, 0)
+    here = np.flatnonzero((phrases[:n] >= 0) & (phrases[1 : n + 1] >= 0) & (words[size : size + n] >= 0))
     many = int(words.max(initial=0)) + 1
-    return here, phrases[here] * many + words[here + size], many
+    return here, phrases[here].astype(np.int64) * many + words[here + size], many
 
 
 _CANDIDATES = pa.schema(
@@ -188,10 +188,10 @@ def _semi_joined(numbers: np.ndarray, ids: pa.Array | None) -> tuple[np.ndarray,
     ``ids`` has ``no, id`` of the numbers that are frequent.
     """
     if ids is None or not len(ids):
-        return np.zeros(0, np.int64), np.full(len(numbers), -1, np.int64)
+        return np.zeros(0, np.int64), np.full(len(numbers), -1, np.int32)
     old, id_ = ids.field("no").to_numpy(), ids.field("id").to_numpy()
     # The last entry is for places without a number.
-    table = np.full(max(int(numbers.max(initial=0)), int(old.max())) + 2, -1, np.int64)
+    table = np.full(max(int(numbers.max(initial=0)), int(old.max())) + 2, -1, np.int32)
     table[old] = np.arange(len(old))
     return id_, table[numbers]
 
@@ -217,59 +217,76 @@ def _next_relation(size: int):
         for row in _rows(batches):
             here, both, _ = _joined(row["phrases_at"], row["words_at"], size)
             ids, found = _semi_joined(np.unique(both, return_inverse=True)[1], row["ids"])
-            at = np.full(len(row["phrases_at"]), -1, np.int64)
+            at = np.full(len(row["phrases_at"]), -1, np.int32)
             at[here] = found
             yield _relation(row["chunk"], row["word_ids"], row["words_at"], ids, at)
 
     return following
 
 
-def _frequent(rows: DataFrame, key: list[str], least: int) -> tuple[DataFrame, DataFrame]:
-    """The group count: rows of chunks with frequent keys, and the keys with ``id, a``; both stored.
+class _Steps:
+    """Stored tables of one run; those that no later step reads are dropped."""
 
-    A key has a row a chunk, so it is summed up where the rows of the key meet anyway.
+    def __init__(self, spark):
+        self.spark, self.root = spark, scratch_path(spark, "collocations")
+
+    def store(self, name: str, rows: DataFrame) -> DataFrame:
+        rows.write.parquet(f"{self.root}/{name}")
+        return self.spark.read.schema(rows.schema).parquet(f"{self.root}/{name}")
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            drop_scratch(self.spark, f"{self.root}/{name}")
+
+
+def _frequent(steps: _Steps, k: int, rows: DataFrame, key: list[str], least: int) -> tuple[DataFrame, DataFrame]:
+    """The group count: stored ``chunk, no, id`` of the chunks' frequent keys, and the keys with ``id, a``.
+
+    A key has a row a chunk, so it is summed up where the rows of the key meet anyway; the first of these
+    rows gives it its number.
     """
-    total = F.sum("n").over(Window.partitionBy(*key))
-    kept = stored(rows.withColumn("a", total).filter(F.col("a") >= least), "frequent")
-    # Plain numbers of a stored table, so that they stay.
-    groups = stored(kept.groupBy(*key).agg(F.max("a").alias("a")), "groups")
-    groups = stored(groups.withColumn("id", F.monotonically_increasing_id()), "groups")
-    return kept, groups
+    same = Window.partitionBy(*key)
+    first = F.min(F.col("chunk") * F.lit(1 << 28) + F.col("no")).over(same)
+    kept = rows.withColumn("a", F.sum("n").over(same)).withColumn("id", first).filter(F.col("a") >= least)
+    kept = steps.store(f"frequent-{k}", kept.drop("n"))
+    return kept, steps.store(f"groups-{k}", kept.groupBy(*key).agg(F.max("a").alias("a"), F.max("id").alias("id")))
 
 
-def _returned(relation: DataFrame, kept: DataFrame, groups: DataFrame, key: list[str]) -> DataFrame:
+def _returned(relation: DataFrame, kept: DataFrame) -> DataFrame:
     """The relation with the frequent numbers of its chunk, at most as many as it has words."""
-    ids = kept.select("chunk", "no", *key).join(groups.select(*key, "id"), key)
-    listed = ids.groupBy("chunk").agg(F.collect_list(F.struct("no", "id")).alias("ids"))
+    listed = kept.groupBy("chunk").agg(F.collect_list(F.struct("no", "id")).alias("ids"))
     return relation.join(listed, "chunk", "left")
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST_COUNT, longest: int = LONGEST, size: int = CHUNK):
     """``(phrases, totals)``: stored ``lang, phrase, size, a`` of all frequent phrases, single
     words among them, and ``lang, n``."""
-    every = occurrences(docs, size)
+    steps = _Steps(docs.sparkSession)
+    every = steps.store("occurrences", occurrences(docs, size))
     local = every.select("chunk", F.posexplode("words").alias("no", "w")).select("chunk", "no", "w.*")
-    totals = local.groupBy("lang").agg(F.sum("n").alias("n"))
-    kept, groups = _frequent(local, ["lang", "word"], least)
-    named = _returned(every.select("chunk", "places"), kept, groups, ["lang", "word"])
-    relation = stored(named.mapInArrow(_first_relation, _RELATION_SQL), "relation")
+    totals = steps.store("totals", local.groupBy("lang").agg(F.sum("n").alias("n")))
+    kept, groups = _frequent(steps, 1, local, ["lang", "word"], least)
+    named = _returned(every.select("chunk", "places"), kept)
+    relation = steps.store("relation-1", named.mapInArrow(_first_relation, _RELATION_SQL))
+    steps.drop("occurrences", "frequent-1")
     words = groups.select("id", "lang", F.col("word").alias("phrase"), F.lit(1).alias("size"), "a")
     found, phrases = words, words
     for k in range(1, longest):
         candidates = relation.mapInArrow(_extend(k), "chunk bigint, no int, first bigint, last bigint, n int")
-        kept, groups = _frequent(candidates, ["first", "last"], least)
+        kept, groups = _frequent(steps, k + 1, candidates, ["first", "last"], least)
         named = phrases.select(F.col("id").alias("first"), "lang", F.col("phrase").alias("head"))
         tail = words.select(F.col("id").alias("last"), F.col("phrase").alias("tail"))
-        phrases = stored(
+        phrases = steps.store(
+            f"phrases-{k + 1}",
             groups.join(named, "first").join(tail, "last").select(
                 "id", "lang", F.concat_ws(" ", "head", "tail").alias("phrase"), F.lit(k + 1).alias("size"), "a"
             ),
-            "phrases",
         )
         found = found.unionByName(phrases)
         if k + 1 < longest:
-            back = _returned(relation, kept, groups, ["first", "last"])
-            relation = stored(back.mapInArrow(_next_relation(k), _RELATION_SQL), "relation")
+            back = _returned(relation, kept)
+            relation = steps.store(f"relation-{k + 1}", back.mapInArrow(_next_relation(k), _RELATION_SQL))
+        steps.drop(f"relation-{k}", f"frequent-{k + 1}")
     return found.drop("id"), totals
 
 
