@@ -253,9 +253,15 @@ def _frequent(steps: _Steps, k: int, rows: DataFrame, key: list[str], least: int
 
 
 def _returned(relation: DataFrame, kept: DataFrame) -> DataFrame:
-    """The relation with the frequent numbers of its chunk, at most as many as it has words."""
-    listed = kept.groupBy("chunk").agg(F.collect_list(F.struct("no", "id")).alias("ids"))
-    return relation.join(listed, "chunk", "left")
+    """The relation with the frequent numbers of its chunk, at most as many as it has words.
+
+    Both sides get as many partitions as there are chunks, so that few of these large rows meet in a task.
+    """
+    tasks = max(1, relation.count())
+    listed = kept.select("chunk", "no", "id").repartition(tasks, "chunk").groupBy("chunk").agg(
+        F.collect_list(F.struct("no", "id")).alias("ids")
+    )
+    return relation.repartition(tasks, "chunk").join(listed, "chunk", "left")
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST_COUNT, longest: int = LONGEST, size: int = CHUNK):
