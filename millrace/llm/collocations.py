@@ -206,20 +206,25 @@ def _relation(chunk: int, word_ids, words_at, phrase_ids, phrases_at) -> pa.Reco
     return pa.RecordBatch.from_arrays([a.cast(f.type) for a, f in zip(arrays, _RELATION)], schema=_RELATION)
 
 
-def _first_relation(batches):
-    for row in _rows(batches):
-        ids, at = _semi_joined(row["places"], row["ids"])
-        yield _relation(row["chunk"], ids, at, ids, at)
+def _ids(found: pa.Table) -> pa.Array | None:
+    """``no, id`` of the numbers of a chunk that are frequent."""
+    return found.select(["no", "id"]).combine_chunks().to_struct_array().combine_chunks() if found.num_rows else None
+
+
+def _first_relation(chunk: pa.Table, found: pa.Table) -> pa.Table:
+    (row,) = _rows(chunk.to_batches())
+    ids, at = _semi_joined(row["places"], _ids(found))
+    return pa.Table.from_batches([_relation(row["chunk"], ids, at, ids, at)])
 
 
 def _next_relation(size: int):
-    def following(batches):
-        for row in _rows(batches):
-            here, both, _ = _joined(row["phrases_at"], row["words_at"], size)
-            ids, found = _semi_joined(np.unique(both, return_inverse=True)[1], row["ids"])
-            at = np.full(len(row["phrases_at"]), -1, np.int32)
-            at[here] = found
-            yield _relation(row["chunk"], row["word_ids"], row["words_at"], ids, at)
+    def following(chunk: pa.Table, found: pa.Table) -> pa.Table:
+        (row,) = _rows(chunk.to_batches())
+        here, both, _ = _joined(row["phrases_at"], row["words_at"], size)
+        ids, numbers = _semi_joined(np.unique(both, return_inverse=True)[1], _ids(found))
+        at = np.full(len(row["phrases_at"]), -1, np.int32)
+        at[here] = numbers
+        return pa.Table.from_batches([_relation(row["chunk"], row["word_ids"], row["words_at"], ids, at)])
 
     return following
 
@@ -252,16 +257,16 @@ def _frequent(steps: _Steps, k: int, rows: DataFrame, key: list[str], least: int
     return kept, steps.store(f"groups-{k}", kept.groupBy(*key).agg(F.max("a").alias("a"), F.max("id").alias("id")))
 
 
-def _returned(relation: DataFrame, kept: DataFrame) -> DataFrame:
-    """The relation with the frequent numbers of its chunk, at most as many as it has words.
+def _returned(relation: DataFrame, kept: DataFrame, semi_join) -> DataFrame:
+    """The semi join: every chunk of the relation meets its frequent numbers, at most as many as it has words.
 
-    Both sides get as many partitions as there are chunks, so that few of these large rows meet in a task.
+    Both sides get as many partitions as there are chunks, so that few of these large rows meet in a task;
+    the numbers come as rows in small batches and are never an array in a row.
     """
     tasks = max(1, relation.count())
-    listed = kept.select("chunk", "no", "id").repartition(tasks, "chunk").groupBy("chunk").agg(
-        F.collect_list(F.struct("no", "id")).alias("ids")
-    )
-    return relation.repartition(tasks, "chunk").join(listed, "chunk", "left")
+    chunks = relation.repartition(tasks, "chunk").groupBy("chunk")
+    numbers = kept.select("chunk", "no", "id").repartition(tasks, "chunk").groupBy("chunk")
+    return chunks.cogroup(numbers).applyInArrow(semi_join, _RELATION_SQL)
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST_COUNT, longest: int = LONGEST, size: int = CHUNK):
@@ -272,8 +277,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST_COUNT, longest: int = L
     local = every.select("chunk", F.posexplode("words").alias("no", "w")).select("chunk", "no", "w.*")
     totals = steps.store("totals", local.groupBy("lang").agg(F.sum("n").alias("n")))
     kept, groups = _frequent(steps, 1, local, ["lang", "word"], least)
-    named = _returned(every.select("chunk", "places"), kept)
-    relation = steps.store("relation-1", named.mapInArrow(_first_relation, _RELATION_SQL))
+    relation = steps.store("relation-1", _returned(every.select("chunk", "places"), kept, _first_relation))
     steps.drop("occurrences", "frequent-1")
     words = groups.select("id", "lang", F.col("word").alias("phrase"), F.lit(1).alias("size"), "a")
     found, phrases = words, words
@@ -290,8 +294,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST_COUNT, longest: int = L
         )
         found = found.unionByName(phrases)
         if k + 1 < longest:
-            back = _returned(relation, kept)
-            relation = steps.store(f"relation-{k + 1}", back.mapInArrow(_next_relation(k), _RELATION_SQL))
+            relation = steps.store(f"relation-{k + 1}", _returned(relation, kept, _next_relation(k)))
         steps.drop(f"relation-{k}", f"frequent-{k + 1}")
     return found.drop("id"), totals
 
