@@ -248,13 +248,13 @@ def _frequent(steps: _Steps, k: int, rows: DataFrame, key: list[str], least: int
     """The group count: stored ``chunk, no, id`` of the chunks' frequent keys, and the keys with ``id, a``.
 
     A key has a row a chunk, so it is summed up where the rows of the key meet anyway; the first of these
-    rows gives it its number.
+    rows gives it its number and stands for the key, so the keys need no further shuffle.
     """
     same = Window.partitionBy(*key)
-    first = F.min(F.col("chunk") * F.lit(1 << 28) + F.col("no")).over(same)
-    kept = rows.withColumn("a", F.sum("n").over(same)).withColumn("id", first).filter(F.col("a") >= least)
-    kept = steps.store(f"frequent-{k}", kept.drop("n"))
-    return kept, steps.store(f"groups-{k}", kept.groupBy(*key).agg(F.max("a").alias("a"), F.max("id").alias("id")))
+    own = F.col("chunk") * F.lit(1 << 28) + F.col("no")
+    kept = rows.withColumn("a", F.sum("n").over(same)).withColumn("id", F.min(own).over(same))
+    kept = steps.store(f"frequent-{k}", kept.filter(F.col("a") >= least).drop("n"))
+    return kept, steps.store(f"groups-{k}", kept.filter(F.col("id") == own).select(*key, "a", "id"))
 
 
 def _returned(relation: DataFrame, kept: DataFrame, semi_join) -> DataFrame:
