@@ -229,6 +229,9 @@ def _next_relation(size: int):
     return following
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class _Steps:
     """Stored tables of one run; those that no later step reads are dropped."""
 
@@ -236,7 +239,13 @@ class _Steps:
         self.spark, self.root = spark, scratch_path(spark, "collocations")
 
     def store(self, name: str, rows: DataFrame) -> DataFrame:
-        rows.write.parquet(f"{self.root}/{name}")
+        # Shuffle files of a step go when it is written, not when the driver's JVM next collects garbage.
+        before = self.spark.conf.get(_CLEANUP)
+        self.spark.conf.set(_CLEANUP, "true")
+        try:
+            rows.write.parquet(f"{self.root}/{name}")
+        finally:
+            self.spark.conf.set(_CLEANUP, before)
         return self.spark.read.schema(rows.schema).parquet(f"{self.root}/{name}")
 
     def drop(self, *names: str) -> None:
