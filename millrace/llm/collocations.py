@@ -144,7 +144,9 @@ def _rows(batches):
             row = {}
             for name, column in zip(batch.schema.names, batch.columns):
                 value = column[i]
-                if pa.types.is_list(column.type) or pa.types.is_large_list(column.type):
+                if not value.is_valid:
+                    row[name] = None
+                elif pa.types.is_list(column.type) or pa.types.is_large_list(column.type):
                     row[name] = value.values
                 elif pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type):
                     row[name] = _unpacked(value.as_py())
@@ -153,9 +155,16 @@ def _rows(batches):
             yield row
 
 
+def _phrases_are_words(row: dict) -> dict:
+    """The first relation has no phrases of its own: they are its words."""
+    if row["phrases_at"] is None:
+        row |= {"phrase_ids": row["word_ids"], "phrases_at": row["words_at"]}
+    return row
+
+
 def _extend(size: int):
     def extend(batches):
-        for row in _rows(batches):
+        for row in map(_phrases_are_words, _rows(batches)):
             _, both, many = _joined(row["phrases_at"], row["words_at"], size)
             both, times = np.unique(both, return_counts=True)
             first, last = row["phrase_ids"].to_numpy(), row["word_ids"].to_numpy()
@@ -197,10 +206,11 @@ def _semi_joined(numbers: np.ndarray, ids: pa.Array | None) -> tuple[np.ndarray,
 
 
 def _relation(chunk: int, word_ids, words_at, phrase_ids, phrases_at) -> pa.RecordBatch:
-    values = chunk, word_ids, _packed(words_at), phrase_ids, _packed(phrases_at)
+    packed = None if phrases_at is None else _packed(phrases_at)
+    values = chunk, word_ids, _packed(words_at), phrase_ids, packed
     arrays = [
         pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), pa.array(v, pa.int64()))
-        if pa.types.is_list(f.type) else pa.array([v], f.type)
+        if pa.types.is_list(f.type) and v is not None else pa.array([v], f.type)
         for v, f in zip(values, _RELATION)
     ]
     return pa.RecordBatch.from_arrays([a.cast(f.type) for a, f in zip(arrays, _RELATION)], schema=_RELATION)
@@ -214,12 +224,12 @@ def _ids(found: pa.Table) -> pa.Array | None:
 def _first_relation(chunk: pa.Table, found: pa.Table) -> pa.Table:
     (row,) = _rows(chunk.to_batches())
     ids, at = _semi_joined(row["places"], _ids(found))
-    return pa.Table.from_batches([_relation(row["chunk"], ids, at, ids, at)])
+    return pa.Table.from_batches([_relation(row["chunk"], ids, at, None, None)])
 
 
 def _next_relation(size: int):
     def following(chunk: pa.Table, found: pa.Table) -> pa.Table:
-        (row,) = _rows(chunk.to_batches())
+        row = _phrases_are_words(next(_rows(chunk.to_batches())))
         here, both, _ = _joined(row["phrases_at"], row["words_at"], size)
         ids, numbers = _semi_joined(np.unique(both, return_inverse=True)[1], _ids(found))
         at = np.full(len(row["phrases_at"]), -1, np.int32)
@@ -257,12 +267,14 @@ def _frequent(steps: _Steps, k: int, rows: DataFrame, key: list[str], least: int
     """The group count: stored ``chunk, no, id`` of the chunks' frequent keys, and the keys with ``id, a``.
 
     A key has a row a chunk, so it is summed up where the rows of the key meet anyway; the first of these
-    rows gives it its number and stands for the key, so the keys need no further shuffle.
+    rows gives it its number and alone holds the key, so the keys need no further shuffle.
     """
     same = Window.partitionBy(*key)
     own = F.col("chunk") * F.lit(1 << 28) + F.col("no")
     kept = rows.withColumn("a", F.sum("n").over(same)).withColumn("id", F.min(own).over(same))
-    kept = steps.store(f"frequent-{k}", kept.filter(F.col("a") >= least).drop("n"))
+    of_key = [F.when(F.col("id") == own, F.col(c)).alias(c) for c in (*key, "a")]
+    kept = kept.filter(F.col("a") >= least).select("chunk", "no", "id", *of_key)
+    kept = steps.store(f"frequent-{k}", kept)
     return kept, steps.store(f"groups-{k}", kept.filter(F.col("id") == own).select(*key, "a", "id"))
 
 
