@@ -97,6 +97,16 @@ def cdx_index_parse(spark, sf_dir):
     )
 
 
+def capture_prefix(spark, sf_dir):
+    """Captures below a URL key, out of a table in the order of the keys."""
+    place = scratch_path(spark, "captures")
+    locations.write_capture_table(locations.parse_keyed_captures(standins.capture_lines(spark, sf_dir)), place)
+    below = locations.captures_below(spark, place, "com,rottentomatoes)/m/1")
+    return below.select(
+        "url_key", _at("ts"), "key", F.col("start").alias("range_start"), F.col("end").alias("range_end")
+    )
+
+
 def _landed_csv(spark, sf_dir):
     place = scratch_path(spark, "csv")
     pages = standins.table(spark, sf_dir, "pages")
@@ -406,6 +416,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "quarantine_split": quarantine_split,
         "location_index_parse": location_index_parse,
         "cdx_index_parse": cdx_index_parse,
+        "capture_prefix": capture_prefix,
         "csv_record_scan": csv_record_scan,
         "encoded_roundtrip": encoded_roundtrip,
         "encoded_stream": encoded_stream,

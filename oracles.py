@@ -212,6 +212,10 @@ SELECT CASE WHEN flag <> 'R' THEN key END AS key,
        CASE WHEN flag <> 'R' THEN start + size END AS range_end,
        CASE WHEN flag = 'R' THEN 'malformed capture line' END AS error
 FROM l""",
+    "capture_prefix": f"""
+SELECT 'com,rottentomatoes)/m/' || l_partkey AS url_key, {_STAMP} AS at, 'crawl/' || l_orderkey || '.warc.gz' AS key,
+       l_partkey AS range_start, l_partkey + CAST(l_quantity AS BIGINT) AS range_end
+FROM lineitem WHERE l_returnflag <> 'R' AND starts_with(CAST(l_partkey AS VARCHAR), '1')""",
     "csv_record_scan": """
 SELECT url AS uri, strftime(make_timestamp(page_id * 1000000), '%Y-%m-%d %H:%M:%S') AS at, html FROM pages""",
     "encoded_roundtrip": f"""

@@ -124,6 +124,27 @@ def test_times_as_sources_write_them(spark, tmp_path):
         "2021-03-01 01:23:54", "2021-03-01 00:00:00", "2021-03-01 01:23:54", "2021-03-01 01:23:54", "None", "None"]
 
 
+def test_capture_table_reads_few_row_groups(spark, tmp_path):
+    keys = F.concat(F.lit("com,site)/"), F.lpad((F.col("id") % 5000).cast("string"), 4, "0"))
+    entry = F.concat(F.lit('{"filename": "f'), "id", F.lit('", "offset": "'), "id", F.lit('", "length": "7"}'))
+    made = spark.range(20000).select(F.concat_ws(" ", keys, F.lit("20210304050607"), entry).alias("value"))
+    # A key with a third of all captures, lines that are none, a time that is none.
+    hot = spark.range(10000).select(F.concat_ws(" ", F.lit("com,site)/0042 20210304050607"), entry).alias("value"))
+    odd = lines(spark, "", "com,site)/0043", 'com,site)/0043x soon {"filename": "g", "offset": "1", "length": "2"}')
+    place = str(tmp_path / "captures")
+    locations.write_capture_table(locations.parse_keyed_captures(made.union(hot).union(odd)), place, 16 << 10)
+    below = locations.captures_below(spark, place, "com,site)/0043")
+    got = sorted((r.url_key, r.key, r.start, r.end, r.ts is None) for r in below.collect())
+    assert got == sorted(
+        [("com,site)/0043", f"f{i}", i, i + 7, False) for i in (43, 5043, 10043, 15043)]
+        + [("com,site)/0043x", "g", 1, 3, True)]
+    )
+    scan = below._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    assert scan.metrics().apply("numOutputRows").value() < 3000  # of 30,001
+    assert locations.captures_below(spark, place, "com,site)/0042").count() == 10004
+    assert locations.captures_below(spark, place, "org").count() == 0
+
+
 def test_capture_index_reports_lines_that_are_none(spark, tmp_path):
     (tmp_path / "idx").write_text('com,x)/ 2021 {"filename": "none.warc.gz", "offset": "0", "length": "5"}\nbroken\n'
                                   'com,x)/ 2021 {"filename": "a", "offset": "-1", "length": "5"}\n')
