@@ -27,6 +27,8 @@ BYTE_BPE = "byte_bpe_50k.json"
 REMEMBERED = 300_000
 # Characters whose words are looked up together, and the most of one text at a time.
 TOGETHER = 4_000_000
+# New words that the library gets at a time; more take longer a word.
+LEARNED = 200
 # A space or line break inside a longer run of white space starts no pre-token.
 _RUN = re.compile(r"\s[ \n](?:\s|\Z)|[ \n]\s\Z|\n\s\s|\0")
 # Any two of these together, other white space, or the mark used for cutting.
@@ -63,6 +65,10 @@ class WordEncoder:
         self._run = re.compile(before)
         self._remembered = remembered
         self._break = self.whole("\n")
+        # Tokens that begin with a space, which byte-level vocabularies write as Ġ.
+        vocabulary = self._whole.get_vocab()
+        self._spaced = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self._spaced[[i for piece, i in vocabulary.items() if piece.startswith("Ġ")]] = True
         self._marks = {c: self.whole(c) for c in ".,"}
         self._young: dict[str, bytes] = {"": b"", "\n": self._break}
         self._old: dict[str, bytes] = {}
@@ -167,39 +173,40 @@ class WordEncoder:
         lists = pc.split_pattern(pc.replace_substring(marked, "\n", "\0\n\0"), "\0")
         every = lists.flatten().dictionary_encode()
         which = every.indices.to_numpy()
-        return lists, every, which, self._look_up(every.dictionary.to_pylist())
+        # By way of numpy, which makes the strings several times as fast as a list of scalars.
+        words = every.dictionary.to_numpy(zero_copy_only=False).tolist()
+        return lists, every, which, self._look_up(words)
 
     def _look_up(self, words: list[str]) -> list[bytes]:
         """Ids of distinct words, each with the space before it; remembers what is new."""
         found = list(map(self._young.get, words))
         if None in found:
             at = [i for i, ids in enumerate(found) if ids is None]
-            self._remember([words[i] for i in at])
-            for i in at:
-                found[i] = self._young[words[i]]
+            new = [words[i] for i in at]
+            self._remember(new)
+            for i, ids in zip(at, map(self._young.__getitem__, new), strict=True):
+                found[i] = ids
             if len(self._young) > self._remembered:
                 self._young, self._old = {"": b"", "\n": self._break}, self._young
         return found
 
     def _remember(self, words: list[str]) -> None:
-        young, old = self._young, self._old
-        ended, bare = [], {}
-        for w in words:
-            if (ids := old.get(w)) is not None:
+        young, ended, bare = self._young, [], []
+        for w, ids in zip(words, map(self._old.get, words), strict=True):
+            if ids is not None:
                 young[w] = ids
             # A full stop or comma after a letter is a pre-token of its own.
-            elif w[-1] in ".," and "A" <= w[-2:-1] <= "ÿ" and w[-2].isalpha():
+            elif w[-1] in ".," and w[-2:-1].isalpha() and w[-2] <= "ÿ":
                 ended.append(w)
-                bare[w[:-1]] = None
             else:
-                bare[w] = None
-        self._learn([w for w in bare if w not in young], young)
-        for w in ended:
-            young[w] = young[w[:-1]] + self._marks[w[-1]]
+                bare.append(w)
+        stems = [w[:-1] for w in ended]
+        self._learn([w for w in dict.fromkeys(bare + stems) if w not in young], young)
+        for w, stem in zip(ended, stems, strict=True):
+            young[w] = young[stem] + self._marks[w[-1]]
 
     def _learn(self, words: list[str], into: dict[str, bytes]) -> None:
-        """Encode many words as lines of one text and cut the ids at the line breaks."""
-        plain = words
+        """Encode many words as one text and cut its ids where the next word begins."""
         joined = "".join(words)
         if " " in words or _INNER.search(joined) or self.named(joined):
             plain = []
@@ -209,16 +216,27 @@ class WordEncoder:
                     plain.append(w)
                 else:
                     into[w] = self.whole(w)
+            words = plain
+        self._many([w for w in words if w[0] == " "], "", into)
+        self._many([w for w in words if w[0] != " "], "\n", into)
+
+    def _many(self, words: list[str], between: str, into: dict[str, bytes]) -> None:
+        """Words that all have a space before them may follow one another; the first token of
+        each, and no other, begins with a space. Others need a line break between them."""
         line_break = int.from_bytes(self._break, "little")
-        for at in range(0, len(plain), 500):
-            part = plain[at : at + 500]
-            found = self._whole.encode_batch_fast(["\n".join(part)], add_special_tokens=False)
+        for at in range(0, len(words), LEARNED):
+            part = words[at : at + LEARNED]
+            found = self._whole.encode_batch_fast([between.join(part)], add_special_tokens=False)
             ids = np.array(found[0].ids, "<u4")
-            ends = np.append(np.flatnonzero(ids == line_break), len(ids)) * 4
-            raw, begin = ids.tobytes(), 0
-            for w, end in zip(part, ends.tolist(), strict=True):
+            if between:
+                ends = np.append(np.flatnonzero(ids == line_break), len(ids)) * 4
+                begins = np.append(0, ends[:-1] + 4)
+            else:
+                begins = np.flatnonzero(self._spaced[ids]) * 4
+                ends = np.append(begins[1:], len(ids) * 4)
+            raw = ids.tobytes()
+            for w, begin, end in zip(part, begins.tolist(), ends.tolist(), strict=True):
                 into[w] = raw[begin:end]
-                begin = end + 4
 
 
 @lru_cache(maxsize=4)
