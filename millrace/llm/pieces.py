@@ -35,6 +35,8 @@ ALPHA = 1.0
 SPACE = "▁"
 # Characters sampled together.
 TOGETHER = 2_000_000
+# Steps of a share; with the number of a place below 2^25 they are exact in a float.
+FINE = float(1 << 28)
 # Rows decoded together.
 ROWS = 500
 
@@ -101,6 +103,12 @@ def vocabulary(path: str, alpha: float = ALPHA) -> Vocabulary:
     return Vocabulary(path, alpha)
 
 
+def _heads(begin: np.ndarray, end: np.ndarray, n: int) -> np.ndarray:
+    """First places of the stretches that ``n`` places fall into: no edge leads from one to the next."""
+    across = np.cumsum(np.bincount(begin, minlength=n) - np.bincount(end, minlength=n))
+    return np.flatnonzero(np.append(0, across)[:n] == 0)
+
+
 def lattice(words: list[str], vocab: Vocabulary) -> tuple[np.ndarray, ...]:
     """Edges of the lattices of many words, by the place they end at.
 
@@ -115,7 +123,6 @@ def lattice(words: list[str], vocab: Vocabulary) -> tuple[np.ndarray, ...]:
     letters = vocab.letters[text]
     n = len(text)
     left = (np.repeat(np.cumsum(lengths), lengths) - np.arange(n)).astype(np.int32)  # to the word's end
-    inside = (np.arange(n) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
     found_at, found_pieces = [], []
     at, node = np.arange(n, dtype=np.int32), np.zeros(n, vocab.steps.dtype)
     while len(at):
@@ -153,8 +160,11 @@ def lattice(words: list[str], vocab: Vocabulary) -> tuple[np.ndarray, ...]:
     odd = piece < 0
     size = 1 + (-piece[odd] > 0x80) + (-piece[odd] > 0x800) + (-piece[odd] > 0x10000)
     weight[odd] = size * vocab.log_byte
-    # Ways to every place, place after place of all words; in logarithms, as words may be long.
-    ways = np.zeros(n + 1)  # the last stands for the beginning of any word
+    # All ways pass the end of a stretch, so each stretch counts from its own beginning.
+    heads = _heads(begin, end, n)
+    inside = (np.arange(n) - np.repeat(heads, np.diff(np.append(heads, n)))).astype(np.int32)
+    # Ways to every place, place after place of all stretches; in logarithms, as they may be long.
+    ways = np.zeros(n + 1)  # the last stands for the beginning of any stretch
     before = np.where(inside[begin] > 0, begin - 1, n)
     depth = inside[end]
     # Sixteen bits are sorted in linear time.
@@ -170,10 +180,15 @@ def lattice(words: list[str], vocab: Vocabulary) -> tuple[np.ndarray, ...]:
         sizes = np.diff(np.append(first, len(own)))
         ways[to[first]] = most + np.log(np.add.reduceat(np.exp(value - np.repeat(most, sizes)), first))
     share = np.exp(ways[before] + weight - ways[end])
-    sums = np.cumsum(share)
-    passed = np.append(0.0, sums)[np.append(0, last)[:-1]]
-    lifted = sums - passed[end] + end
-    return span, piece, lifted, last
+    # Summed per place and rounded to what stays exact beside any place's number, so that
+    # a draw does not depend on the words that are in the same batch.
+    first, many, k = last - count, count, 1
+    while len(first):
+        more = many > k
+        first, many = first[more], many[more]
+        share[first + k] += share[first + k - 1]
+        k += 1
+    return span, piece, np.round(share * FINE) / FINE + end, last
 
 
 def _mixed(z: np.ndarray) -> np.ndarray:
@@ -226,8 +241,16 @@ class Sampler:
         per_text = pc.list_value_length(lists).to_numpy()
         span, piece, lifted, last = lattice(distinct, self.vocab)
         lengths = np.fromiter(map(len, distinct), np.int64, len(distinct))
-        base = (np.cumsum(lengths) - lengths)[words]
-        at = lengths[words]
+        # Stretches of words are drawn side by side, so a long word takes no more steps than a long stretch.
+        places = np.repeat(np.arange(len(last)), np.diff(np.append(0, last)))
+        heads = _heads(places - span + 1, places, len(last))
+        low, high = (np.searchsorted(heads, c) for c in (np.cumsum(lengths) - lengths, np.cumsum(lengths)))
+        many = (high - low)[words]
+        after = np.cumsum(many)
+        stretch = np.repeat(low[words] - (after - many), many) + np.arange(many.sum())
+        per_text = np.diff(np.append(0, after)[np.append(0, np.cumsum(per_text))])
+        base = heads[stretch]
+        at = np.diff(np.append(heads, len(last)))[stretch]
         ends = np.cumsum(at)
         text_ends = np.cumsum(per_text)
         through = np.append(0, ends)[np.append(0, text_ends)]
@@ -241,7 +264,7 @@ class Sampler:
         steps = []
         while len(active):
             mixed = _mixed(key + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-            u = (mixed >> np.uint64(11)) * (1.0 / (1 << 53))
+            u = (mixed >> np.uint64(36)) / FINE
             edge = np.minimum(np.searchsorted(lifted, node + u, "right"), last[node] - 1)
             steps.append((active, piece[edge]))
             moved = span[edge]
@@ -250,8 +273,8 @@ class Sampler:
             active, node, place, key, first = (
                 active[more], node[more], (place - moved)[more], key[more], first[more]
             )
-        # Steps go backward from the end of each word.
-        taken = np.zeros(len(words), np.int64)
+        # Steps go backward from the end of each stretch.
+        taken = np.zeros(len(at), np.int64)
         for own, _ in steps:
             taken[own] += 1
         after = np.cumsum(taken)
@@ -267,19 +290,18 @@ class Sampler:
         """Characters without a piece as byte pieces."""
         if not (ids < 0).any():
             return ids, bounds
+        odd = np.flatnonzero(ids < 0)
+        codes, which = np.unique(ids[odd], return_inverse=True)
+        chars = [SPACE if (c := chr(-code - 1)) == mark else c for code in codes.tolist()]
+        spelling = [[self.vocab.bytes[b] for b in c.encode("utf-8", "surrogatepass")] for c in chars]
+        sizes = np.fromiter(map(len, spelling), np.int64, len(spelling))
         times = np.ones(len(ids), np.int64)
-        spelling = {}
-        for code in np.unique(ids[ids < 0]).tolist():
-            char = chr(-code - 1)
-            raw = (SPACE if char == mark else char).encode("utf-8", "surrogatepass")
-            spelling[code] = [self.vocab.bytes[b] for b in raw]
-            times[ids == code] = len(raw)
+        times[odd] = sizes[which]
         begin = np.cumsum(times) - times
         out = np.repeat(ids, times)
-        for code, own in spelling.items():
-            at = begin[ids == code]
-            for k, i in enumerate(own):
-                out[at + k] = i
+        nth = np.arange(times[odd].sum()) - np.repeat(np.cumsum(times[odd]) - times[odd], times[odd])
+        from_ = np.repeat((np.cumsum(sizes) - sizes)[which], times[odd]) + nth
+        out[np.repeat(begin[odd], times[odd]) + nth] = np.concatenate(spelling)[from_]
         return out, np.append(0, np.cumsum(times))[bounds]
 
 

@@ -1,4 +1,5 @@
 import random
+import time
 import zlib
 
 import numpy as np
@@ -180,6 +181,27 @@ def test_long_words_keep_their_shares():
     assert np.allclose(lifted[last - 1], np.arange(len(last)) + 1)
 
 
+def test_draws_do_not_depend_on_the_batch():
+    vocabulary = pieces.vocabulary(vocab.tokenizer_path(pieces.MODEL))
+    draw = random.Random(5)
+    texts = ["".join(draw.choices("abe nt漢字\ufdd0é", k=draw.randrange(60))) for _ in range(400)]
+    sampler, seeds = pieces.Sampler(vocabulary), list(range(400))
+    together = sampler.sample(texts, seeds)
+    assert together == [sampler.sample([t], [k])[0] for t, k in zip(texts, seeds)]
+    lifted = pieces.lattice(texts, vocabulary)[2] * pieces.FINE
+    assert (lifted == np.floor(lifted)).all()
+
+
+def test_a_word_of_a_million_characters():
+    vocabulary = pieces.vocabulary(vocab.tokenizer_path(pieces.MODEL))
+    draw = random.Random(6)
+    text = "".join(map(chr, draw.choices(range(0x4E00, 0x9000), k=1_000_000)))
+    began = time.process_time()
+    found = pieces.Sampler(vocabulary).sample([text], [1])
+    assert time.process_time() - began < 10
+    assert vocabulary.decode(pa.array(found, pa.binary())).to_pylist() == [text]
+
+
 def test_marks_and_marks_for_marks_come_back():
     vocabulary = pieces.vocabulary(vocab.tokenizer_path(pieces.MODEL))
     texts = ["▁", " ▁ ", "\ufdd0▁\ufdd1 \0", "", "a  b   c", "  ", "".join(map(chr, range(0xFDD0, 0xFDF0))) + "▁x"]
