@@ -1,9 +1,10 @@
 """Token ids as binary files of patched frame-of-reference blocks, and back.
 
 Documents are dealt to files by ranges of doc_id and sorted within, so the files
-in their order hold all ids in ascending doc_id. A task writes one file, block by
-block, and names it in the row it returns; the list of files, written by Spark,
-holds those of tasks that succeeded, so a repeated task leaves no doubt. A file is
+in their order hold all ids in ascending doc_id. A task writes its files one after another, block by
+block, and names them in the rows it returns; the list of files, written by Spark,
+holds those of tasks that succeeded, so a repeated task leaves no doubt. A file ends with the document that
+fills it, so its index, which is held whole, is bounded whatever a task gets. A file is
 ``blocks, block starts u64, ids' ends per document u64, doc_ids i64, missing-id
 flags u8``, then ``ids u64, blocks u64, documents u64, magic``. The index lets
 any block or document be read alone.
@@ -34,6 +35,8 @@ END = 2
 MAGIC = b"MRPFOR01"
 TAIL = "<QQQ8s"
 TAIL_SIZE = struct.calcsize(TAIL)
+# A file ends when it has so many ids or documents.
+FILE_IDS, FILE_DOCS = 128 * 1024 * 1024, 1_000_000
 # Ids that are encoded or decoded at a time.
 AT_ONCE = 256 * 1024 // pfor.BLOCK * pfor.BLOCK
 
@@ -47,13 +50,15 @@ def _open(place: str):
 class _Writer:
     """One file: takes documents, encodes whole blocks as they fill."""
 
-    def __init__(self, place: str, name: str):
+    def __init__(self, place: str, task: int, nth: int):
+        self.part = (task << 32) + nth
+        name = f"{task:06d}-{nth:06d}-{uuid.uuid4().hex}.pfor"
         system, root = _open(place)
         system.create_dir(root, recursive=True)
         self.path = f"{place}/{name}"
         self._out = system.open_output_stream(f"{root}/{name}")
         self._held: list[bytes] = []
-        self._size = self._written = self.ids = 0
+        self._size = self._written = self.ids = self.docs = 0
         self._starts: list[np.ndarray] = []
         self._ends: list[int] = []
         self._names: list[int | None] = []
@@ -64,6 +69,7 @@ class _Writer:
         self.ids += len(ids) // 4
         self._ends.append(self.ids)
         self._names.append(doc_id)
+        self.docs += 1
         if self._size >= AT_ONCE:
             self._flush(self._size // AT_ONCE * AT_ONCE)
 
@@ -76,7 +82,7 @@ class _Writer:
             self._written += len(raw)
         self._held, self._size = [held[count:].tobytes()], len(held) - count
 
-    def close(self) -> tuple[str, int, int, int]:
+    def close(self) -> pa.RecordBatch:
         self._flush(self._size)
         starts = np.concatenate([np.zeros(0, np.int64), *self._starts])
         missing = np.array([n is None for n in self._names], np.uint8)
@@ -86,15 +92,17 @@ class _Writer:
             self._out.write(np.asarray(column, kind).tobytes())
         self._out.write(struct.pack(TAIL, self.ids, len(starts), len(self._names), MAGIC))
         self._out.close()
-        return self.path, self.ids, len(self._names), self._written
+        row = {"part": self.part, "path": self.path, "n_ids": self.ids, "n_docs": self.docs, "n_bytes": self._written}
+        return pa.RecordBatch.from_pylist([row])
 
 
 def write_tokens(
-    docs: DataFrame, place: str | None = None, tokenizer: str | None = None, end: int = END, special: bool = False
+    docs: DataFrame, place: str | None = None, tokenizer: str | None = None, end: int = END, special: bool = False,
+    file_ids: int = FILE_IDS, file_docs: int = FILE_DOCS,
 ) -> DataFrame:
     """The list of files written: ``part, path, n_ids, n_docs, n_bytes, first_id``.
 
-    ``first_id`` is the number of ids in the files before.
+    ``part`` orders the files; ``first_id`` is the number of ids in the files before.
     """
     spark = docs.sparkSession
     place = place or scratch_path(spark, "tokens")
@@ -102,19 +110,17 @@ def write_tokens(
     close = np.array([end], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, writer = TaskContext.get().partitionId(), None
+        task, nth, writer = TaskContext.get().partitionId(), 0, None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            writer = writer or _Writer(place, f"{part:06d}-{uuid.uuid4().hex}.pfor")
             every = encoder(path, special).encode(batch.column("text"))
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), every, strict=True):
+                writer = writer or _Writer(place, task, nth)
                 writer.add(doc_id, ids + close)
+                if writer.ids >= file_ids or writer.docs >= file_docs:
+                    yield writer.close()
+                    writer, nth = None, nth + 1
         if writer:
-            name, ids, count, size = writer.close()
-            yield pa.RecordBatch.from_pylist(
-                [{"part": part, "path": name, "n_ids": ids, "n_docs": count, "n_bytes": size}]
-            )
+            yield writer.close()
 
     order = ["doc_id", "tie"]
     rows = id_and_text(docs).select(
@@ -182,7 +188,7 @@ def read_tokens(spark: SparkSession, files: DataFrame) -> DataFrame:
                         held, size = [], 0
                 yield _rows(held)
 
-    # One task per file, as a file is what one task wrote.
+    # One task per file, as files are of bounded size.
     count = max(1, files.count())
     dealt = files.select("path", "first_id").repartitionByRange(count, "first_id")
     return dealt.mapInArrow(run, "doc_id bigint, start bigint, ids binary")

@@ -59,6 +59,18 @@ def test_outliers_do_not_widen_a_block():
     assert len(pfor.encode(ids)[0]) == plain + 5
 
 
+def test_files_end_with_the_document_that_fills_them(spark, tmp_path):
+    docs = spark.createDataFrame(_rows(), SCHEMA).repartition(3)
+    plain = tokenfile.write_tokens(docs, f"file://{tmp_path}/plain")
+    want = tokenfile.read_tokens(spark, plain).orderBy("start").collect()
+    for bound in ({"file_docs": 1}, {"file_ids": 40}):
+        files = tokenfile.write_tokens(docs, f"file://{tmp_path}/{next(iter(bound))}", **bound)
+        assert files.count() > plain.count()
+        if "file_docs" in bound:
+            assert files.count() == len(want)
+        assert tokenfile.read_tokens(spark, files).orderBy("start").collect() == want
+
+
 def test_files_give_the_documents_back(spark, whole, tmp_path, monkeypatch):
     monkeypatch.setattr(tokenfile, "AT_ONCE", 128 * 8)
     rows = _rows()
