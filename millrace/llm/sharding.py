@@ -3,8 +3,9 @@
 Rows with one text are a group and go to one shard. Groups, largest first, enter the
 bin with the tightest remaining capacity that holds them, found through a balanced
 tree. In the first step tasks pack the groups of a bucket into blocks of
-1 / (shards * BLOCKS) of all bytes, taking them from a sort and holding only the tree;
-in the second the driver packs the blocks, whose number is bounded by the parameters,
+1 / (shards * BLOCKS) of all bytes, taking them from a sort and holding only the tree.
+The number of buckets follows that of groups; where there are many, their blocks are packed again as
+groups were. In the last step the driver packs the blocks, whose number is bounded by the parameters,
 into the shards. Where their number is fixed, the smallest capacity that is enough is
 found by bisection. Groups larger than an equal share get a shard of their own first.
 
@@ -18,16 +19,18 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import numbered, placed, stored
 
 SHARDS = 16
-# Blocks that a shard's worth of bytes is packed into, and buckets packed side by side.
+# Blocks that a shard's worth of bytes is packed into.
 BLOCKS = 64
-BUCKETS = 256
+# Groups of a bucket, and by how many blocks the driver may take more than it must.
 GROUPS_PER_BUCKET = 2_000
+BUCKETS = 256
+BUCKETS_PER_TASK = 50
 
 
 class Tree:
@@ -138,10 +141,16 @@ def group_blocks(groups: DataFrame, capacity: int, buckets: int) -> DataFrame:
             )
 
     dealt = groups.select("key", F.pmod(F.xxhash64("key"), buckets).cast("int").alias("bucket"), "bytes")
-    ordered = dealt.repartition(buckets, "bucket").sortWithinPartitions("bucket", F.desc("bytes"), "key")
+    tasks = max(min(buckets, BUCKETS), buckets // BUCKETS_PER_TASK)
+    ordered = dealt.repartition(tasks, "bucket").sortWithinPartitions("bucket", F.desc("bytes"), "key")
     return ordered.mapInArrow(run, "key string, bucket int, block bigint, bytes bigint")
 
 
+def _block() -> Column:
+    """The name of a row's block."""
+    return F.concat_ws("/", "bucket", "block")
+
+
 def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """``doc_id, size, text_crc32, law, shard, slot, grown_shard`` for every row."""
     text = F.coalesce("text", F.lit(""))
@@ -157,21 +166,28 @@ def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     groups = stored(rows.groupBy("key").agg(F.sum("size").alias("bytes")), "groups")
     count, total = groups.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
     capacity = max(1, -(-total // (shards * BLOCKS)))
-    buckets = min(BUCKETS, max(1, -(-count // GROUPS_PER_BUCKET)))
-    blocks = stored(group_blocks(groups, capacity, buckets), "blocks")
-    # Any two blocks of a bucket hold more than one capacity, so there are at most
-    # 2 * shards * BLOCKS + BUCKETS of them.
-    sizes = blocks.groupBy("bucket", "block").agg(F.sum("bytes").alias("bytes")).collect()
-    sizes.sort(key=lambda r: (-r.bytes, r.bucket, r.block))
+    # Any two blocks of a bucket hold more than one capacity, so a level leaves at most
+    # 2 * shards * BLOCKS of them and one for each bucket.
+    levels, most = [], 2 * shards * BLOCKS + BUCKETS
+    while not levels or count > most:
+        buckets = max(1, -(-count // GROUPS_PER_BUCKET))
+        levels.append(stored(group_blocks(groups, capacity, buckets), "blocks"))
+        groups = stored(
+            levels[-1].groupBy(_block().alias("key")).agg(F.sum("bytes").alias("bytes")), "block-sizes"
+        )
+        count = groups.count()
+    sizes = sorted(groups.collect(), key=lambda r: (-r.bytes, r.key))
     into = fixed_number([r.bytes for r in sizes], shards)
-    placed_blocks = rows.sparkSession.createDataFrame(
-        [(r.bucket, r.block, s) for r, s in zip(sizes, into, strict=True)],
-        "bucket int, block bigint, shard int",
-    )
-    # Stored, so that a hot group's side of the join below is split.
-    homes = stored(
-        blocks.join(F.broadcast(placed_blocks), ["bucket", "block"]).select("key", "shard"), "homes"
+    homes = F.broadcast(
+        rows.sparkSession.createDataFrame(
+            [(r.key, s) for r, s in zip(sizes, into, strict=True)], "home string, shard int"
+        )
     )
+    for blocks in reversed(levels):
+        # Stored, so that a hot group's side of the join below is split.
+        homes = stored(blocks.join(homes, _block() == F.col("home")).select("key", "shard"), "homes")
+        homes = homes.withColumnRenamed("key", "home")
+    homes = homes.withColumnRenamed("home", "key")
     return numbered(rows.join(homes, "key"), "shard", "slot").select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
         F.col("slot").cast("bigint").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),

@@ -191,6 +191,24 @@ def test_shards_hold_whole_groups(spark):
     assert sharding.sharded(docs.limit(0)).count() == 0
 
 
+def test_many_buckets_are_packed_in_levels(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "GROUPS_PER_BUCKET", 4)
+    monkeypatch.setattr(sharding, "BLOCKS", 4)
+    rows = [(i, f"{i // 2} " + "x" * (i * 7919 % 500)) for i in range(1_900)] + [(None, None), (7, "hot")] * 40
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    packed = []
+    pack = sharding.group_blocks
+    monkeypatch.setattr(sharding, "group_blocks", lambda g, c, b: packed.append(b) or pack(g, c, b))
+    found = sharding.sharded(docs).toPandas()
+    assert len(packed) == 2 and packed[0] > sharding.BUCKETS
+    assert len(found) == len(rows) and found["size"].sum() == sum(len(t or "") + 1 for _, t in rows)
+    assert (found.groupby("text_crc32")["shard"].nunique() == 1).all()
+    for _, own in found.groupby("shard"):
+        assert sorted(own["slot"]) == list(range(len(own)))
+    loads = found.groupby("shard")["size"].sum()
+    assert len(loads) == 16 and loads.max() - loads.min() < 0.2 * loads.mean()
+
+
 @pytest.mark.parametrize("module, label", [(toxicity, "toxic"), (gam, "quality")])
 def test_rows_that_repeat_an_id_are_fitted_once(spark, module, label, monkeypatch):
     texts = [(i, f"some words {i % 7}") for i in range(40)] + [(3, f"other words {k}") for k in range(500)]
