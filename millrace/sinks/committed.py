@@ -21,6 +21,8 @@ from pyspark.sql import datasource as ds
 from ..sources.files import arrow_path
 
 NAME = "committed-lines"
+# Lines that are joined at a time.
+ROWS = 256
 
 
 @dataclass
@@ -43,9 +45,10 @@ class _Lines:
             if out is None:
                 system.create_dir(f"{root}/data", recursive=True)
                 out = system.open_output_stream(f"{root}/{name}", compression=None)
-            lines = batch.column("value").to_pylist()
-            out.write("".join(f"{line}\n" for line in lines if line is not None).encode())
-            rows += len(lines)
+            for first in range(0, batch.num_rows, ROWS):
+                lines = batch.column("value").slice(first, ROWS).to_pylist()
+                out.write("".join(f"{line}\n" for line in lines if line is not None).encode())
+            rows += batch.num_rows
         if out is not None:
             out.close()
         return Written(name if out is not None else None, rows)
