@@ -5,11 +5,14 @@ import gzip
 import json
 from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+import __spark_entry__ as entry
 from millrace import session, sinks
+from millrace.functions import codec
 from millrace.operators import articles, movies, quarantine
 from millrace.plans import registry, studies
 from millrace.sources import locations, tables
@@ -251,3 +254,30 @@ def test_scratch_folder(spark):
     assert root.startswith("file:///") and session.scratch_root(told(None)) == root
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.scratch_root(told(None, "spark://host:7077"))
+
+
+def test_encoded_blocks_keeps_little_on_disk(spark, tmp_path, monkeypatch):
+    items = [(n // 3, n % 5, n % 7, n % 3 + 1, 2.0, 10.5, "ANR"[n % 3]) for n in range(300)]
+    names = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double"
+    rows = spark.createDataFrame(items, f"{names}, l_extendedprice double, l_returnflag string")
+    rows.write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(entry, "scratch_path", lambda _, label: f"file://{tmp_path}/scratch/{label}")
+    # Landed files are packed, so each holds few lines: a reader takes a file as one task.
+    monkeypatch.setattr(entry, "LANDED_LINES", 20)
+    found = entry.encoded_blocks(spark, str(tmp_path))
+    assert found.count() == entry.block_flatten(spark, str(tmp_path)).count() == 1200
+    assert found.filter("landed_today").count() == 1200
+    assert not (tmp_path / "scratch" / "landed").exists()
+    files = [f.name for f in (tmp_path / "scratch" / "blocks").iterdir() if f.name.startswith("part-")]
+    assert files and all(f.endswith(".txt.gz") for f in files)
+
+
+def test_a_batch_is_unpacked_in_pieces(spark):
+    texts = [None, "", *("x" * 300_000 for _ in range(40)), "é"]
+    packed = pa.array([codec._gzip(t) for t in texts] + [b"no gzip"], pa.binary())
+    batch = pa.RecordBatch.from_arrays([packed], ["value"])
+    found = list(codec.pieces(iter([batch]), codec._inflate, "json", pa.string()))
+    assert [t for b in found for t in b.column("json").to_pylist()] == [*texts, None]
+    assert len(found) == 11 and max(b.nbytes for b in found) < 2 * codec.PIECE
+    back = codec.unpack(codec.pack(lines(spark, *texts), F.col("value"), "line"), F.col("line"), "text")
+    assert [r.text for r in back.collect()] == texts
