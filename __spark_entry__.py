@@ -34,7 +34,8 @@ LANDED_LINES = 250_000
 
 
 def _prepared(spark: SparkSession) -> SparkSession:
-    spark.conf.set("spark.sql.session.timeZone", SETTINGS["spark.sql.session.timeZone"])
+    for key in ("spark.sql.session.timeZone", "spark.sql.execution.arrow.maxBytesPerBatch"):
+        spark.conf.set(key, SETTINGS[key])
     return spark
 
 

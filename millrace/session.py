@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # A batch is held by the JVM and by Python at once, for each core.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
 
 

@@ -281,3 +281,10 @@ def test_a_batch_is_unpacked_in_pieces(spark):
     assert len(found) == 11 and max(b.nbytes for b in found) < 2 * codec.PIECE
     back = codec.unpack(codec.pack(lines(spark, *texts), F.col("value"), "line"), F.col("line"), "text")
     assert [r.text for r in back.collect()] == texts
+
+
+def test_queries_bound_the_bytes_of_a_batch(spark, sf_dir):
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(bound)
+    entry.queries()["slug_extract"](spark, sf_dir)
+    assert spark.conf.get(bound) == session.SETTINGS[bound] == "8m"
