@@ -168,26 +168,39 @@ def open_tag(tag: str, cls: str, exact: bool) -> str:
     return rf"(?i)<{tag}[ \t\n\r](?:[^>]*[ \t\n\r])?class=[\"']{value}[\"'][^>]*>"
 
 
+def _after(html: Column, opening: str, nth: int) -> Column:
+    """What follows the nth opening tag; NULL if there are fewer.
+
+    Spark compiles the pattern of a ``split`` anew for every row, that of an extraction once.
+    """
+    found = rf"(?s)\A{rf'(?>.*?(?:{opening}))' * nth}(.*)"
+    return F.get(F.regexp_extract_all(html, F.lit(found), F.lit(1)), F.lit(0))
+
+
 def element(html: Column, tag: str, opening: str, nth: int = 1) -> Column:
     """Markup inside the nth element whose opening tag matches; NULL if there is none.
 
     The end is found by counting nested tags of the same name, so that inner
     elements do not cut the outer one short.
     """
-    rest = F.get(F.split(html, opening, nth + 1), F.lit(nth))
-    pieces = F.split(rest, rf"(?i)(?=<{tag}[ \t\n\r>]|</{tag}[ \t\n\r>])")
+    pieces = F.split(_after(html, opening, nth), rf"(?i)(?=</?{tag}[ \t\n\r>])")
     start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("inner"))
 
-    def step(seen: Column, piece: Column) -> Column:
-        head = F.lower(F.substring(piece, 1, len(tag) + 2))
-        change = F.when(head == f"</{tag}", -1).when(head.startswith(f"<{tag}"), 1).otherwise(0)
+    def change(piece: Column) -> Column:
+        return F.when(piece.rlike(rf"(?i)^</{tag}"), -1).when(piece.rlike(rf"(?i)^<{tag}"), 1).otherwise(0)
+
+    def step(seen: Column, change: Column) -> Column:
         depth = F.when(seen["depth"] <= 0, 0).otherwise(seen["depth"] + change)
         # Pieces inside are counted and joined once.
         inner = seen["inner"] + F.when(depth > 0, 1).otherwise(0)
         return F.struct(depth.alias("depth"), inner.alias("inner"))
 
-    inner = F.aggregate(pieces, start, step)["inner"]
-    return F.array_join(F.slice(pieces, 1, inner), "")
+    def joined(pieces: Column) -> Column:
+        inner = F.aggregate(F.transform(pieces, change), start, step)["inner"]
+        return F.array_join(F.slice(pieces, 1, inner), "")
+
+    # The pieces are counted and joined, but the page is taken apart once.
+    return _once(pieces, joined)
 
 
 def element_text(html: Column, tag: str, opening: str, nth: int = 1) -> Column:
@@ -196,6 +209,7 @@ def element_text(html: Column, tag: str, opening: str, nth: int = 1) -> Column:
 
 def attribute(html: Column, tag: str, name: str) -> Column:
     """Attribute of the first such element; NULL if the element or attribute is absent."""
-    opening = none_if_empty(F.regexp_extract(html, rf"(?i)<{tag}([ \t\n\r][^>]*)>", 1))
+    opening = F.get(F.regexp_extract_all(html, F.lit(rf"(?i)<{tag}([ \t\n\r][^>]*)>"), F.lit(1)), F.lit(0))
     pattern = rf"(?i)[ \t\n\r]{name}=[\"']([^\"']*)[\"']"
-    return F.when(opening.rlike(pattern), F.regexp_extract(opening, pattern, 1))
+    # The page is searched once, however often the tag is looked at.
+    return _once(opening, lambda tag: F.when(tag.rlike(pattern), F.regexp_extract(tag, pattern, 1)))

@@ -57,7 +57,11 @@ def measured(locations: DataFrame, base: str = "") -> DataFrame:
     ``piece`` tells ranges apart that are listed several times.
     """
     spark = locations.sparkSession
+    # Stored first: lines would be parsed four times, for both kinds of ranges and to draw the bounds of parts.
+    listed = scratch_path(spark, "listed")
     ranges = in_pieces(location_columns(locations), 1).drop("copies")
+    ranges.write.parquet(listed)
+    ranges = spark.read.schema(ranges.schema).parquet(listed)
     known = ranges.filter(F.col("end").isNotNull()).withColumn("stop", F.col("end"))
     # Few bytes a row, but a file to open, so these rows are spread on purpose.
     unknown = ranges.filter(F.col("end").isNull()).repartition(spread_tasks(spark), "key")

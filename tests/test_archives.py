@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace import standins
 from millrace.session import scratch_path
-from millrace.sources import archives, cuts, locations, records
+from millrace.sources import archives, cuts, dealing, locations, records
 from millrace.streaming import incremental
 
 
@@ -264,3 +264,17 @@ def test_bodies_of_other_records_are_not_kept():
     cut_off = gzip.compress(big[:1_000_000]) + members(THREE)
     got = list(records.responses(chunks(cut_off, 500)))
     assert got[0][2] == "archive member ends inside a record" and got[1:] == WANT
+
+
+def test_location_lines_are_parsed_once_to_be_dealt(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    listed = spark.createDataFrame([("k", n, n + 5) for n in range(40)], "key string, start bigint, end bigint")
+    ranges = dealing.measured(listed.mapInArrow(counted, listed.schema)).collect()
+    assert sorted((r.start, r.stop) for r in ranges) == [(n, n + 5) for n in range(40)]
+    assert seen.value == 40

@@ -1,5 +1,6 @@
 """URLs, names, articles and score pages, on hand-written rows."""
 
+import random
 import time
 
 import pytest
@@ -297,3 +298,26 @@ def test_markup_of_any_kind_takes_linear_time(spark, part):
     began = time.time()
     rows.select(F.length(html.body_text(F.col("page")))).collect()
     assert time.time() - began < 15
+
+
+def test_an_element_takes_its_page_apart_once(spark):
+    pages = spark.createDataFrame([('<div><b class="x">1<b>2</b></b></div>',)], "page string")
+    found = pages.select(html.element(F.col("page"), "b", html.open_tag("b", "x", False)).alias("x"))
+    assert found.first().x == "1<b>2</b>"
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+
+
+def test_what_follows_an_opening_tag_is_what_a_split_leaves(spark):
+    draw = random.Random(3)
+    parts = ['<div class="x">', "<div ", 'class="x"', "class='a> x'", ">", "'", '"', " ", "</div>", "\n", "<DIV id=1 class=x y>", "é"]
+    texts = [("".join(draw.choice(parts) for _ in range(draw.randrange(14))),) for _ in range(600)] + [(None,), ("",)]
+    page = F.col("page")
+    pages = spark.createDataFrame(texts, "page string")
+    for exact in (True, False):
+        opening = html.open_tag("div", "x", exact)
+        for nth in (1, 2):
+            pairs = pages.select(
+                F.get(F.split(page, opening, nth + 1), F.lit(nth)).alias("a"), html._after(page, opening, nth).alias("b")
+            )
+            assert pairs.filter(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
+            assert pairs.filter(F.col("b").isNotNull()).count() > 10
