@@ -141,3 +141,27 @@ def test_many_members_at_one_first_place_make_no_array(spark, monkeypatch):
     monkeypatch.setattr(ledger.F, "collect_set", refused)
     lines = [[(7, [tx([side(1, f"m{k:02}"), side(1, "z")], [side(1, "Z")])])] for k in range(30)]
     assert set(edges(spark, *lines)[1].values()) == {"m00"}
+
+
+def test_transactions_are_taken_apart_after_the_explode(spark):
+    odd = {"blocks": [
+        {"block_index": 1, "tx": [
+            None, {"fee": 1, "out": [side(1, "x")]}, tx([], [side(1, "x")]), tx([side(1)], [side(1, "x")]),
+            {"fee": 2, "inputs": [None, {"prev_out": None}, {"prev_out": side(None, "A")}]},
+            tx([{"value": None}, side(0, "B")], [None, side(0, "x"), side(2, "y"), side(3)], fee=None),
+        ]},
+        {"block_index": 2},
+        {"block_index": None, "tx": [tx([side(0), side(1, "A")], [side(4, "z")], fee=7), tx([side(0)], [])]},
+    ]}
+    rows = spark.createDataFrame([("u", json.dumps(odd)), ("v", "{oops"), ("w", '{"blocks": []}')], "uri string, content string")
+    judged = ledger.judged_transactions(ledger.parse_payloads(rows))
+    got = [(r.uri, r.block, r.idx, r.addrs, r.out and [tuple(o) for o in r.out], r.fee, r.error) for r in judged.collect()]
+    assert got == [
+        ("u", 1, 0, ["A"], None, 2, None),
+        ("u", 1, 1, ["B"], [(2, "y")], None, None),
+        ("u", None, 2, ["COINBASE"], [], 1, None),
+        ("u", None, None, None, [(4, "z")], 7, "Unexpected COINBASE"),
+        ("v", None, None, None, None, None, "not a block payload"),
+    ]
+    plan = judged._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Generate explode" in line and "COINBASE" in line]
