@@ -57,7 +57,7 @@ def measured(locations: DataFrame, base: str = "") -> DataFrame:
     ``piece`` tells ranges apart that are listed several times.
     """
     spark = locations.sparkSession
-    # Stored first: lines would be parsed four times, for both kinds of ranges and to draw the bounds of parts.
+    # Stored first, or lines are parsed again to draw the bounds of the parts.
     listed = scratch_path(spark, "listed")
     ranges = in_pieces(location_columns(locations), 1).drop("copies")
     ranges.write.parquet(listed)
