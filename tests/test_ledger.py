@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from millrace import sinks
+from millrace import sinks, standins
 from millrace.operators import ledger
 from millrace.plans import studies
 
@@ -165,3 +165,33 @@ def test_transactions_are_taken_apart_after_the_explode(spark):
     ]
     plan = judged._jdf.queryExecution().optimizedPlan().toString()
     assert not [line for line in plan.splitlines() if "Generate explode" in line and "COINBASE" in line]
+
+
+def test_rows_of_one_row_group_are_dealt_evenly_however_many_splits_the_file_has(spark, tmp_path):
+    place = str(tmp_path / "one")
+    spark.range(4000).selectExpr("id", "repeat(cast(id as string), 20) as text").coalesce(1).write.parquet(place)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for key, value in zip(before, ("4k", "1k")):
+            spark.conf.set(key, value)
+        rows = spark.read.parquet(place)
+        # More splits than cores, yet all rows are in one of them.
+        assert spark.sparkContext.defaultParallelism <= rows.rdd.getNumPartitions() < 16
+        sizes = [r[0] for r in standins.spread(rows).groupBy(F.spark_partition_id()).count().select("count").collect()]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sum(sizes) == 4000
+    assert max(sizes) <= 2 * 4000 // (4 * spark.sparkContext.defaultParallelism)
+
+
+def test_a_transaction_does_not_carry_its_whole_block(spark):
+    payload = '{"blocks": [{"block_index": 3, "tx": [{"fee": 1, "inputs": [], "out": []}, {"fee": 2, "out": []}]}, {}]}'
+    records = spark.createDataFrame([("u", payload), (None, "{}")], "uri string, content string")
+    flat = ledger.flatten_blocks(ledger.parse_payloads(records))
+    assert [(r.uri, r.block, r.block_pos, r.tx_pos, r.fee) for r in flat.orderBy("tx_pos").collect()] == [
+        ("u", 3, 0, 0, 1), ("u", 3, 0, 1, 2)
+    ]
+    plan = flat._jdf.queryExecution().optimizedPlan().toString()
+    exploded = [line for line in plan.split("\n") if "Generate posexplode(" in line][0]
+    assert exploded.split("posexplode(")[1].startswith("txs")
