@@ -17,8 +17,8 @@ from ..schemas import LOCATION
 from ..session import scratch_path
 from .files import opened
 
-# Bytes of a task, and what opening a range counts for besides.
-TASK_BYTES, OPENING = 256 << 20, 64 << 10
+# Bytes of a task, what opening an archive counts for besides, and a range of one that is open already.
+TASK_BYTES, OPENING, SEEKING = 256 << 20, 64 << 10, 4 << 10
 MEASURED = "key string, start bigint, end bigint, piece bigint, stop bigint"
 
 
@@ -78,9 +78,12 @@ def running(ranges: DataFrame) -> DataFrame:
     """Adds ``weight`` and ``before``, the weights of all ranges before; ``ranges`` as :func:`measured`.
 
     Ranges are summed up within the part that wrote them, and only one sum a part meets in one task.
+    The scan opens an archive once for neighbouring ranges, so a capture index of short records
+    is not dealt to a task for every few thousand of them.
     """
     bytes_of = F.coalesce(F.col("stop") - F.col("start"), F.lit(0))
-    weighed = ranges.withColumn("weight", F.greatest(bytes_of, F.lit(0)) + OPENING)
+    held = F.coalesce(F.lag("key").over(Window.partitionBy("part").orderBy("row")) == F.col("key"), F.lit(False))
+    weighed = ranges.withColumn("weight", F.greatest(bytes_of, F.lit(0)) + F.when(held, SEEKING).otherwise(OPENING))
     sums = weighed.groupBy("part").agg(F.sum("weight").alias("sum"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = sums.select("part", F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("base"))

@@ -278,3 +278,12 @@ def test_location_lines_are_parsed_once_to_be_dealt(spark):
     ranges = dealing.measured(listed.mapInArrow(counted, listed.schema)).collect()
     assert sorted((r.start, r.stop) for r in ranges) == [(n, n + 5) for n in range(40)]
     assert seen.value == 40
+
+
+def test_short_ranges_of_one_archive_are_not_dealt_as_if_each_opened_it(spark):
+    listed = spark.range(20_000).selectExpr("'a' as key", "id * 10 as start", "id * 10 + 10 as end")
+    found = dealing.dealt(listed, task_bytes=16 << 20)
+    assert found.rdd.getNumPartitions() <= dealing.spread_tasks(spark)
+    assert sorted(r.start for r in found.collect()) == list(range(0, 200_000, 10))
+    weights = dealing.running(dealing.measured(listed.limit(3).union(listed.limit(3).selectExpr("'b'", "start", "end"))))
+    assert sum(r.weight >= dealing.OPENING for r in weights.collect()) >= 2
