@@ -272,6 +272,29 @@ def test_encoded_blocks_keeps_little_on_disk(spark, tmp_path, monkeypatch):
     assert files and all(f.endswith(".txt.gz") for f in files)
 
 
+def test_landed_files_go_as_they_are_encoded(spark, tmp_path, monkeypatch):
+    items = [(n // 3, n % 5, n % 7, n % 3 + 1, 2.0, 10.5, "ANR"[n % 3]) for n in range(300)]
+    names = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double"
+    rows = spark.createDataFrame(items, f"{names}, l_extendedprice double, l_returnflag string")
+    rows.write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(entry, "scratch_path", lambda _, label: f"file://{tmp_path}/scratch/{label}")
+    monkeypatch.setattr(entry, "LANDED_LINES", 3)
+    left, plain = [], entry.sinks.write_encoded
+
+    def counted(*args, **options):
+        left.append(len(list((tmp_path / "scratch" / "landed").glob("part-*.txt.gz"))))
+        return plain(*args, **options)
+
+    monkeypatch.setattr(entry.sinks, "write_encoded", counted)
+    found = entry.encoded_blocks(spark, str(tmp_path))
+    assert found.select("block", "block_pos", "tx_pos").distinct().count() == entry.block_flatten(
+        spark, str(tmp_path)
+    ).select("block", "block_pos", "tx_pos").distinct().count()
+    assert found.count() == 1200
+    turn = 2 * spark.sparkContext.defaultParallelism
+    assert left[0] >= 100 and left == list(range(left[0], 0, -turn))
+
+
 def test_a_batch_is_unpacked_in_pieces(spark):
     texts = [None, "", *("x" * 300_000 for _ in range(40)), "é"]
     packed = pa.array([codec._gzip(t) for t in texts] + [b"no gzip"], pa.binary())
