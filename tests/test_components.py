@@ -4,6 +4,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.operators import components as components_module
 from millrace.operators.components import components
 from millrace.operators.skew import hot_keys, in_pieces, lookup, sort_whole
 
@@ -60,6 +61,36 @@ def test_random_graph_with_hub(spark, seed, rows_per_task):
     assert run(spark, pairs, rows_per_task=rows_per_task) == brute_force(pairs)
 
 
+def test_whole_stars_leave_the_rounds(spark, monkeypatch):
+    seen = []
+    plain = components_module._stored
+
+    def counted(links, path):
+        found = plain(links, path)
+        seen.append(found[2])
+        return found
+
+    monkeypatch.setattr(components_module, "_stored", counted)
+    names = [f"n{i:04d}" for i in range(60)]
+    random.Random(3).shuffle(names)
+    pairs = [(f"a{i}", f"b{i}") for i in range(300)] + list(zip(names, names[1:]))
+    assert run(spark, pairs) == brute_force(pairs)
+    assert seen[0] == 359 and seen[-1] < 100
+
+
+@pytest.mark.parametrize("rows_per_task", [4_000_000, 5])
+def test_groups_of_all_sizes(spark, rows_per_task):
+    """Some groups are whole long before others, which meet them by their ends and middles."""
+    draw = random.Random(7)
+    pairs = []
+    for g in range(120):
+        size = draw.choice([2, 2, 2, 3, 4, 5, 40])
+        nodes = [f"{draw.randrange(10**6):06d}-{g}-{k}" for k in range(size)]
+        for k in range(1, size):
+            pairs.append((nodes[k], nodes[draw.choice([k - 1, k - 1, 0, draw.randrange(k)])]))
+    assert run(spark, pairs, rows_per_task=rows_per_task) == brute_force(pairs)
+
+
 def test_gives_up_loudly(spark):
     pairs = [(f"n{i}", f"n{i + 1}") for i in range(9)]
     with pytest.raises(RuntimeError):

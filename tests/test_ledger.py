@@ -167,6 +167,19 @@ def test_transactions_are_taken_apart_after_the_explode(spark):
     assert not [line for line in plan.splitlines() if "Generate explode" in line and "COINBASE" in line]
 
 
+def test_links_are_numbered_without_a_lookup(spark, monkeypatch):
+    line = [(1, [tx([side(1, f"a{k}"), side(1, f"a{k + 1 + k // 7}")], []) for k in range(30)] + [tx([side(0)], [])])]
+    looked = []
+    plain = ledger.lookup
+    monkeypatch.setattr(ledger, "lookup", lambda rows, key, *more: looked.append(key) or plain(rows, key, *more))
+    _, numbered = edges(spark, line)
+    assert "first" not in looked and "other" not in looked
+    # Addresses that share a number are numbered one by one.
+    monkeypatch.setattr(ledger, "node", lambda addr: F.length(addr).cast("bigint"))
+    assert edges(spark, line)[1] == numbered and len(numbered) == 35
+    assert {"first", "other"} <= set(looked)
+
+
 def test_rows_of_one_row_group_are_dealt_evenly_however_many_splits_the_file_has(spark, tmp_path):
     place = str(tmp_path / "one")
     spark.range(4000).selectExpr("id", "repeat(cast(id as string), 20) as text").coalesce(1).write.parquet(place)
