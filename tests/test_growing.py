@@ -44,6 +44,28 @@ def test_groups_grow_to_those_of_all_blocks(spark, tmp_path):
         assert _groups(growing_groups.groups_now(spark, place)) == _groups(whole)
 
 
+def test_a_batch_looks_up_numbers_not_addresses(spark, tmp_path, monkeypatch):
+    lines = [[(b, [tx([side(1, f"a{b}"), side(1, f"b{b + k}")], []) for k in range(3)])] for b in range(8)]
+    keys = []
+    plain = growing_groups.lookup
+
+    def seen(links, key, *more):
+        keys.append(dict(links.dtypes)[key])
+        return plain(links, key, *more)
+
+    monkeypatch.setattr(growing_groups, "lookup", seen)
+    found = []
+    for place in (f"file://{tmp_path}/apart", f"file://{tmp_path}/shared"):
+        for batch in range(2):
+            kept = studies.ledger_rows(payloads(spark, *lines[batch::2]))[0]
+            growing_groups.add_transactions(spark, place, kept, batch)
+        found.append(_groups(growing_groups.groups_now(spark, place)))
+        # Addresses that share a number are looked up as they are.
+        monkeypatch.setattr(growing_groups, "node", lambda addr: F.length(addr).cast("bigint"))
+    assert keys == ["bigint"] * 4 + ["string"] * 4
+    assert found[0] == found[1] == _groups(ledger.address_groups(studies.ledger_rows(payloads(spark, *lines))[0]))
+
+
 def test_groups_that_no_link_joins_are_not_written(spark, tmp_path):
     place = f"file://{tmp_path}/state"
 
