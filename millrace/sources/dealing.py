@@ -74,16 +74,18 @@ def measured(locations: DataFrame, base: str = "") -> DataFrame:
     return spark.read.schema(placed.schema).parquet(place)
 
 
-def running(ranges: DataFrame) -> DataFrame:
+def running(ranges: DataFrame, again: int = SEEKING) -> DataFrame:
     """Adds ``weight`` and ``before``, the weights of all ranges before; ``ranges`` as :func:`measured`.
 
     Ranges are summed up within the part that wrote them, and only one sum a part meets in one task.
-    The scan opens an archive once for neighbouring ranges, so a capture index of short records
-    is not dealt to a task for every few thousand of them.
+    The scan opens an archive once for neighbouring ranges, so these weigh ``again`` bytes more than they
+    have, and in ``cost``, which tells how many tasks there should be, always ``SEEKING``.
     """
-    bytes_of = F.coalesce(F.col("stop") - F.col("start"), F.lit(0))
+    size = F.greatest(F.coalesce(F.col("stop") - F.col("start"), F.lit(0)), F.lit(0))
     held = F.coalesce(F.lag("key").over(Window.partitionBy("part").orderBy("row")) == F.col("key"), F.lit(False))
-    weighed = ranges.withColumn("weight", F.greatest(bytes_of, F.lit(0)) + F.when(held, SEEKING).otherwise(OPENING))
+    weighed = ranges.withColumns(
+        {n: size + F.when(held, more).otherwise(OPENING) for n, more in (("weight", again), ("cost", SEEKING))}
+    )
     sums = weighed.groupBy("part").agg(F.sum("weight").alias("sum"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = sums.select("part", F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("base"))
@@ -110,10 +112,14 @@ def task_count(spark: SparkSession, total: int, task_bytes: int = TASK_BYTES) ->
 def dealt(
     locations: DataFrame, base: str = "", tasks: int | None = None, task_bytes: int = TASK_BYTES
 ) -> DataFrame:
-    """``key, start, end``, a partition for each task, sorted by key and start."""
-    ranges = running(measured(locations, base))
-    total = ranges.agg(F.sum("weight")).first()[0] or 0
-    tasks = tasks or task_count(locations.sparkSession, total, task_bytes)
+    """``key, start, end``, a partition for each task, sorted by key and start.
+
+    A capture index of short records is not dealt to a task for every few thousand of them, but what tasks
+    there are get equal bytes with every range as an archive to open, which it may be for its task.
+    """
+    ranges = running(measured(locations, base), OPENING)
+    total, cost = (n or 0 for n in ranges.agg(F.sum("weight"), F.sum("cost")).first())
+    tasks = tasks or task_count(locations.sparkSession, cost, task_bytes)
     return (
         ranges.withColumn("task", share(total, tasks))
         .repartitionById(tasks, "task")
